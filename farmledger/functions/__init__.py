@@ -13,6 +13,7 @@ from farmledger.functions.calendar import (
 from farmledger.functions.ratios import (
     adjusted_conversion,
     efficiency_index,
+    fixed,
     per_thousand,
     safe_pct,
     safe_ratio,
@@ -30,6 +31,7 @@ __all__ = [
     "day_number",
     "efficiency_index",
     "entity_code",
+    "fixed",
     "from_year_start",
     "in_month",
     "like_label",

@@ -14,16 +14,21 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def fixed(c: str | Column, scale: int = 4) -> Column:
+    """Round half up as a decimal of eight places, so the noise of a floating-point sum cannot decide a tie."""
+    return F.round(_col(c).cast("decimal(30,8)"), scale).cast("double")
+
+
 def safe_ratio(x: str | Column, y: str | Column, scale: int = 4) -> Column:
-    return F.coalesce(F.round(F.try_divide(_col(x), _col(y)), scale), F.lit(0.0))
+    return F.coalesce(fixed(F.try_divide(_col(x), _col(y)), scale), F.lit(0.0))
 
 
 def safe_pct(x: str | Column, y: str | Column, scale: int = 4) -> Column:
-    return F.coalesce(F.round(F.try_divide(_col(x), _col(y)) * 100, scale), F.lit(0.0))
+    return F.coalesce(fixed(F.try_divide(_col(x), _col(y)) * 100, scale), F.lit(0.0))
 
 
 def per_thousand(x: str | Column, heads: str | Column, scale: int = 4) -> Column:
-    return F.coalesce(F.round(F.try_divide(_col(x) * 1000, _col(heads)), scale), F.lit(0.0))
+    return F.coalesce(fixed(F.try_divide(_col(x) * 1000, _col(heads)), scale), F.lit(0.0))
 
 
 def wavg(x: str | Column, w: str | Column) -> Column:
@@ -45,9 +50,9 @@ def wavg_date(day: str | Column, w: str | Column, epoch: dt.date = DAY_EPOCH) ->
 
 def efficiency_index(mort_pct: Column, weight: Column, age: Column, conversion: Column, scale: int = 4) -> Column:
     """((100 - mortality %) x weight) / (age x conversion) x 100, zero when age or conversion is zero."""
-    return F.coalesce(F.round(F.try_divide((F.lit(100) - mort_pct) * weight, age * conversion) * 100, scale), F.lit(0.0))
+    return F.coalesce(fixed(F.try_divide((F.lit(100) - mort_pct) * weight, age * conversion) * 100, scale), F.lit(0.0))
 
 
 def adjusted_conversion(weight: Column, conversion: Column, ref: Column, divisor: Column, scale: int = 4) -> Column:
     """Feed conversion moved to a reference weight."""
-    return F.round((ref - weight) / divisor + conversion, scale)
+    return fixed((ref - weight) / divisor + conversion, scale)

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farmledger.functions.ratios import fixed
 from farmledger.functions.text import string_list
 
 Expr = str | Column
@@ -55,7 +56,7 @@ def rollup_levels(
         sums[name] = current
 
     def ratio(frame: DataFrame, name: str) -> DataFrame:
-        value = F.coalesce(F.round(F.try_divide(F.col("__xw"), F.col("__w")), scale), F.lit(0.0))
+        value = F.coalesce(fixed(F.try_divide(F.col("__xw"), F.col("__w")), scale), F.lit(0.0))
         return frame.select(*levels[name], value.alias(name))
 
     out = ratio(sums[names[0]], names[0])
@@ -69,7 +70,7 @@ def dominant(df: DataFrame, key: Sequence[str], cat: str, w: Expr, scale: int =
     by_cat = df.groupBy(*key, cat).agg(F.sum(_col(w)).alias("__w"))
     best = F.min(F.struct((-F.col("__w")).alias("__neg"), F.col(cat).alias("__cat"))).alias("__best")
     per_key = by_cat.groupBy(*key).agg(best, F.sum("__w").alias("__total"))
-    share = F.round(F.try_divide(-F.col("__best.__neg"), F.col("__total")), scale)
+    share = fixed(F.try_divide(-F.col("__best.__neg"), F.col("__total")), scale)
     return per_key.select(*key, F.col("__best.__cat").alias(cat), share.alias("share"))
 
 
@@ -77,7 +78,7 @@ def share(df: DataFrame, key: Sequence[str], preds: Mapping[str, Column], w: Exp
     """Share of the key's total that satisfies each predicate; 0 for none."""
     w = _col(w)
     parts = [
-        F.coalesce(F.round(F.try_divide(F.sum(F.when(p, w)), F.sum(w)), scale), F.lit(0.0)).alias(name)
+        F.coalesce(fixed(F.try_divide(F.sum(F.when(p, w)), F.sum(w)), scale), F.lit(0.0)).alias(name)
         for name, p in preds.items()
     ]
     return df.groupBy(*key).agg(*parts)

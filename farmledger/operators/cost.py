@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farmledger.functions.calendar import cycle_label, in_month, rolling_months
-from farmledger.functions.ratios import safe_ratio
+from farmledger.functions.ratios import fixed, safe_ratio
 from farmledger.operators.merge import append_new
 from farmledger.operators.reshape import pivot_case
 from farmledger.operators.setops import union_all
@@ -92,8 +92,9 @@ def cycle_fanout(df: DataFrame, month: str, cycle: str, as_of: dt.date, months:
     """
     recent = df.where(rolling_months(month, as_of, months)).select(F.col(month).cast("date").alias("__m")).distinct()
     closed = recent.agg(F.sort_array(F.collect_set("__m")).alias("__all")).scalar()
-    later = F.filter(closed, lambda m: m >= F.col(month).cast("date"))
-    again = df.withColumn("__later", F.explode(later)).withColumn(cycle, cycle_label("__later")).select(*df.columns)
+    listed = df.withColumn("__all", closed)
+    later = F.filter("__all", lambda m: m >= F.col(month).cast("date"))
+    again = listed.withColumn("__later", F.explode(later)).withColumn(cycle, cycle_label("__later")).select(*df.columns)
     return append_new(df, again.distinct())
 
 
@@ -147,7 +148,7 @@ def weighted_period_price(
     """Quantity-weighted price per article and month."""
     month = F.date_format(date, "yyyyMM").alias("month_id")
     return df.groupBy(article, month).agg(
-        F.round(F.try_divide(F.sum(F.col(price) * F.col(qty)), F.sum(qty)), scale).alias("price"),
+        fixed(F.try_divide(F.sum(F.col(price) * F.col(qty)), F.sum(qty)), scale).alias("price"),
         F.sum(qty).alias("quantity"),
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
+from farmledger.functions.ratios import fixed
 from farmledger.operators.joins import lookahead_max
 from farmledger.operators.ordered import cumulate, previous, row_number, width_slice
 
@@ -97,9 +98,9 @@ def growth_rate(
     diff, days = F.col("reading") - F.col("__pv"), F.col(day) - F.col("__pd")
     return seq.select(
         *key, day, "reading",
-        F.round(F.coalesce(diff, F.lit(0.0)), scale).alias("difference"),
+        fixed(F.coalesce(diff, F.lit(0.0)), scale).alias("difference"),
         F.coalesce(days, F.lit(0)).cast("int").alias("days_between"),
-        F.coalesce(F.round(F.try_divide(diff, days), scale), F.lit(0.0)).alias("daily_gain"),
+        F.coalesce(fixed(F.try_divide(diff, days), scale), F.lit(0.0)).alias("daily_gain"),
     )
 
 

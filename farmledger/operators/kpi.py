@@ -103,7 +103,7 @@ def kpi_vs_standard(
     met = std_lookup(df, std, keys, F.col(cols["age"]), cols["std_age"])
     actual, standard = F.col(cols["actual"]), F.coalesce(F.col(cols["standard"]), F.lit(0.0))
     return met.select(
-        *df.columns, cols["std_age"], standard.alias("standard"), F.round(actual - standard, scale).alias("difference")
+        *df.columns, cols["std_age"], standard.alias("standard"), ratios.fixed(actual - standard, scale).alias("difference")
     )
 
 
@@ -114,7 +114,7 @@ def row_extremes(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFram
     for c in cs[1:]:
         total = total + c
     return df.withColumns(
-        {"row_max": F.greatest(*cs), "row_min": F.least(*cs), "row_mean": F.round(total / len(cs), scale)}
+        {"row_max": F.greatest(*cs), "row_min": F.least(*cs), "row_mean": ratios.fixed(total / len(cs), scale)}
     )
 
 

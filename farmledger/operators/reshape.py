@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farmledger.functions.ratios import fixed
+
 Expr = str | Column
 
 
@@ -69,7 +71,7 @@ def top_n_others(
     )
     whole = totals.groupBy(*key).agg(F.sum("__q").alias("qty_total"))
     joined = wide.join(whole, list(key))
-    pct = [F.round(F.try_divide(F.col(f"qty_{i}"), F.col("qty_total")) * 100, scale).alias(f"pct_{i}") for i in range(1, n + 1)]
+    pct = [fixed(F.try_divide(F.col(f"qty_{i}"), F.col("qty_total")) * 100, scale).alias(f"pct_{i}") for i in range(1, n + 1)]
     return joined.select(
         *key,
         *[f"name_{i}" for i in range(1, n + 1)],

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farmledger.functions import safe_pct, wavg, wavg_date, wavg_nonzero
+from farmledger.functions import fixed, safe_pct, wavg, wavg_date, wavg_nonzero
 from farmledger.operators import agg as A
 from farmledger.operators import dims
 from farmledger.plans.dimensions import supplier_dimension
 from farmledger.plans.registry import query
-from farmledger.plans.standins import FARM_LINES, daily_readings, DAILY_READINGS, day, farm_lines
+from farmledger.plans.standins import FARM_LINES, day, farm_lines, fx
 from farmledger.sources.tables import Tables
 
 
@@ -29,9 +29,9 @@ _FLAG_LINES = f"""lines AS (SELECT f.*, COALESCE(s.s_suppkey, -1) AS supplier_sk
     f AS (SELECT zone, farm, SUM(q) AS q, SUM(qd) AS qd FROM lot GROUP BY 1, 2),
     z AS (SELECT zone, SUM(q) AS q, SUM(qd) AS qd FROM f GROUP BY 1)
     SELECT lot.zone, lot.farm, lot.l_orderkey AS lot, ROUND(lot.q, 2) AS quantity,
-      COALESCE(ROUND(lot.qd / NULLIF(lot.q, 0), 4), 0) AS discount_lot, COALESCE(ROUND(f.qd / NULLIF(f.q, 0), 4), 0) AS discount_farm,
-      COALESCE(ROUND(z.qd / NULLIF(z.q, 0), 4), 0) AS discount_zone, COALESCE(ROUND(lot.q / NULLIF(z.q, 0) * 100, 6), 0) AS pct_of_zone,
-      COALESCE(ROUND(lot.unknown_q / NULLIF(lot.q, 0) * 100, 6), 0) AS pct_unknown_supplier
+      COALESCE({fx("lot.qd / NULLIF(lot.q, 0)")}, 0) AS discount_lot, COALESCE({fx("f.qd / NULLIF(f.q, 0)")}, 0) AS discount_farm,
+      COALESCE({fx("z.qd / NULLIF(z.q, 0)")}, 0) AS discount_zone, COALESCE({fx("lot.q / NULLIF(z.q, 0) * 100", 6)}, 0) AS pct_of_zone,
+      COALESCE({fx("lot.unknown_q / NULLIF(lot.q, 0) * 100", 6)}, 0) AS pct_unknown_supplier
     FROM lot JOIN f USING (zone, farm) JOIN z USING (zone)""",
 )
 def flagship(t: Tables):
@@ -43,7 +43,7 @@ def flagship(t: Tables):
         lines,
         [("lot", ["zone", "farm", "l_orderkey"]), ("farm", ["zone", "farm"]), ("zone", ["zone"])],
         {"q": "l_quantity", "qd": F.col("l_quantity") * F.col("l_discount"), "u": unknown},
-        {"discount": F.coalesce(F.round(F.try_divide("qd", "q"), 4), F.lit(0.0))},
+        {"discount": F.coalesce(fixed(F.try_divide("qd", "q")), F.lit(0.0))},
     )
     farm = levels["farm"].select("zone", "farm", F.col("discount").alias("discount_farm"))
     zone = levels["zone"].select("zone", F.col("discount").alias("discount_zone"), F.col("q").alias("zone_q"))
@@ -56,8 +56,8 @@ def flagship(t: Tables):
 
 @query(
     "agg_basic",
-    """SELECT l_returnflag, l_linestatus, ROUND(SUM(l_quantity), 2) AS sum_qty, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue,
-    MIN(l_extendedprice) AS min_price, MAX(l_extendedprice) AS max_price, ROUND(AVG(l_discount), 6) AS avg_discount, COUNT(*) AS n FROM lineitem GROUP BY 1, 2""",
+    f"""SELECT l_returnflag, l_linestatus, ROUND(SUM(l_quantity), 2) AS sum_qty, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+    MIN(l_extendedprice) AS min_price, MAX(l_extendedprice) AS max_price, {fx("AVG(l_discount)", 6)} AS avg_discount, COUNT(*) AS n FROM lineitem GROUP BY 1, 2""",
 )
 def agg_basic(t: Tables):
     return A.agg(
@@ -67,7 +67,7 @@ def agg_basic(t: Tables):
         revenue=_sum2(F.col("l_extendedprice") * (1 - F.col("l_discount"))),
         min_price=F.min("l_extendedprice"),
         max_price=F.max("l_extendedprice"),
-        avg_discount=F.round(F.avg("l_discount"), 6),
+        avg_discount=fixed(F.avg("l_discount"), 6),
         n=F.count(F.lit(1)),
     )
 
@@ -118,26 +118,26 @@ def agg_two_level(t: Tables):
 
 @query(
     "weighted_avg",
-    """SELECT l_partkey, ROUND(SUM(l_discount * l_quantity) / NULLIF(SUM(l_quantity), 0), 4) AS wavg_discount FROM lineitem GROUP BY 1""",
+    f"""SELECT l_partkey, {fx("SUM(l_discount * l_quantity) / NULLIF(SUM(l_quantity), 0)")} AS wavg_discount FROM lineitem GROUP BY 1""",
 )
 def weighted_avg(t: Tables):
-    return A.agg(t.lineitem, ["l_partkey"], wavg_discount=F.round(wavg("l_discount", "l_quantity"), 4))
+    return A.agg(t.lineitem, ["l_partkey"], wavg_discount=fixed(wavg("l_discount", "l_quantity")))
 
 
 @query(
     "weighted_avg_nonzero",
-    """SELECT l_partkey, ROUND(SUM(l_discount * l_quantity) / NULLIF(SUM(CASE WHEN l_discount <> 0 THEN l_quantity END), 0), 4) AS wavg_discount FROM lineitem GROUP BY 1""",
+    f"""SELECT l_partkey, {fx("SUM(l_discount * l_quantity) / NULLIF(SUM(CASE WHEN l_discount <> 0 THEN l_quantity END), 0)")} AS wavg_discount FROM lineitem GROUP BY 1""",
 )
 def weighted_avg_nonzero(t: Tables):
-    return A.agg(t.lineitem, ["l_partkey"], wavg_discount=F.round(wavg_nonzero("l_discount", "l_quantity"), 4))
+    return A.agg(t.lineitem, ["l_partkey"], wavg_discount=fixed(wavg_nonzero("l_discount", "l_quantity")))
 
 
 @query(
     "weighted_avg_levels",
     f"""WITH f AS {FARM_LINES}, p AS (SELECT zone, farm, l_orderkey, SUM(l_discount * l_quantity) AS x, SUM(l_quantity) AS w FROM f GROUP BY 1, 2, 3)
-    SELECT zone, farm, l_orderkey, ROUND(x / w, 4) AS lot_level,
-    ROUND(SUM(x) OVER (PARTITION BY zone, farm) / SUM(w) OVER (PARTITION BY zone, farm), 4) AS farm_level,
-    ROUND(SUM(x) OVER (PARTITION BY zone) / SUM(w) OVER (PARTITION BY zone), 4) AS zone_level FROM p""",
+    SELECT zone, farm, l_orderkey, {fx("x / w")} AS lot_level,
+    {fx("SUM(x) OVER (PARTITION BY zone, farm) / SUM(w) OVER (PARTITION BY zone, farm)")} AS farm_level,
+    {fx("SUM(x) OVER (PARTITION BY zone) / SUM(w) OVER (PARTITION BY zone)")} AS zone_level FROM p""",
 )
 def weighted_avg_levels(t: Tables):
     levels = {"lot_level": ["zone", "farm", "l_orderkey"], "farm_level": ["zone", "farm"], "zone_level": ["zone"]}
@@ -155,9 +155,9 @@ def weighted_avg_date(t: Tables):
 
 @query(
     "dominant_category",
-    """WITH c AS (SELECT l_suppkey, p_type, SUM(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+    f"""WITH c AS (SELECT l_suppkey, p_type, SUM(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
     r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY q DESC, p_type) AS rn, SUM(q) OVER (PARTITION BY l_suppkey) AS total FROM c)
-    SELECT l_suppkey, p_type, ROUND(q / total, 4) AS share FROM r WHERE rn = 1""",
+    SELECT l_suppkey, p_type, {fx("q / total")} AS share FROM r WHERE rn = 1""",
 )
 def dominant_category(t: Tables):
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
@@ -166,8 +166,8 @@ def dominant_category(t: Tables):
 
 @query(
     "share_by_predicate",
-    """SELECT l_suppkey, COALESCE(ROUND(SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity END) / SUM(l_quantity), 4), 0) AS returned,
-    COALESCE(ROUND(SUM(CASE WHEN l_discount <= 0.02 THEN l_quantity END) / SUM(l_quantity), 4), 0) AS light_discount FROM lineitem GROUP BY 1""",
+    f"""SELECT l_suppkey, COALESCE({fx("SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity END) / SUM(l_quantity)")}, 0) AS returned,
+    COALESCE({fx("SUM(CASE WHEN l_discount <= 0.02 THEN l_quantity END) / SUM(l_quantity)")}, 0) AS light_discount FROM lineitem GROUP BY 1""",
 )
 def share_by_predicate(t: Tables):
     preds = {"returned": F.col("l_returnflag") == "R", "light_discount": F.col("l_discount") <= 0.02}
@@ -203,7 +203,7 @@ _CHAIN_LEVELS = [
     f"""WITH f AS {FARM_LINES}
     SELECT CASE grouping_id(farm, l_orderkey, l_linenumber) WHEN 0 THEN 'pen' WHEN 1 THEN 'lot' WHEN 3 THEN 'farm' ELSE 'zone' END AS level,
     zone, farm, l_orderkey, l_linenumber, ROUND(SUM(l_quantity), 2) AS qty, ROUND(SUM(l_extendedprice), 2) AS amount,
-    COALESCE(ROUND(SUM(l_extendedprice) / NULLIF(SUM(l_quantity), 0), 4), 0) AS price
+    COALESCE({fx("SUM(l_extendedprice) / NULLIF(SUM(l_quantity), 0)")}, 0) AS price
     FROM f GROUP BY GROUPING SETS ((zone, farm, l_orderkey, l_linenumber), (zone, farm, l_orderkey), (zone, farm), (zone))""",
 )
 def rollup_chain(t: Tables):
@@ -211,7 +211,7 @@ def rollup_chain(t: Tables):
 
     levels = A.rollup_chain(
         farm_lines(t), _CHAIN_LEVELS, {"qty": "l_quantity", "amount": "l_extendedprice"},
-        {"price": F.coalesce(F.round(F.try_divide("amount", "qty"), 4), F.lit(0.0))},
+        {"price": F.coalesce(fixed(F.try_divide("amount", "qty")), F.lit(0.0))},
     )
     tagged = [df.withColumn("level", F.lit(name)) for name, df in levels.items()]
     return union_all(*tagged, fill_missing=True).select(

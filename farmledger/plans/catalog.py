@@ -1,6 +1,6 @@
 """Import every module that registers queries."""
 
-from farmledger.plans import aggregates, dimensions, loads, selections, shapes, windows  # noqa: F401
+from farmledger.plans import aggregates, costs, dimensions, indicators, loads, scalars, selections, shapes, windows  # noqa: F401
 from farmledger.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

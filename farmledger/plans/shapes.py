@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farmledger.functions import week_of_life
+from farmledger.functions import fixed, week_of_life
 from farmledger.operators import gaps, reshape
 from farmledger.plans.registry import query
-from farmledger.plans.standins import DAILY_READINGS, daily_readings, day
+from farmledger.plans.standins import DAILY_READINGS, daily_readings, day, fx
 from farmledger.sources.tables import Tables
 
 # The event types, order states and order priorities of the driver tables.
@@ -73,21 +73,21 @@ def unpivot_map(t: Tables):
 @query(
     "unpivot_structs",
     """SELECT p_partkey, 'p_size' AS indicator, CAST(p_size AS DOUBLE) AS amount FROM part UNION ALL SELECT p_partkey, 'p_retailprice', p_retailprice FROM part
-    UNION ALL SELECT p_partkey, 'ratio', ROUND(p_retailprice / p_size, 4) FROM part""",
+    UNION ALL SELECT p_partkey, 'ratio', """ + fx("p_retailprice / p_size") + " FROM part",
 )
 def unpivot_structs(t: Tables):
-    parts = t.part.withColumn("ratio", F.round(F.col("p_retailprice") / F.col("p_size"), 4))
+    parts = t.part.withColumn("ratio", fixed(F.col("p_retailprice") / F.col("p_size")))
     return reshape.unpivot(parts, ["p_partkey"], ["p_size", "p_retailprice", "ratio"], "indicator", "amount")
 
 
 @query(
     "top_n_with_others",
-    """WITH c AS (SELECT l_suppkey, p_brand, SUM(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+    f"""WITH c AS (SELECT l_suppkey, p_brand, SUM(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
     r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY q DESC, p_brand) AS rn FROM c)
     SELECT l_suppkey, MAX(CASE WHEN rn = 1 THEN p_brand END) AS name_1, MAX(CASE WHEN rn = 2 THEN p_brand END) AS name_2, MAX(CASE WHEN rn = 3 THEN p_brand END) AS name_3,
     MAX(CASE WHEN rn = 1 THEN q END) AS qty_1, MAX(CASE WHEN rn = 2 THEN q END) AS qty_2, MAX(CASE WHEN rn = 3 THEN q END) AS qty_3,
-    ROUND(MAX(CASE WHEN rn = 1 THEN q END) / SUM(q) * 100, 4) AS pct_1, ROUND(MAX(CASE WHEN rn = 2 THEN q END) / SUM(q) * 100, 4) AS pct_2,
-    ROUND(MAX(CASE WHEN rn = 3 THEN q END) / SUM(q) * 100, 4) AS pct_3, COALESCE(SUM(CASE WHEN rn > 3 THEN q END), 0) AS qty_others, SUM(q) AS qty_total FROM r GROUP BY 1""",
+    {fx("MAX(CASE WHEN rn = 1 THEN q END) / SUM(q) * 100")} AS pct_1, {fx("MAX(CASE WHEN rn = 2 THEN q END) / SUM(q) * 100")} AS pct_2,
+    {fx("MAX(CASE WHEN rn = 3 THEN q END) / SUM(q) * 100")} AS pct_3, COALESCE(SUM(CASE WHEN rn > 3 THEN q END), 0) AS qty_others, SUM(q) AS qty_total FROM r GROUP BY 1""",
 )
 def top_n_with_others(t: Tables):
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
@@ -124,15 +124,18 @@ def stack_pairs(t: Tables):
 
 @query(
     "densify_tail",
-    f"""WITH d AS (SELECT user_id % 10 AS grp, * FROM {DAILY_READINGS}),
-    last AS (SELECT grp, user_id, MAX(day) AS last_day, arg_max(reading, day) AS reading FROM d GROUP BY 1, 2), g AS (SELECT grp, MAX(day) AS end_day FROM d GROUP BY 1),
+    """WITH d AS (SELECT user_id, event_type, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS day, ROUND(SUM(value), 2) AS reading, COUNT(*) AS n_events FROM events GROUP BY 1, 2, 3),
+    last AS (SELECT user_id, event_type, MAX(day) AS last_day, arg_max(reading, day) AS reading FROM d GROUP BY 1, 2), g AS (SELECT user_id, MAX(day) AS end_day FROM d GROUP BY 1),
     days AS (SELECT DISTINCT day FROM d)
-    SELECT grp, user_id, day, reading, n_events, 1 AS flag FROM d UNION ALL
-    SELECT l.grp, l.user_id, days.day, l.reading, 0, 2 FROM last l JOIN g ON l.grp = g.grp JOIN days ON days.day > l.last_day AND days.day <= g.end_day""",
+    SELECT user_id, event_type, day, reading, n_events, 1 AS flag FROM d UNION ALL
+    SELECT l.user_id, l.event_type, days.day, l.reading, 0, 2 FROM last l JOIN g ON l.user_id = g.user_id JOIN days ON days.day > l.last_day AND days.day <= g.end_day""",
 )
 def densify_tail(t: Tables):
-    readings = daily_readings(t).withColumn("grp", F.col("user_id") % 10)
-    return gaps.densify_tail(readings, ["user_id"], ["grp"], "day", ["reading"], ["n_events"])
+    age = (F.datediff(day("ts"), F.lit("2024-01-01").cast("date")) + 1).cast("int").alias("day")
+    readings = t.events.groupBy("user_id", "event_type", age).agg(
+        F.round(F.sum("value"), 2).alias("reading"), F.count(F.lit(1)).alias("n_events")
+    )
+    return gaps.densify_tail(readings, ["user_id", "event_type"], ["user_id"], "day", ["reading"], ["n_events"])
 
 
 @query(
@@ -203,8 +206,8 @@ def extrapolate_linear(t: Tables):
     "growth_rate",
     f"""WITH d AS (SELECT user_id, MIN(day) AS day, reading FROM {DAILY_READINGS} WHERE reading <> 0 GROUP BY user_id, reading),
     l AS (SELECT *, LAG(reading) OVER w AS pv, LAG(day) OVER w AS pd FROM d WINDOW w AS (PARTITION BY user_id ORDER BY day))
-    SELECT user_id, day, reading, ROUND(COALESCE(reading - pv, 0), 4) AS difference, CAST(COALESCE(day - pd, 0) AS INTEGER) AS days_between,
-    COALESCE(ROUND((reading - pv) / (day - pd), 4), 0) AS daily_gain FROM l""",
+    SELECT user_id, day, reading, {fx("COALESCE(reading - pv, 0)")} AS difference, CAST(COALESCE(day - pd, 0) AS INTEGER) AS days_between,
+    COALESCE({fx("(reading - pv) / (day - pd)")}, 0) AS daily_gain FROM l""",
 )
 def growth_rate(t: Tables):
     return gaps.growth_rate(daily_readings(t), ["user_id"], "day", "reading", slice_days=7)

@@ -16,6 +16,11 @@ from farmledger.sources.tables import Tables
 AS_OF = dt.date(2001, 8, 1)
 
 
+def fx(expression: str, scale: int = 4) -> str:
+    """SQL twin of :func:`farmledger.functions.fixed`."""
+    return f"CAST(ROUND(CAST({expression} AS DECIMAL(30, 8)), {scale}) AS DOUBLE)"
+
+
 def day(c: str):
     return F.col(c).cast("date")
 

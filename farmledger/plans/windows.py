@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from farmledger.functions import fixed
 from farmledger.operators import agg as A
 from farmledger.operators.ordered import (
     cumulate,
@@ -15,7 +16,7 @@ from farmledger.operators.ordered import (
     width_slice,
 )
 from farmledger.plans.registry import query
-from farmledger.plans.standins import DAILY_READINGS, daily_readings, day
+from farmledger.plans.standins import day, fx
 from farmledger.sources.tables import Tables
 
 _EVENTS = ["user_id", "ts", "event_id", "value", "event_type"]
@@ -92,13 +93,13 @@ def win_agg_then_running(t: Tables):
 
 @query(
     "win_partition_total",
-    """SELECT l_orderkey, l_linenumber, l_suppkey, ROUND(SUM(l_quantity) OVER (PARTITION BY l_suppkey), 2) AS supplier_total,
-    ROUND(l_quantity / SUM(l_quantity) OVER (PARTITION BY l_suppkey) * 100, 6) AS pct FROM lineitem""",
+    f"""SELECT l_orderkey, l_linenumber, l_suppkey, ROUND(SUM(l_quantity) OVER (PARTITION BY l_suppkey), 2) AS supplier_total,
+    {fx("l_quantity / SUM(l_quantity) OVER (PARTITION BY l_suppkey) * 100", 6)} AS pct FROM lineitem""",
 )
 def win_partition_total(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
     out = A.with_total(lines, ["l_suppkey"], {"supplier_total": "l_quantity"})
-    pct = F.round(F.col("l_quantity") / F.col("supplier_total") * 100, 6)
+    pct = fixed(F.col("l_quantity") / F.col("supplier_total") * 100, 6)
     return out.select("l_orderkey", "l_linenumber", "l_suppkey", F.round("supplier_total", 2).alias("supplier_total"), pct.alias("pct"))
 
 
