@@ -136,8 +136,8 @@ def expense_per_unit(
     both = fine.unionByName(coarse)
     return both.select(
         *keys,
-        F.round("amount", 2).alias("amount"),
-        F.round("units", 2).alias("units"),
+        fixed("amount", 2).alias("amount"),
+        fixed("units", 2).alias("units"),
         safe_ratio("amount", "units", scale).alias("per_unit"),
     )
 

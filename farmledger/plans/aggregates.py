@@ -56,7 +56,7 @@ def flagship(t: Tables):
 
 @query(
     "agg_basic",
-    f"""SELECT l_returnflag, l_linestatus, ROUND(SUM(l_quantity), 2) AS sum_qty, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+    f"""SELECT l_returnflag, l_linestatus, ROUND(SUM(l_quantity), 2) AS sum_qty, {fx("SUM(l_extendedprice * (1 - l_discount))", 2)} AS revenue,
     MIN(l_extendedprice) AS min_price, MAX(l_extendedprice) AS max_price, {fx("AVG(l_discount)", 6)} AS avg_discount, COUNT(*) AS n FROM lineitem GROUP BY 1, 2""",
 )
 def agg_basic(t: Tables):
@@ -64,7 +64,7 @@ def agg_basic(t: Tables):
         t.lineitem,
         ["l_returnflag", "l_linestatus"],
         sum_qty=_sum2("l_quantity"),
-        revenue=_sum2(F.col("l_extendedprice") * (1 - F.col("l_discount"))),
+        revenue=fixed(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2),
         min_price=F.min("l_extendedprice"),
         max_price=F.max("l_extendedprice"),
         avg_discount=fixed(F.avg("l_discount"), 6),

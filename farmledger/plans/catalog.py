@@ -1,6 +1,18 @@
 """Import every module that registers queries."""
 
-from farmledger.plans import aggregates, costs, dimensions, indicators, loads, scalars, selections, shapes, windows  # noqa: F401
+from farmledger.plans import (  # noqa: F401
+    aggregates,
+    costs,
+    dimensions,
+    finance,
+    indicators,
+    loads,
+    production_queries,
+    scalars,
+    selections,
+    shapes,
+    windows,
+)
 from farmledger.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

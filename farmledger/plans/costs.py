@@ -162,7 +162,7 @@ def sales_standardise(t: Tables):
     f"""WITH d AS (SELECT c_mktsegment AS channel, n_name AS province, SUM(l_extendedprice * l_discount) AS amount, SUM(l_quantity) AS units
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
     b AS (SELECT * FROM d UNION ALL SELECT channel, 'TOTAL', SUM(amount), SUM(units) FROM d GROUP BY 1)
-    SELECT channel, province, ROUND(amount, 2) AS amount, ROUND(units, 2) AS units, COALESCE({fx("amount / NULLIF(units, 0)")}, 0) AS per_unit FROM b""",
+    SELECT channel, province, {fx("amount", 2)} AS amount, {fx("units", 2)} AS units, COALESCE({fx("amount / NULLIF(units, 0)")}, 0) AS per_unit FROM b""",
 )
 def expense_per_unit(t: Tables):
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("province"))

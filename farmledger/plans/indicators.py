@@ -166,7 +166,7 @@ def kpi_stage_denominator(t: Tables):
 
 @query(
     "kpi_vs_standard",
-    f"""WITH std AS (SELECT p_size AS std_age, ROUND(AVG(p_retailprice), 4) AS standard FROM part WHERE p_type <> 'PROMO' AND p_size <= 45 GROUP BY 1),
+    f"""WITH std AS (SELECT p_size AS std_age, {fx("AVG(p_retailprice)")} AS standard FROM part WHERE p_type <> 'PROMO' AND p_size <= 45 GROUP BY 1),
     a AS (SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS m, {fx("SUM(l_quantity * l_discount) / SUM(l_discount)")} AS age, ROUND(SUM(l_quantity), 2) AS actual FROM lineitem WHERE l_discount > 0 GROUP BY 1, 2)
     SELECT l_suppkey, m AS month, age, actual, CAST(ceil(age) AS INTEGER) AS std_age, COALESCE(standard, 0) AS standard, {fx("actual - COALESCE(standard, 0)")} AS difference
     FROM a LEFT JOIN std ON std_age = ceil(age)""",
@@ -175,7 +175,7 @@ def kpi_vs_standard(t: Tables):
     std = (
         t.part.where((F.col("p_type") != "PROMO") & (F.col("p_size") <= 45))
         .groupBy(F.col("p_size").alias("std_age"))
-        .agg(F.round(F.avg("p_retailprice"), 4).alias("std_value"))
+        .agg(fixed(F.avg("p_retailprice")).alias("std_value"))
     )
     discount = F.col("l_discount")
     actual = (

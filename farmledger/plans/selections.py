@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farmledger.functions import from_year_start, like_label, rolling_months
+from farmledger.functions import fixed, from_year_start, like_label, rolling_months
 from farmledger.operators import filters, joins
 from farmledger.operators.ordered import month_slice
 from farmledger.operators.setops import union_all
 from farmledger.plans.registry import query
-from farmledger.plans.standins import AS_OF, DAILY_READINGS, daily_readings, day
+from farmledger.plans.standins import AS_OF, DAILY_READINGS, daily_readings, day, fx
 from farmledger.sources.tables import Tables
 
 
@@ -374,13 +374,13 @@ def lookup_by_level(t: Tables):
 
 @query(
     "std_curve_lookup",
-    """WITH std AS (SELECT p_size AS std_age, p_type AS breed, ROUND(AVG(p_retailprice), 4) AS standard FROM part GROUP BY 1, 2)
+    f"""WITH std AS (SELECT p_size AS std_age, p_type AS breed, {fx("AVG(p_retailprice)")} AS standard FROM part GROUP BY 1, 2)
     SELECT l_orderkey, l_linenumber, p_type AS breed, CAST(ceil(l_quantity * 1.02) AS INTEGER) AS std_age, standard
     FROM lineitem JOIN part ON l_partkey = p_partkey LEFT JOIN std ON std.breed = p_type AND std.std_age = ceil(l_quantity * 1.02)""",
 )
 def std_curve_lookup(t: Tables):
     std = t.part.groupBy(F.col("p_size").alias("std_age"), F.col("p_type").alias("breed")).agg(
-        F.round(F.avg("p_retailprice"), 4).alias("standard")
+        fixed(F.avg("p_retailprice")).alias("standard")
     )
     breed = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("breed"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(breed, "l_partkey")

@@ -152,12 +152,12 @@ def densify_tail_calendar(t: Tables):
     return gaps.densify_tail(daily, ["lot", "pen"], ["lot"], "day", ["top"], ["qty"])
 
 
-_CURVE = "(SELECT p_brand AS breed, p_size AS age, ROUND(AVG(p_retailprice), 4) AS std, ROUND(MAX(p_retailprice), 4) AS top FROM part GROUP BY 1, 2)"
+_CURVE = f"(SELECT p_brand AS breed, p_size AS age, {fx('AVG(p_retailprice)')} AS std, ROUND(MAX(p_retailprice), 4) AS top FROM part GROUP BY 1, 2)"
 
 
 def _curve(t: Tables):
     return t.part.groupBy(F.col("p_brand").alias("breed"), F.col("p_size").alias("age")).agg(
-        F.round(F.avg("p_retailprice"), 4).alias("std"), F.round(F.max("p_retailprice"), 4).alias("top")
+        fixed(F.avg("p_retailprice")).alias("std"), F.round(F.max("p_retailprice"), 4).alias("top")
     )
 
 
@@ -215,11 +215,11 @@ def growth_rate(t: Tables):
 
 @query(
     "cum_standard",
-    f"""SELECT breed, age, ROUND(SUM(std) OVER (PARTITION BY breed ORDER BY age ROWS UNBOUNDED PRECEDING), 4) AS cumulative FROM {_CURVE}""",
+    f"""SELECT breed, age, {fx("SUM(std) OVER (PARTITION BY breed ORDER BY age ROWS UNBOUNDED PRECEDING)")} AS cumulative FROM {_CURVE}""",
 )
 def cum_standard(t: Tables):
     out = gaps.cum_standard(_curve(t), ["breed"], "age", "std", "cumulative", slice_days=14)
-    return out.select("breed", "age", F.round("cumulative", 4).alias("cumulative"))
+    return out.select("breed", "age", fixed("cumulative").alias("cumulative"))
 
 
 @query(
