@@ -2,6 +2,7 @@
 
 from farmledger.plans import (  # noqa: F401
     aggregates,
+    costing_queries,
     costs,
     dimensions,
     finance,

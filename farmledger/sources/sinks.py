@@ -54,8 +54,9 @@ def replace_months(
 ) -> str:
     """Replace the months ``lo``..``hi`` of a table partitioned by ``month`` (``yyyyMM``) and touch no other month.
 
-    Only the new months are written, to a fresh folder; the catalog then swaps the partitions. A month of the range
-    without source rows ends up without a partition, as a delete-and-insert would leave it.
+    Only the new months are written, to a fresh folder; the catalog is then told where each month lies: months without a
+    partition are added, those with one are moved, those without source rows are dropped. A month is readable, old or
+    new, at every moment, and a run that failed half-way is completed by running it again.
     """
     date_col = F.col(date_col) if isinstance(date_col, str) else date_col
     months = _months(lo, hi)
@@ -70,10 +71,14 @@ def replace_months(
     spread = F.pmod(F.xxhash64(*[c for c in fresh.columns if c != "month"]), F.lit(16))
     fresh.repartition("month", spread).write.partitionBy("month").parquet(version)
     written = {r["month"] for r in fresh.select("month").distinct().collect()}  # bounded by the month range
-    drops = ", ".join(f"PARTITION (month='{m}')" for m in months)
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
-    adds = " ".join(f"PARTITION (month='{m}') LOCATION '{version}/month={m}'" for m in months if m in written)
-    if adds:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {adds}")
+    present = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for m in months:
+        place = f"'{version}/month={m}'"
+        if m in written and m in present:
+            spark.sql(f"ALTER TABLE {table} PARTITION (month='{m}') SET LOCATION {place}")
+        elif m in written:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (month='{m}') LOCATION {place}")
+        elif m in present:
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION (month='{m}')")
     spark.catalog.refreshTable(table)
     return version
