@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType
 
 from farmledger.functions.ratios import fixed
 from farmledger.operators.joins import lookahead_max
-from farmledger.operators.ordered import cumulate, previous, row_number, width_slice
+from farmledger.operators.ordered import cumulate, previous, row_number
 
 Expr = str | Column
 
@@ -63,7 +63,7 @@ def carry_last_valid(df: DataFrame, key: Sequence[str], day: str, col: str, afte
 
 
 def extrapolate_linear(
-    df: DataFrame, key: Sequence[str], day: str, col: str, out: str, slice_days: int = 512
+    df: DataFrame, key: Sequence[str], day: str, col: str, out: str
 ) -> DataFrame:
     """Continue a curve past its last known day by its last daily increment.
 
@@ -76,7 +76,7 @@ def extrapolate_linear(
         F.max(F.when(F.col(day) == F.col("__z") - 1, F.col(col))).alias("__a"),
         F.max(F.when(F.col(day) == F.col("__z") - 2, F.col(col))).alias("__b"),
     )
-    zeros = row_number(df.where(F.col(col) == 0).select(*key, day), key, [day], [width_slice(day, slice_days)], "__p")
+    zeros = row_number(df.where(F.col(col) == 0).select(*key, day), key, [day], [], "__p")
     extended = F.coalesce(F.col("__a") + (F.col("__a") - F.col("__b")) * F.col("__p"), F.col(col))
     return (
         df.join(ends, list(key), "left")
@@ -86,7 +86,7 @@ def extrapolate_linear(
 
 
 def growth_rate(
-    df: DataFrame, key: Sequence[str], day: str, val: str, slice_days: int = 512, scale: int = 4
+    df: DataFrame, key: Sequence[str], day: str, val: str, scale: int = 4
 ) -> DataFrame:
     """Daily gain between successive readings: difference of values over difference of days, 0 on the first.
 
@@ -94,7 +94,7 @@ def growth_rate(
     """
     daily = df.groupBy(*key, day).agg(F.sum(val).alias("reading")).where(F.col("reading") != 0)
     first = daily.groupBy(*key, "reading").agg(F.min(day).alias(day))
-    seq = previous(first, key, [day], [width_slice(day, slice_days)], {"__pv": "reading", "__pd": F.col(day)})
+    seq = previous(first, key, [day], [], {"__pv": "reading", "__pd": F.col(day)})
     diff, days = F.col("reading") - F.col("__pv"), F.col(day) - F.col("__pd")
     return seq.select(
         *key, day, "reading",
@@ -104,9 +104,9 @@ def growth_rate(
     )
 
 
-def cum_standard(df: DataFrame, key: Sequence[str], day: str, col: str, out: str, slice_days: int = 512) -> DataFrame:
+def cum_standard(df: DataFrame, key: Sequence[str], day: str, col: str, out: str) -> DataFrame:
     """Cumulative percentage of a daily standard."""
-    return cumulate(df, key, [day], [width_slice(day, slice_days)], {out: ("sum", col)})
+    return cumulate(df, key, [day], [], {out: ("sum", col)})
 
 
 def weekly_reading_fill(df: DataFrame, key: Sequence[str], day: str, col: str, n: int, weigh_day: Column, out: str) -> DataFrame:

@@ -128,16 +128,21 @@ def join_where(a: DataFrame, b: DataFrame, on: Sequence[str], residual: Column,
 def lag_join(df: DataFrame, key: Sequence[str], ord_col: str, cols: Mapping[str, str], step: int = 1) -> DataFrame:
     """Values of the row exactly ``step`` positions earlier (NULL when that position is absent).
 
-    Each row is offered to its own position and, as predecessor, to the position ``step`` later; one aggregate on
-    (key, position) brings the two together. Positions have to be unique within a key.
+    Each row is sent to its own position and, as predecessor, to the position ``step`` later; one aggregate on (key,
+    position) brings the two together, so neither a self-join nor a task per key is needed. Positions have to be unique
+    within a key.
     """
-    own = df.select(*key, ord_col, F.struct(*[c for c in df.columns if c not in (*key, ord_col)]).alias("__own"))
-    prior = df.select(
-        *key, (F.col(ord_col) + step).cast(df.schema[ord_col].dataType).alias(ord_col),
-        F.struct(*[F.col(c).alias(o) for o, c in cols.items()]).alias("__prior"),
+    position = df.schema[ord_col].dataType
+    own = F.struct(*[c for c in df.columns if c not in (*key, ord_col)])
+    prior = F.struct(*[F.col(c).alias(o) for o, c in cols.items()])
+    sent = F.array(
+        F.struct(F.col(ord_col).alias("at"), own.alias("own"), F.when(F.lit(False), prior).alias("prior")),
+        F.struct((F.col(ord_col) + step).cast(position).alias("at"), F.when(F.lit(False), own).alias("own"), prior.alias("prior")),
     )
-    both = own.unionByName(prior, allowMissingColumns=True)
-    met = both.groupBy(*key, ord_col).agg(F.max("__own").alias("__own"), F.max("__prior").alias("__prior"))
+    lines = df.select(*key, F.explode(sent).alias("__l")).select(
+        *key, F.col("__l.at").alias(ord_col), F.col("__l.own").alias("__own"), F.col("__l.prior").alias("__prior")
+    )
+    met = lines.groupBy(*key, ord_col).agg(F.max("__own").alias("__own"), F.max("__prior").alias("__prior"))
     met = met.where(F.col("__own").isNotNull()).select(*key, ord_col, "__own.*", *[F.col(f"__prior.{o}") for o in cols])
     return met.select(*df.columns, *cols)
 

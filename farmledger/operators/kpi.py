@@ -119,12 +119,12 @@ def row_extremes(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFram
 
 
 def opening_balance(
-    df: DataFrame, key: Sequence[str], day: str, exits: str, population: str, slices: Sequence, out: str = "opening"
+    df: DataFrame, key: Sequence[str], day: str, exits: str, population: str, out: str = "opening"
 ) -> DataFrame:
     """Population less everything that left up to the day before; NULL when that day has no row.
 
     One row per key and day is expected.
     """
-    run = cumulate(df, key, [day], slices, {"__exits": ("sum", exits)})
+    run = cumulate(df, key, [day], [], {"__exits": ("sum", exits)})
     closing = run.withColumn("__closing", F.col(population) - F.col("__exits")).select(*df.columns, "__closing")
     return lag_join(closing, key, day, {out: "__closing"}).drop("__closing")

@@ -11,6 +11,10 @@ a date, a range of ids within one day, ...). The work then takes the form of an
 The rows are shuffled once, on (key, slice), as often as a plain window would shuffle them on the key alone. NULL keys
 behave as in a window, because no join is involved. ``order`` is ascending; negate an expression to descend. For a
 row-wise frame ``order`` has to be total, and a slice may depend on leading order expressions only.
+
+A frame with at most one row per key and day (or age, week, month) needs no slices: the calendar bounds every group to a
+few thousand rows. Aggregate to that grain first where the measure allows it, then leave ``slices`` empty; the result is
+one plain window and the input is evaluated once.
 """
 
 from __future__ import annotations
@@ -35,9 +39,17 @@ def month_slice(day: Expr) -> Column:
     return F.trunc(_col(day).cast("date"), "month")
 
 
-def day_slice(ts: Expr) -> Column:
-    """Slice a timestamp ordering by day."""
-    return _col(ts).cast("date")
+def clock_slices(ts: Expr, unit: str = "minute") -> list[Column]:
+    """Slice a timestamp ordering by day, hour or minute.
+
+    The finer the unit, the smaller the largest group: a key with a third of a month's rows is spread over 720 hours or
+    43,200 minutes. The parts are separate columns because truncating a zone-less timestamp would go through the
+    session's time zone.
+    """
+    ts = _col(ts)
+    parts = {"day": ts.cast("date"), "hour": F.hour(ts), "minute": F.minute(ts)}
+    names = list(parts)
+    return [parts[n] for n in names[: names.index(unit) + 1]]
 
 
 def width_slice(value: Expr, width: float) -> Column:
@@ -88,6 +100,16 @@ def cumulate(
 
     ``frame="range"`` gives rows with equal order values the same total. ``exclude_current`` stops at the row before.
     """
+    end = -1 if exclude_current else Window.currentRow
+
+    def framed(w):
+        if frame == "range":
+            return w.rangeBetween(Window.unboundedPreceding, end)
+        return w.rowsBetween(Window.unboundedPreceding, end)
+
+    if not slices:
+        w = framed(Window.partitionBy(*keys).orderBy(*order))
+        return df.select("*", *[_AGG[k](_col(e)).over(w).alias(o) for o, (k, e) in measures.items()])
     sl = _Sliced(df, keys, order, slices)
     rows = sl.base.select(
         "*",
@@ -101,9 +123,7 @@ def cumulate(
     opening = totals.select(
         *sl.keys, *sl.s, *[_CARRY[k](f"__v_{o}").over(sl.before()).alias(f"__v_{o}") for o, k in kinds.items()]
     )
-    end = -1 if exclude_current else Window.currentRow
-    w = sl.inside()
-    w = w.rangeBetween(Window.unboundedPreceding, end) if frame == "range" else w.rowsBetween(Window.unboundedPreceding, end)
+    w = framed(sl.inside())
     out = sl.opened(rows, opening).select("*", *[_AGG[k](f"__v_{o}").over(w).alias(o) for o, k in kinds.items()])
     return sl.finish(out, list(kinds))
 
@@ -115,6 +135,8 @@ def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Expr], slices
 
 def dense_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Expr], slices: Sequence[Expr], out: str) -> DataFrame:
     """Rank without gaps; equal order values share a rank."""
+    if not slices:
+        return df.select("*", F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)).alias(out))
     sl = _Sliced(df, keys, order, slices)
     distinct = sl.base.groupBy(*sl.keys, *sl.s, *sl.o).agg(F.lit(1).alias("__one"))
     totals = sl.per_slice(distinct, F.sum("__one").alias("__carry"))
@@ -129,6 +151,9 @@ def previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[Expr], slices: Sequence[Expr], cols: Mapping[str, Expr]
 ) -> DataFrame:
     """Values of the row before within the key; NULL on the first row."""
+    if not slices:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[F.lag(_col(e)).over(w).alias(o) for o, e in cols.items()])
     sl = _Sliced(df, keys, order, slices)
     rows = sl.base.withColumn("__pack", F.struct(*[_col(e).alias(o) for o, e in cols.items()]))
     last = sl.per_slice(rows, F.max_by("__pack", F.struct(*sl.o)).alias("__pack"))

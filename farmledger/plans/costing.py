@@ -12,7 +12,7 @@ from farmledger.functions import fixed, previous_month, safe_ratio
 from farmledger.operators import cost, dims, gaps, joins, reshape
 from farmledger.operators import agg as A
 from farmledger.operators.merge import replace_rolling, update_from
-from farmledger.operators.ordered import cumulate, width_slice
+from farmledger.operators.ordered import cumulate
 
 
 def live_bird_cost(
@@ -79,7 +79,7 @@ def production_detail(
     keyed = dims.star_lookup(readings, lookups)
     listed = A.agg_string_list(categories, ["house"], "category", "categories")
     valid = gaps.carry_last_valid(curve, ["breed"], "age", "std", std_after)
-    cumulative = cumulate(valid, ["breed"], ["age"], [width_slice("age", 64)], {"std_so_far": ("sum", "std")})
+    cumulative = cumulate(valid, ["breed"], ["age"], [], {"std_so_far": ("sum", "std")})
     out = keyed.join(listed, "house", "left").join(cumulative, ["breed", "age"], "left")
     return joins.reattribute(out, transfers, "lot", {"house": "new_house"})
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from farmledger.functions import day_number, fixed, safe_pct
 from farmledger.operators import kpi
-from farmledger.operators.ordered import month_slice
 from farmledger.plans.registry import query
 from farmledger.plans.standins import DAILY_READINGS, daily_readings, day, fx
 from farmledger.sources.tables import Tables
@@ -221,5 +220,5 @@ def opening_balance(t: Tables):
     number = F.datediff(day("l_shipdate"), F.lit("1970-01-01").cast("date")).alias("n")
     daily = t.lineitem.groupBy(F.col("l_suppkey").alias("lot"), number).agg(F.sum("l_quantity").alias("exits"))
     daily = daily.withColumn("population", F.lit(100000.0))
-    out = kpi.opening_balance(daily, ["lot"], "n", "exits", "population", [F.floor(F.col("n") / 31)])
+    out = kpi.opening_balance(daily, ["lot"], "n", "exits", "population")
     return out.select("lot", F.date_from_unix_date("n").alias("day"), F.round("exits", 2).alias("exits"), F.round("opening", 2).alias("opening"))

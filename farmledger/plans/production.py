@@ -26,7 +26,7 @@ from farmledger.functions import (
 from farmledger.operators import agg as A
 from farmledger.operators import gaps, joins, kpi, reshape
 from farmledger.operators.merge import replace_rolling
-from farmledger.operators.ordered import cumulate, month_slice, previous, width_slice
+from farmledger.operators.ordered import cumulate, previous
 from farmledger.operators.setops import union_all
 
 PEN = ["zone", "lot", "house", "pen"]
@@ -52,13 +52,13 @@ def daily_field_detail(
     )
 
 
-def mortality_daily(days: DataFrame, slice_days: int = 64) -> DataFrame:
+def mortality_daily(days: DataFrame) -> DataFrame:
     """Deaths per pen and age with running and weekly totals; pens that stop early are carried to the lot's last age."""
     daily = days.groupBy(*PEN, "age").agg(F.sum("deaths").alias("deaths"))
     daily = daily.withColumn("week", week_of_life("age"))
-    run = cumulate(daily, PEN, ["age"], [width_slice("age", slice_days)], {"deaths_so_far": ("sum", "deaths")})
+    run = cumulate(daily, PEN, ["age"], [], {"deaths_so_far": ("sum", "deaths")})
     weekly = daily.groupBy(*PEN, "week").agg(F.sum("deaths").alias("deaths_week"))
-    weekly = cumulate(weekly, PEN, ["week"], [width_slice("week", 16)], {"deaths_to_week": ("sum", "deaths_week")})
+    weekly = cumulate(weekly, PEN, ["week"], [], {"deaths_to_week": ("sum", "deaths_week")})
     full = run.join(weekly, [*PEN, "week"])
     dense = gaps.densify_tail(
         full.drop("week"), PEN, ["zone", "lot"], "age", ["deaths_so_far", "deaths_to_week"], ["deaths", "deaths_week"]
@@ -97,11 +97,11 @@ def weight_weekly(days: DataFrame, weeks: Mapping[int, str], ages: Sequence[int]
 
 def weight_gain(days: DataFrame) -> DataFrame:
     """Daily gain between successive weights of a pen."""
-    return gaps.growth_rate(days, PEN, "age", "weight", slice_days=64)
+    return gaps.growth_rate(days, PEN, "age", "weight")
 
 
 def feed_by_type(
-    use: DataFrame, key: Sequence[str], feed_types: Mapping[str, str], slices: Sequence[Column]
+    use: DataFrame, key: Sequence[str], feed_types: Mapping[str, str]
 ) -> DataFrame:
     """Feed per day in one column per feed type, with a running total of each and of all."""
     wide = reshape.pivot_case(use, [*key, "age"], "feed_type", feed_types, "kilos")
@@ -109,7 +109,7 @@ def feed_by_type(
     total = use.groupBy(*key, "age").agg(F.sum("kilos").alias("kilos"))
     joined = wide.join(total, [*key, "age"])
     measures = {f"{n}_so_far": ("sum", n) for n in [*names, "kilos"]}
-    return cumulate(joined, key, ["age"], slices, measures)
+    return cumulate(joined, key, ["age"], [], measures)
 
 
 def feed_lists(use: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -122,7 +122,7 @@ def sales_running(loads: DataFrame, transfers: DataFrame) -> DataFrame:
     moved = joins.reattribute(loads, transfers, "lot", {"house": "new_house"})
     daily = moved.groupBy("zone", "lot", "house", "pen", "day").agg(F.sum("heads").alias("heads"), F.sum("kilos").alias("kilos"))
     return cumulate(
-        daily, PEN, ["day"], [month_slice("day")], {"heads_so_far": ("sum", "heads"), "kilos_so_far": ("sum", "kilos")}
+        daily, PEN, ["day"], [], {"heads_so_far": ("sum", "heads"), "kilos_so_far": ("sum", "kilos")}
     )
 
 
@@ -138,7 +138,7 @@ def breeder_running(days: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame
     for name, keys in LEVELS:
         current = current.groupBy(*keys, "phase", "day").agg(*[F.sum(c).alias(c) for c in cols])
         out[name] = cumulate(
-            current, [*keys, "phase"], ["day"], [month_slice("day")], {f"{c}_so_far": ("sum", c) for c in cols}
+            current, [*keys, "phase"], ["day"], [], {f"{c}_so_far": ("sum", c) for c in cols}
         )
     return out
 
@@ -155,7 +155,7 @@ def breeder_indicators(house: DataFrame) -> DataFrame:
     grams = base.withColumn("grams", fixed(F.try_divide(F.col("feed") * 1000, F.col("alive")), 2))
     grams = grams.withColumn("grams", F.coalesce("grams", F.lit(0.0)))
     key = ["zone", "lot", "house", "phase"]
-    seq = previous(grams, key, ["day"], [month_slice("day")], {"__before": "grams"})
+    seq = previous(grams, key, ["day"], [], {"__before": "grams"})
     change = fixed(F.coalesce(F.col("grams") - F.col("__before"), F.lit(0.0)), 2)
     return seq.select(*base.columns, "grams", change.alias("grams_change"))
 
@@ -213,11 +213,11 @@ def consolidated(
 
 
 def consumption_daily(
-    use: DataFrame, heads: DataFrame, bands: Mapping[str, tuple], slices: Sequence[Column]
+    use: DataFrame, heads: DataFrame, bands: Mapping[str, tuple]
 ) -> tuple[DataFrame, DataFrame]:
     """Running use per 1000 placed, per pen and age, and use per band of weeks."""
     daily = use.groupBy(*PEN, "age").agg(F.sum("kilos").alias("kilos"))
-    run = cumulate(daily, PEN, ["age"], slices, {"kilos_so_far": ("sum", "kilos")})
+    run = cumulate(daily, PEN, ["age"], [], {"kilos_so_far": ("sum", "kilos")})
     with_heads = joins.push_down(run, heads, PEN, ["heads"])
     per = kpi.kpi_per_thousand_by_state(with_heads, {"quantity": "kilos_so_far"}, [], "heads")
     weekly = A.band_sums(daily.withColumn("week", week_of_life("age")), PEN, "week", "kilos", bands)

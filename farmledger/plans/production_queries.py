@@ -11,7 +11,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farmledger.operators.ordered import width_slice
 from farmledger.plans import production as P
 from farmledger.plans.registry import query
 from farmledger.plans.standins import AS_OF, day, fx
@@ -154,7 +153,7 @@ _FEEDS = {"ECONOMY": "preinicio", "SMALL": "inicio", "MEDIUM": "acabado", "LARGE
 )
 def plan_feed_by_type(t: Tables):
     use = field_lines(t).select(*P.PEN, "age", F.col("kind").alias("feed_type"), F.col("heads").alias("kilos"))
-    return P.feed_by_type(use, P.PEN, _FEEDS, [width_slice("age", 64)])
+    return P.feed_by_type(use, P.PEN, _FEEDS)
 
 
 @query(
@@ -275,7 +274,7 @@ def plan_consumption_daily(t: Tables):
 
 def _consumption(t: Tables, use: DataFrame):
     bands = {"first_year": (None, 52), "second_year": (53, 104), "rest": (105, None)}
-    return P.consumption_daily(use, heads_of(t), bands, [width_slice("age", 64)])
+    return P.consumption_daily(use, heads_of(t), bands)
 
 
 @query(

@@ -243,10 +243,10 @@ def join_scalar(t: Tables):
     ROUND(SUM(b.reading), 2) AS total_so_far FROM d a JOIN d b ON a.user_id = b.user_id AND b.day <= a.day GROUP BY 1, 2, 3""",
 )
 def triangular_rewrite(t: Tables):
-    from farmledger.operators.ordered import cumulate, width_slice
+    from farmledger.operators.ordered import cumulate
 
     run = cumulate(
-        daily_readings(t), ["user_id"], ["day"], [width_slice("day", 7)],
+        daily_readings(t), ["user_id"], ["day"], [],
         {"best_so_far": ("max", "reading"), "total_so_far": ("sum", "reading")},
     )
     return run.select("user_id", "day", "reading", "best_so_far", F.round("total_so_far", 2).alias("total_so_far"))

@@ -198,7 +198,7 @@ def extrapolate_linear(t: Tables):
     stopped = daily_readings(t).select(
         "user_id", "day", F.when(F.col("day") > 20, F.lit(0.0)).otherwise(F.col("reading")).alias("reading")
     )
-    out = gaps.extrapolate_linear(stopped, ["user_id"], "day", "reading", "extended", slice_days=7)
+    out = gaps.extrapolate_linear(stopped, ["user_id"], "day", "reading", "extended")
     return out.withColumn("extended", F.round("extended", 4))
 
 
@@ -210,7 +210,7 @@ def extrapolate_linear(t: Tables):
     COALESCE({fx("(reading - pv) / (day - pd)")}, 0) AS daily_gain FROM l""",
 )
 def growth_rate(t: Tables):
-    return gaps.growth_rate(daily_readings(t), ["user_id"], "day", "reading", slice_days=7)
+    return gaps.growth_rate(daily_readings(t), ["user_id"], "day", "reading")
 
 
 @query(
@@ -218,7 +218,7 @@ def growth_rate(t: Tables):
     f"""SELECT breed, age, {fx("SUM(std) OVER (PARTITION BY breed ORDER BY age ROWS UNBOUNDED PRECEDING)")} AS cumulative FROM {_CURVE}""",
 )
 def cum_standard(t: Tables):
-    out = gaps.cum_standard(_curve(t), ["breed"], "age", "std", "cumulative", slice_days=14)
+    out = gaps.cum_standard(_curve(t), ["breed"], "age", "std", "cumulative")
     return out.select("breed", "age", fixed("cumulative").alias("cumulative"))
 
 

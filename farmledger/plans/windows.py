@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from farmledger.functions import fixed
 from farmledger.operators import agg as A
 from farmledger.operators.ordered import (
+    clock_slices,
     cumulate,
-    day_slice,
     dense_rank,
-    month_slice,
     previous,
     row_number,
     width_slice,
@@ -31,7 +30,7 @@ def _round(df, *cols):
     """SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position FROM events""",
 )
 def win_row_number(t: Tables):
-    out = row_number(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], [day_slice("ts")], "position")
+    out = row_number(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], clock_slices("ts"), "position")
     return out.drop("ts")
 
 
@@ -50,7 +49,7 @@ def win_dense_rank_over_agg(t: Tables):
     """SELECT user_id, event_id, COALESCE(ROUND(value - LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 2), 0) AS delta FROM events""",
 )
 def win_lag_delta(t: Tables):
-    seq = previous(t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], [day_slice("ts")], {"before": "value"})
+    seq = previous(t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], clock_slices("ts"), {"before": "value"})
     delta = F.coalesce(F.round(F.col("value") - F.col("before"), 2), F.lit(0.0))
     return seq.select("user_id", "event_id", delta.alias("delta"))
 
@@ -61,7 +60,7 @@ def win_lag_delta(t: Tables):
 )
 def win_running_sum_rows(t: Tables):
     run = cumulate(
-        t.events.select("user_id", "ts", "event_id", "value"), ["user_id"], ["ts", "event_id"], [day_slice("ts")],
+        t.events.select("user_id", "ts", "event_id", "value"), ["user_id"], ["ts", "event_id"], clock_slices("ts"),
         {"running": ("sum", "value")},
     )
     return _round(run, "running").drop("ts", "value")
@@ -75,7 +74,7 @@ def win_running_sum_range(t: Tables):
     # The frame ends with the day's last row, so the days are totalled first and the running total goes back to rows.
     lines = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", day("l_shipdate").alias("d"))
     daily = lines.groupBy("l_suppkey", "d").agg(F.sum("l_quantity").alias("q"))
-    run = cumulate(daily, ["l_suppkey"], ["d"], [month_slice("d")], {"running": ("sum", "q")}).drop("q")
+    run = cumulate(daily, ["l_suppkey"], ["d"], [], {"running": ("sum", "q")}).drop("q")
     return _round(lines.join(run, ["l_suppkey", "d"]), "running").drop("d", "l_quantity")
 
 
@@ -87,7 +86,7 @@ def win_running_sum_range(t: Tables):
 def win_agg_then_running(t: Tables):
     month = F.trunc(day("l_shipdate"), "month").alias("month")
     monthly = t.lineitem.groupBy("l_suppkey", month).agg(F.sum("l_quantity").alias("qty"))
-    run = cumulate(monthly, ["l_suppkey"], ["month"], [F.year("month")], {"running": ("sum", "qty")})
+    run = cumulate(monthly, ["l_suppkey"], ["month"], [], {"running": ("sum", "qty")})
     return _round(run, "qty", "running").select("l_suppkey", F.date_format("month", "yyyyMM").alias("month_id"), "qty", "running")
 
 
@@ -111,7 +110,7 @@ def win_partition_total(t: Tables):
 def win_conditional_sum(t: Tables):
     kind = F.col("event_type")
     run = cumulate(
-        t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], [day_slice("ts")],
+        t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], clock_slices("ts"),
         {"bought": ("sum", F.when(kind == "purchase", F.col("value"))), "errors": ("count", F.when(kind == "error", 1))},
     )
     return run.select("user_id", "event_id", F.round(F.coalesce("bought", F.lit(0.0)), 2).alias("bought"), "errors")
@@ -123,7 +122,7 @@ def win_conditional_sum(t: Tables):
 )
 def win_prev_max_gain(t: Tables):
     run = cumulate(
-        t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], [day_slice("ts")],
+        t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], clock_slices("ts"),
         {"best": ("max", "value")}, exclude_current=True,
     )
     gain = F.coalesce(F.round(F.col("value") - F.col("best"), 2), F.lit(0.0))
@@ -143,10 +142,10 @@ def win_phase_running(t: Tables):
     daily = t.lineitem.groupBy(
         F.col("l_suppkey").alias("lot"), F.col("l_linenumber").alias("pen"), phase, day("l_shipdate").alias("day")
     ).agg(F.sum("l_quantity").alias("qty"))
-    pens = cumulate(daily, ["lot", "pen", "phase"], ["day"], [month_slice("day")], {"pen_running": ("sum", "qty")})
+    pens = cumulate(daily, ["lot", "pen", "phase"], ["day"], [], {"pen_running": ("sum", "qty")})
     lots = cumulate(
         daily.groupBy("lot", "phase", "day").agg(F.sum("qty").alias("qty")), ["lot", "phase"], ["day"],
-        [month_slice("day")], {"lot_running": ("sum", "qty")},
+        [], {"lot_running": ("sum", "qty")},
     ).drop("qty")
     return _round(pens.join(lots, ["lot", "phase", "day"]), "pen_running", "lot_running").drop("qty")
 
@@ -158,7 +157,7 @@ def win_phase_running(t: Tables):
 )
 def win_running_max(t: Tables):
     run = cumulate(
-        t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], [day_slice("ts")],
+        t.events.select(*_EVENTS), ["user_id"], ["ts", "event_id"], clock_slices("ts"),
         {"best": ("max", "value"), "worst": ("min", "value")},
     )
     return run.select("user_id", "event_id", "best", "worst")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -49,9 +49,12 @@ def shared_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    root = os.environ.get("FARMLEDGER_LOCAL_SCRATCH") or tempfile.mkdtemp(prefix="farmledger-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="farmledger-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
