@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from farmledger.functions.ratios import fixed
 from farmledger.functions.text import string_list
+from farmledger.operators.joins import join_same
 
 Expr = str | Column
 
@@ -61,7 +62,7 @@ def rollup_levels(
 
     out = ratio(sums[names[0]], names[0])
     for name in names[1:]:
-        out = out.join(ratio(sums[name], name), list(levels[name]))
+        out = join_same(out, ratio(sums[name], name), levels[name])
     return out
 
 
@@ -119,12 +120,21 @@ def with_and_without(
     """The full roll-up and its twin over the rows that ``keep`` admits.
 
     With ``tag`` each twin is labelled (2 = all rows, 1 = without atypical rows) and every twin stays. Without it, a
-    twin is added only where it differs from the full result.
+    twin is added only where it differs from the full result. Rows are dealt to one or both scopes, so one scan and one
+    aggregate serve both.
     """
-    full, part = agg(df, keys, **aggs), agg(df.where(keep), keys, **aggs)
+    scope = tag or "__scope"
+    scopes = F.when(keep, F.array(F.lit(2), F.lit(1))).otherwise(F.array(F.lit(2)))
+    both = agg(df.select("*", F.explode(scopes).alias(scope)), [*keys, scope], **aggs)
     if tag is not None:
-        full, part = full.withColumn(tag, F.lit(2)), part.withColumn(tag, F.lit(1))
-    return full.unionByName(part.subtract(full))
+        return both.select(*keys, *aggs, tag)
+    pack = F.struct(*aggs)
+    twins = both.groupBy(*keys).agg(
+        F.max(F.when(F.col(scope) == 2, pack)).alias("full"), F.max(F.when(F.col(scope) == 1, pack)).alias("part")
+    )
+    differs = F.col("part").isNotNull() & ~F.col("part").eqNullSafe(F.col("full"))
+    kept = F.when(differs, F.array("full", "part")).otherwise(F.array("full"))
+    return twins.select(*keys, F.explode(kept).alias("__t")).select(*keys, "__t.*")
 
 
 def band_sums(df: DataFrame, key: Sequence[str], col: str, value: Expr, bands: Mapping[str, tuple]) -> DataFrame:
@@ -145,7 +155,7 @@ def band_sums(df: DataFrame, key: Sequence[str], col: str, value: Expr, bands: M
 def fill_from_group_max(df: DataFrame, key: Sequence[str], cols: Sequence[str], cond: Column) -> DataFrame:
     """Rows satisfying ``cond`` take the key's highest value in every listed column."""
     top = df.groupBy(*key).agg(*[F.max(c).alias(f"__m_{c}") for c in cols])
-    joined = df.join(top, list(key), "left")
+    joined = join_same(df, top, key)
     return joined.select(
         *[F.when(cond, F.col(f"__m_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns]
     )
@@ -175,5 +185,5 @@ def detail_plus_summary(
 def with_total(df: DataFrame, part: Sequence[str], sums: Mapping[str, Expr]) -> DataFrame:
     """Partition totals on every row."""
     totals = df.groupBy(*part).agg(*[F.sum(_col(e)).alias(n) for n, e in sums.items()])
-    return df.join(totals, list(part), "left")
+    return join_same(df, totals, part)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from farmledger.functions.calendar import cycle_label, in_month, rolling_months
 from farmledger.functions.ratios import fixed, safe_ratio
-from farmledger.operators.merge import append_new
+from farmledger.operators.merge import keep_own_or_once
 from farmledger.operators.reshape import pivot_case
 from farmledger.operators.setops import union_all
 
@@ -88,14 +88,21 @@ def cycle_fanout(df: DataFrame, month: str, cycle: str, as_of: dt.date, months:
     """Publish every closed month again under each later cycle of the last ``months`` months; only new rows are added.
 
     ``month`` is the first day of the cost month. The closed months form a table of at most ``months`` + 1 rows. They are
-    gathered per row as an array, so each row yields its later cycles without pairing it with the others.
+    offered to each row as an array: the row emits itself and its later cycles, and one aggregate drops what exists.
     """
     recent = df.where(rolling_months(month, as_of, months)).select(F.col(month).cast("date").alias("__m")).distinct()
     closed = recent.agg(F.sort_array(F.collect_set("__m")).alias("__all")).scalar()
     listed = df.withColumn("__all", closed)
-    later = F.filter("__all", lambda m: m >= F.col(month).cast("date"))
-    again = listed.withColumn("__later", F.explode(later)).withColumn(cycle, cycle_label("__later")).select(*df.columns)
-    return append_new(df, again.distinct())
+    later = F.transform(
+        F.filter("__all", lambda m: m >= F.col(month).cast("date")),
+        lambda m: F.struct(cycle_label(m).alias("c"), F.lit(0).alias("own")),
+    )
+    own = F.array(F.struct(F.col(cycle).alias("c"), F.lit(1).alias("own")))
+    lines = listed.select("*", F.explode(F.concat(own, later)).alias("__l"))
+    published = lines.select(
+        *[F.col("__l.c").alias(cycle) if c == cycle else F.col(c) for c in df.columns], F.col("__l.own").alias("__own")
+    )
+    return keep_own_or_once(published, df.columns, "__own")
 
 
 def current_extract(df: DataFrame, month: str, as_of: dt.date, months_back: int) -> DataFrame:

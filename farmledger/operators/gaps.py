@@ -29,7 +29,7 @@ def densify_tail(
     last = df.groupBy(*key).agg(
         F.max(day).alias("__last"), F.max_by(F.struct(*held, F.lit(0).alias("__pad")), F.col(day)).alias("__held")
     ).select(*key, "__last", *[F.col(f"__held.{c}").alias(c) for c in held])
-    end = df.groupBy(*grp).agg(F.max(day).alias("__end"))
+    end = last.groupBy(*grp).agg(F.max("__last").alias("__end"))
     start = F.date_add("__last", 1) if is_date else F.col("__last") + 1
     short = last.join(end, list(grp)).where(F.col("__last") < F.col("__end"))
     added = short.select(*key, *held, F.explode(F.sequence(start, F.col("__end"))).alias(day), F.lit(2).alias(flag))

@@ -21,6 +21,13 @@ def _col(c: Expr) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def join_same(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on which NULL keys match each other, as they do in a window partition."""
+    side = b.withColumnsRenamed({k: f"__j_{k}" for k in on})
+    cond = [F.col(k).eqNullSafe(F.col(f"__j_{k}")) for k in on]
+    return a.join(side, cond, how).drop(*[f"__j_{k}" for k in on])
+
+
 def left_chain(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Left joins against several dimensions, fact first."""
     for dim, on in dims:
@@ -60,26 +67,18 @@ def lookahead_max(df: DataFrame, key: Sequence[str], day: str, col: str, n: int,
     return df.join(best, [*key, day], "left")
 
 
-def asof_max(
-    left: DataFrame,
-    right: DataFrame,
-    key: Sequence[str],
-    day: str,
-    cols: Mapping[str, str],
-    slices: Sequence[Expr],
-) -> DataFrame:
+def asof_max(left: DataFrame, right: DataFrame, key: Sequence[str], day: str, cols: Mapping[str, str]) -> DataFrame:
     """Highest right-hand values dated on or before each left-hand day; 0 when there are none.
 
-    Both sides form one timeline per key, right-hand lines first within a day, and a running maximum answers all
-    left-hand rows at once.
+    The days of both sides form one timeline per key, at most one row per day, on which a running maximum answers every
+    day at once; the left-hand rows then look their day up.
     """
-    stamped = left.select("*", F.lit(1).alias("__probe"), *[F.lit(None).cast("double").alias(f"__r_{o}") for o in cols])
-    daily = right.groupBy(*key, day).agg(*[F.max(F.col(c).cast("double")).alias(f"__r_{o}") for o, c in cols.items()])
-    line = stamped.unionByName(daily.withColumn("__probe", F.lit(0)), allowMissingColumns=True)
-    held = cumulate(
-        line, key, [day], slices, {o: ("max", f"__r_{o}") for o in cols}, frame="range"
-    ).where(F.col("__probe") == 1)
-    return held.select(*left.columns, *[F.coalesce(o, F.lit(0.0)).alias(o) for o in cols])
+    probes = left.select(*key, day).distinct()
+    daily = right.groupBy(*key, day).agg(*[F.max(F.col(c).cast("double")).alias(o) for o, c in cols.items()])
+    line = probes.unionByName(daily, allowMissingColumns=True).groupBy(*key, day).agg(*[F.max(o).alias(o) for o in cols])
+    held = cumulate(line.withColumnsRenamed({o: f"__r_{o}" for o in cols}), key, [day], [], {o: ("max", f"__r_{o}") for o in cols})
+    found = join_same(left, held.select(*key, day, *cols), [*key, day])
+    return found.select(*left.columns, *[F.coalesce(o, F.lit(0.0)).alias(o) for o in cols])
 
 
 def interval_join(

@@ -34,11 +34,6 @@ def _col(c: Expr) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def month_slice(day: Expr) -> Column:
-    """Slice a date ordering by calendar month."""
-    return F.trunc(_col(day).cast("date"), "month")
-
-
 def clock_slices(ts: Expr, unit: str = "minute") -> list[Column]:
     """Slice a timestamp ordering by day, hour or minute.
 
@@ -128,6 +123,23 @@ def cumulate(
     return sl.finish(out, list(kinds))
 
 
+def cumulate_peers(
+    df: DataFrame, keys: Sequence[str], order: str, measures: Mapping[str, tuple[str, Expr]]
+) -> DataFrame:
+    """Running aggregates in which rows with equal ``order`` (a day, a week, an age) share the total up to that value.
+
+    The rows are aggregated to (key, order) first, so the window sees one row per key and calendar step however many
+    rows a day holds; the totals return to the rows by a join, whose hot partitions can be split.
+    """
+    values = df.select(*keys, order, *[_col(e).alias(f"__v_{o}") for o, (_, e) in measures.items()])
+    per = values.groupBy(*keys, order).agg(*[_AGG[k](f"__v_{o}").alias(f"__v_{o}") for o, (k, _) in measures.items()])
+    kinds = {o: ("sum" if k == "count" else k, f"__v_{o}") for o, (k, _) in measures.items()}
+    run = cumulate(per, keys, [order], [], kinds).select(*keys, order, *measures)
+    side = run.withColumnsRenamed({c: f"__j_{c}" for c in (*keys, order)})
+    same = [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in (*keys, order)]
+    return df.join(side, same, "left").select(*df.columns, *measures)
+
+
 def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Expr], slices: Sequence[Expr], out: str) -> DataFrame:
     """Position of the row within its key."""
     return cumulate(df, keys, order, slices, {out: ("sum", F.lit(1))})

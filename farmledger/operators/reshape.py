@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farmledger.functions.ratios import fixed
+from farmledger.operators.joins import join_same
 
 Expr = str | Column
 
@@ -70,7 +71,7 @@ def top_n_others(
         F.sum("__q").alias("__top"),
     )
     whole = totals.groupBy(*key).agg(F.sum("__q").alias("qty_total"))
-    joined = wide.join(whole, list(key))
+    joined = join_same(wide, whole, key)
     pct = [fixed(F.try_divide(F.col(f"qty_{i}"), F.col("qty_total")) * 100, scale).alias(f"pct_{i}") for i in range(1, n + 1)]
     return joined.select(
         *key,

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farmledger.functions import (
@@ -56,10 +56,11 @@ def mortality_daily(days: DataFrame) -> DataFrame:
     """Deaths per pen and age with running and weekly totals; pens that stop early are carried to the lot's last age."""
     daily = days.groupBy(*PEN, "age").agg(F.sum("deaths").alias("deaths"))
     daily = daily.withColumn("week", week_of_life("age"))
+    # A pen has one row per day of life, so plain windows serve; all three share the shuffle on the pen.
+    by_week = Window.partitionBy(*PEN, "week")
     run = cumulate(daily, PEN, ["age"], [], {"deaths_so_far": ("sum", "deaths")})
-    weekly = daily.groupBy(*PEN, "week").agg(F.sum("deaths").alias("deaths_week"))
-    weekly = cumulate(weekly, PEN, ["week"], [], {"deaths_to_week": ("sum", "deaths_week")})
-    full = run.join(weekly, [*PEN, "week"])
+    run = cumulate(run, PEN, ["week"], [], {"deaths_to_week": ("sum", "deaths")}, frame="range")
+    full = run.withColumn("deaths_week", F.sum("deaths").over(by_week))
     dense = gaps.densify_tail(
         full.drop("week"), PEN, ["zone", "lot"], "age", ["deaths_so_far", "deaths_to_week"], ["deaths", "deaths_week"]
     )
@@ -76,15 +77,12 @@ def mortality_causes(days: DataFrame, causes: Sequence[str], keys: Sequence[str]
 def mortality_levels(days: DataFrame, heads: DataFrame, typical: Column) -> DataFrame:
     """Deaths and mortality per pen, house and lot, each with its twin without atypical rows (scope 2 = all, 1 = without)."""
     placed = heads.groupBy(*PEN).agg(F.max("heads").alias("heads"))
-
-    def levels(rows: DataFrame, scope: int) -> list[DataFrame]:
-        pens = rows.groupBy(*PEN).agg(F.sum("deaths").alias("deaths")).join(placed, PEN)
-        chain = A.rollup_chain(
-            pens, LEVELS, {"deaths": "deaths", "heads": "heads"}, {"mort_pct": safe_pct("deaths", "heads", 4)}
-        )
-        return [df.withColumns({"level": F.lit(name), "scope": F.lit(scope)}) for name, df in chain.items()]
-
-    return union_all(*levels(days, 2), *levels(days.where(typical), 1), fill_missing=True)
+    pens = A.with_and_without(days, typical, PEN, {"deaths": F.sum("deaths")}, tag="scope").join(placed, PEN)
+    chain = A.rollup_chain(
+        pens, [(name, [*keys, "scope"]) for name, keys in LEVELS], {"deaths": "deaths", "heads": "heads"},
+        {"mort_pct": safe_pct("deaths", "heads", 4)},
+    )
+    return union_all(*[df.withColumn("level", F.lit(name)) for name, df in chain.items()], fill_missing=True)
 
 
 def weight_weekly(days: DataFrame, weeks: Mapping[int, str], ages: Sequence[int], ahead: int = 2) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from farmledger.functions import fixed, from_year_start, like_label, rolling_months
 from farmledger.operators import filters, joins
-from farmledger.operators.ordered import month_slice
 from farmledger.operators.setops import union_all
 from farmledger.plans.registry import query
 from farmledger.plans.standins import AS_OF, DAILY_READINGS, daily_readings, day, fx
@@ -271,7 +270,7 @@ def asof_max(t: Tables):
     rows = t.orders.select("o_orderkey", F.col("o_custkey").alias("farm"), day("o_orderdate").alias("day"), "o_orderstatus", "o_totalprice")
     left = rows.where(F.col("o_orderstatus") == "O").select("o_orderkey", "farm", "day")
     right = rows.where(F.col("o_orderstatus") == "F").select("farm", "day", "o_totalprice")
-    return joins.asof_max(left, right, ["farm"], "day", {"best": "o_totalprice"}, [month_slice("day")])
+    return joins.asof_max(left, right, ["farm"], "day", {"best": "o_totalprice"})
 
 
 @query(

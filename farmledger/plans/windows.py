@@ -9,6 +9,7 @@ from farmledger.operators import agg as A
 from farmledger.operators.ordered import (
     clock_slices,
     cumulate,
+    cumulate_peers,
     dense_rank,
     previous,
     row_number,
@@ -71,11 +72,9 @@ def win_running_sum_rows(t: Tables):
     """SELECT l_suppkey, l_orderkey, l_linenumber, ROUND(SUM(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate), 2) AS running FROM lineitem""",
 )
 def win_running_sum_range(t: Tables):
-    # The frame ends with the day's last row, so the days are totalled first and the running total goes back to rows.
     lines = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", day("l_shipdate").alias("d"))
-    daily = lines.groupBy("l_suppkey", "d").agg(F.sum("l_quantity").alias("q"))
-    run = cumulate(daily, ["l_suppkey"], ["d"], [], {"running": ("sum", "q")}).drop("q")
-    return _round(lines.join(run, ["l_suppkey", "d"]), "running").drop("d", "l_quantity")
+    run = cumulate_peers(lines, ["l_suppkey"], "d", {"running": ("sum", "l_quantity")})
+    return _round(run, "running").drop("d", "l_quantity")
 
 
 @query(

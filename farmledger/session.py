@@ -19,9 +19,17 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings; partition counts and memory stay with the cluster."""
+    """Apply the runtime settings; memory stays with the cluster.
+
+    On a cluster a shuffle starts with several partitions per core, unless the cluster names a number itself: adaptive
+    execution merges partitions that turn out small, but splits large ones in skewed joins only.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(initial, None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(initial, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)))
     return spark
 
 

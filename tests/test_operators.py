@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from farmledger import functions as fn
 from farmledger.operators import agg, cost, dims, filters, gaps, joins, kpi, reshape
-from farmledger.operators.ordered import clock_slices, cumulate, dense_rank, previous, row_number, width_slice
+from farmledger.operators.ordered import clock_slices, cumulate, cumulate_peers, dense_rank, previous, row_number, width_slice
 
 
 def rows(df):
@@ -66,6 +66,7 @@ def test_sliced_peers(spark, skewed, kind):
     w = Window.partitionBy("k").orderBy("day")
     plain = skewed.select("k", "id", F.sum("v").over(w).alias("s"))
     assert rows(cumulate(skewed, ["k"], ["day"], slices, {"s": ("sum", "v")}, frame="range").select("k", "id", "s")) == rows(plain)
+    assert rows(cumulate_peers(skewed, ["k"], "day", {"s": ("sum", "v")}).select("k", "id", "s")) == rows(plain)
     ranked = skewed.select("k", "id", F.dense_rank().over(w).alias("r"))
     assert rows(dense_rank(skewed, ["k"], ["day"], slices, "r").select("k", "id", "r")) == rows(ranked)
 
