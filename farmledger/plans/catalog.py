@@ -8,6 +8,7 @@ from farmledger.plans import (  # noqa: F401
     finance,
     indicators,
     loads,
+    production_details,
     production_queries,
     scalars,
     selections,

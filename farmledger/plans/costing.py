@@ -93,3 +93,16 @@ def conformed_dimension(published: DataFrame | None, source: DataFrame, nk: Sequ
     return dims.merge_dim(published.withColumn(sk, F.col(sk).cast("long")), current, nk)
 
 
+
+
+def commercial_measures(
+    sales: DataFrame, expenses: DataFrame, stock: DataFrame, closed_on: str, keys: Sequence[str]
+) -> DataFrame:
+    """The plan's measure rows: sales and expense per unit of the latest closed month, and stock, each tagged ``obs``."""
+    latest = cost.latest_closed_month(sales, closed_on, closed_on)
+    sold = latest.groupBy(*keys).agg(fixed(F.sum("amount"), 2).alias("amount"), F.sum("quantity").alias("quantity"))
+    spent = cost.latest_closed_month(expenses, closed_on, closed_on).groupBy(*keys).agg(
+        safe_ratio(F.sum("amount"), F.sum("quantity")).alias("per_unit")
+    )
+    held = stock.groupBy(*keys).agg(F.sum("heads").alias("heads"))
+    return cost.measure_rows({"sales": sold, "expense": spent, "stock": held}, "obs")

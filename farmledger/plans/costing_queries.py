@@ -172,3 +172,20 @@ def replace_months_roundtrip(t: Tables):
     source = t.orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") * 2)
     replace_months(t.spark, name, source, "o_orderdate", dt.date(2001, 4, 1), dt.date(2001, 6, 1), root)
     return t.spark.table(name).select("o_orderkey", "o_totalprice", F.col("month").cast("string").alias("month"))
+
+
+@query(
+    "plan_commercial_measures",
+    f"""WITH m AS (SELECT * FROM lineitem WHERE date_trunc('month', l_shipdate) = (SELECT date_trunc('month', MAX(l_shipdate)) FROM lineitem WHERE l_linestatus = 'F') AND l_linestatus = 'F'),
+    e AS (SELECT * FROM lineitem WHERE date_trunc('month', l_shipdate) = (SELECT date_trunc('month', MAX(l_shipdate)) FROM lineitem WHERE l_returnflag = 'R') AND l_returnflag = 'R')
+    SELECT 'sales' AS obs, l_suppkey, {fx("SUM(l_extendedprice)", 2)} AS amount, SUM(l_quantity) AS quantity, CAST(NULL AS DOUBLE) AS per_unit, CAST(NULL AS DOUBLE) AS heads FROM m GROUP BY 2
+    UNION ALL SELECT 'expense', l_suppkey, NULL, NULL, COALESCE({fx("SUM(l_extendedprice) / NULLIF(SUM(l_quantity), 0)")}, 0), NULL FROM e GROUP BY 2
+    UNION ALL SELECT 'stock', l_suppkey, NULL, NULL, NULL, SUM(l_quantity) FROM lineitem GROUP BY 2""",
+)
+def plan_commercial_measures(t: Tables):
+    lines = t.lineitem.select(
+        "l_suppkey", day("l_shipdate").alias("closed_on"), F.col("l_extendedprice").alias("amount"), F.col("l_quantity").alias("quantity"),
+        F.col("l_quantity").alias("heads"), "l_linestatus", "l_returnflag",
+    )
+    sales, expenses = lines.where(F.col("l_linestatus") == "F"), lines.where(F.col("l_returnflag") == "R")
+    return costing.commercial_measures(sales, expenses, lines, "closed_on", ["l_suppkey"])

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from farmledger.functions import (
     age_days,
+    day_number,
     fixed,
+    per_thousand,
     rolling_months,
     safe_pct,
     safe_ratio,
@@ -24,7 +26,7 @@ from farmledger.functions import (
     week_of_life,
 )
 from farmledger.operators import agg as A
-from farmledger.operators import gaps, joins, kpi, reshape
+from farmledger.operators import dims, gaps, joins, kpi, reshape
 from farmledger.operators.merge import replace_rolling
 from farmledger.operators.ordered import cumulate, previous
 from farmledger.operators.setops import union_all
@@ -247,3 +249,125 @@ def utilities(placements: DataFrame, use: DataFrame, factors: Mapping[str, Mappi
         placements.withColumn("entity", clean), use.withColumn("entity", clean), "entity",
         {"heads": "heads", "product": "product", "quantity": "quantity"}, factors,
     )
+
+
+def mortality_monthly(days: DataFrame, typical: Column) -> DataFrame:
+    """Deaths and pens per zone and month, with the twin without atypical rows (scope 2 = all, 1 = without)."""
+    monthly = days.withColumn("month_id", F.date_format("day", "yyyyMM"))
+    aggs = {"deaths": F.sum("deaths"), "pens": F.count_distinct(F.struct("lot", "house", "pen"))}
+    return A.with_and_without(monthly, typical, ["zone", "month_id"], aggs, tag="scope")
+
+
+def mortality_lot_week(days: DataFrame) -> DataFrame:
+    """Deaths per lot and week of life with the running total; lots that end early are carried to the zone's last week."""
+    weekly = days.groupBy("zone", "lot", week_of_life("age").alias("week")).agg(F.sum("deaths").alias("deaths"))
+    run = cumulate(weekly, ["zone", "lot"], ["week"], [], {"deaths_so_far": ("sum", "deaths")})
+    return gaps.densify_tail(run, ["zone", "lot"], ["zone"], "week", ["deaths_so_far"], ["deaths"])
+
+
+def mortality_causes_running(days: DataFrame, causes: Sequence[str], keys: Sequence[str], n: int = 3) -> DataFrame:
+    """Leading causes per key by all deaths up to each week of life."""
+    weekly = days.groupBy(*keys, week_of_life("age").alias("week")).agg(*[F.sum(c).alias(c) for c in causes])
+    totals = {c: ("sum", c) for c in causes}
+    run = cumulate(weekly.withColumnsRenamed({c: f"__{c}" for c in causes}), keys, ["week"], [], {c: ("sum", f"__{c}") for c in totals})
+    long = reshape.unpivot(run, [*keys, "week"], causes, "cause", "deaths", drop_zero=True)
+    return reshape.top_n_others(long, [*keys, "week"], "cause", "deaths", n)
+
+
+def sales_detail(
+    loads: DataFrame, spans: DataFrame, key: Sequence[str], markers: tuple[tuple[int, int, int], ...]
+) -> DataFrame:
+    """Loads with the campaign they fall into, their age by the day-number rule and a missing product filled from the lot.
+
+    ``loads`` has ``loaded_at`` and ``product``; ``spans`` has ``lot``, ``lo`` and ``hi`` (zone-less timestamps).
+    """
+    placed = joins.interval_join(loads, spans, key, "loaded_at", "lo", "hi")
+    aged = placed.withColumn("age", day_number("loaded_at", markers) - day_number("lo", markers))
+    return gaps.backfill_from_group(aged, ["lot"], "product")
+
+
+def breeder_weekly(days: DataFrame, curve: DataFrame, cap: int, capped: Column) -> DataFrame:
+    """House figures per week: deaths, feed, change from exactly the week before, and the standard held past its last age."""
+    key = ["zone", "lot", "house"]
+    weekly = days.groupBy(*key, "breed", week_of_life("age").alias("week")).agg(
+        F.sum("deaths").alias("deaths"), F.sum("feed").alias("feed")
+    )
+    seq = joins.lag_join(weekly, [*key, "breed"], "week", {"feed_before": "feed"})
+    std = gaps.cap_standard(curve, ["breed"], "week", ["std"], cap, capped)
+    met = seq.join(std, ["breed", "week"], "left")
+    return met.select(
+        *weekly.columns, F.coalesce(F.col("feed") - F.col("feed_before"), F.lit(0.0)).alias("feed_change"), "std"
+    )
+
+
+def breeder_liquidation(days: DataFrame) -> DataFrame:
+    """Closing figures per lot: last day of each pen, and the pens' closing ages weighted by their heads."""
+    totals = days.groupBy(*PEN).agg(F.sum("deaths").alias("deaths"))
+    last = A.latest(days, PEN, ["age"], ["age", "day"]).withColumnRenamed("day", "closed_on")
+    return (
+        totals.join(last, PEN)
+        .groupBy("zone", "lot")
+        .agg(
+            F.max("closed_on").alias("closed_on"),
+            F.sum("deaths").alias("deaths"),
+            fixed(F.try_divide(F.sum(F.col("age") * F.col("deaths")), F.sum("deaths"))).alias("closing_age"),
+        )
+    )
+
+
+def consolidated_daily(days: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pen and day: deaths, birds at the start of the day (needs the day before) and the day's mortality of the start."""
+    daily = days.groupBy(*PEN, "age").agg(F.sum("deaths").alias("deaths"))
+    balance = kpi.opening_balance(joins.push_down(daily, heads, PEN, ["heads"]), PEN, "age", "deaths", "heads")
+    return balance.withColumn("mort_pct", safe_pct("deaths", "opening", 4))
+
+
+def consolidated_monthly(loads: DataFrame) -> DataFrame:
+    """Lots closed per zone and month of their last load, with ratios derived from the sums."""
+    lots = loads.groupBy("zone", "lot").agg(
+        F.max("day").alias("closed_on"), F.sum("heads").alias("sold"), F.sum("kilos").alias("kilos"),
+        F.sum(F.col("age") * F.col("heads")).alias("age_heads"),
+    )
+    return lots.groupBy("zone", F.date_format("closed_on", "yyyyMM").alias("month_id")).agg(
+        F.count(F.lit(1)).alias("lots"),
+        F.sum("sold").alias("sold"),
+        fixed(F.try_divide(F.sum("kilos"), F.sum("sold"))).alias("weight"),
+        fixed(F.try_divide(F.sum("age_heads"), F.sum("sold"))).alias("sale_age"),
+    )
+
+
+def idle_days(lots: DataFrame, house: Sequence[str], start: str, end: str) -> DataFrame:
+    """Days a house stood empty before each campaign (NULL before the first), on every lot of the campaign."""
+    seq = dims.campaign_sequence(lots, house, [start], [start], start, end)
+    return seq.withColumn("idle_days", F.datediff("campaign_start", "previous_end"))
+
+
+def weighted_standards(days: DataFrame, heads: DataFrame, curve: DataFrame, weeks: Mapping[int, str]) -> DataFrame:
+    """Standard of selected weeks weighted by heads on pen, house and lot level; weeks without a standard carry no weight."""
+    present = days.select(*PEN, "breed", week_of_life("age").alias("week")).where(F.col("week").isin(list(weeks))).distinct()
+    rows = joins.push_down(present, heads, PEN, ["heads"]).join(curve, ["breed", "week"], "left")
+    rows = rows.withColumn("std", F.coalesce("std", F.lit(0.0)))
+    levels = {f"std_{name}": [*keys, "week"] for name, keys in LEVELS}
+    long = A.rollup_levels(rows, levels, "std", "heads", nonzero=True)
+    return long.groupBy(*PEN).agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("week") == w, F.col(m))), F.lit(0.0)).alias(f"{m}_{label}")
+            for w, label in weeks.items()
+            for m in levels
+        ]
+    )
+
+
+def water_use(placements: DataFrame, use: DataFrame, shipped: DataFrame, per_head: Column, scale: int = 4) -> DataFrame:
+    """Water per 1000 heads for the entities ``per_head`` admits, per 1000 kilos shipped for all others."""
+    quantity = use.groupBy("entity").agg(F.sum("quantity").alias("quantity"))
+    kilos = shipped.groupBy("entity").agg(F.sum("kilos").alias("kilos"))
+    joined = placements.join(quantity, "entity", "left").join(kilos, "entity", "left")
+    base = F.when(per_head, F.col("heads")).otherwise(F.coalesce("kilos", F.lit(0.0)))
+    return joined.select("entity", per_thousand(F.coalesce("quantity", F.lit(0.0)), base, scale).alias("water"))
+
+
+def consumption_levels(use: DataFrame, level_dims: Mapping[str, tuple[DataFrame, str]], scale: int = 4) -> DataFrame:
+    """Use per 1000 with the base of the level (lot, house, pen) that each line was booked on."""
+    based = joins.lookup_by_level(use, "level", level_dims, "base", "base")
+    return based.withColumn("per_thousand", per_thousand("quantity", "base", scale))
