@@ -154,13 +154,15 @@ def regroup(df: DataFrame, col: str, mapping: Mapping[str, Sequence], default: s
     return df.withColumn(out, group.otherwise(F.lit(default)))
 
 
-def campaign_sequence(df: DataFrame, part: Sequence[str], order: Sequence[Expr], slices: Sequence[Expr],
-                      start: str, end: str) -> DataFrame:
-    """Number the campaigns within a house and put this campaign's first and the previous one's last date on each row."""
+def campaign_sequence(df: DataFrame, part: Sequence[str], order: Sequence[Expr], start: str, end: str) -> DataFrame:
+    """Number the campaigns within a house and put this campaign's first and the previous one's last date on each row.
+
+    ``order`` is a date or another value with few distinct entries per house.
+    """
     from farmledger.operators.joins import lag_join
     from farmledger.operators.ordered import dense_rank
 
-    ranked = dense_rank(df, part, order, slices, "campaign")
+    ranked = dense_rank(df, part, order, [], "campaign")
     dates = ranked.groupBy(*part, "campaign").agg(
         F.min(start).alias("campaign_start"), F.max(end).alias("campaign_end")
     )

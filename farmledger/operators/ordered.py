@@ -146,17 +146,20 @@ def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Expr], slices
 
 
 def dense_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Expr], slices: Sequence[Expr], out: str) -> DataFrame:
-    """Rank without gaps; equal order values share a rank."""
-    if not slices:
-        return df.select("*", F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)).alias(out))
-    sl = _Sliced(df, keys, order, slices)
-    distinct = sl.base.groupBy(*sl.keys, *sl.s, *sl.o).agg(F.lit(1).alias("__one"))
-    totals = sl.per_slice(distinct, F.sum("__one").alias("__carry"))
-    opening = totals.select(*sl.keys, *sl.s, F.sum("__carry").over(sl.before()).alias("__carry"))
-    lines = sl.opened(sl.base.withColumn("__carry", F.lit(None).cast("long")), opening)
-    whole = Window.partitionBy(*sl.keys, *sl.s).orderBy("__line", *sl.o).rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.dense_rank().over(sl.inside()) - 1 + F.coalesce(F.max("__carry").over(whole), F.lit(0))
-    return sl.finish(lines.select("*", rank.cast("int").alias(out)), [out])
+    """Rank without gaps; equal order values share a rank.
+
+    Only the distinct order values of a key are ranked, so rows that tie cost nothing; the ranks return to the rows by a
+    join, whose hot partitions can be split. Leave ``slices`` empty when the order is a date, age or week.
+    """
+    names, cuts = [f"__rank{i}" for i in range(len(order))], [f"__cut{i}" for i in range(len(slices))]
+    stamped = df.select("*", *[_col(c).alias(n) for c, n in zip(order, names)])
+    values = df.select(
+        *keys, *[_col(c).alias(n) for c, n in zip(order, names)], *[_col(c).alias(n) for c, n in zip(slices, cuts)]
+    ).distinct()
+    ranked = row_number(values, keys, names, cuts, out).select(*keys, *names, F.col(out).cast("int").alias(out))
+    side = ranked.withColumnsRenamed({c: f"__j_{c}" for c in (*keys, *names)})
+    same = [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in (*keys, *names)]
+    return stamped.join(side, same, "left").select(*df.columns, out)
 
 
 def previous(

@@ -253,4 +253,4 @@ def week_of_life_query(t: Tables):
 )
 def campaign_gap(t: Tables):
     lots = t.orders.select("o_custkey", "o_orderkey", day("o_orderdate").alias("placed"))
-    return dims.campaign_sequence(lots, ["o_custkey"], ["placed"], ["placed"], "placed", "placed")
+    return dims.campaign_sequence(lots, ["o_custkey"], ["placed"], "placed", "placed")

@@ -338,7 +338,7 @@ def consolidated_monthly(loads: DataFrame) -> DataFrame:
 
 def idle_days(lots: DataFrame, house: Sequence[str], start: str, end: str) -> DataFrame:
     """Days a house stood empty before each campaign (NULL before the first), on every lot of the campaign."""
-    seq = dims.campaign_sequence(lots, house, [start], [start], start, end)
+    seq = dims.campaign_sequence(lots, house, [start], start, end)
     return seq.withColumn("idle_days", F.datediff("campaign_start", "previous_end"))
 
 

@@ -70,7 +70,8 @@ def replace_months(
     # One shuffle by month and a spread, so that a month is written by several tasks and to few files each.
     spread = F.pmod(F.xxhash64(*[c for c in fresh.columns if c != "month"]), F.lit(16))
     fresh.repartition("month", spread).write.partitionBy("month").parquet(version)
-    written = {r["month"] for r in fresh.select("month").distinct().collect()}  # bounded by the month range
+    months_written = spark.read.schema(fresh.schema).parquet(version).select("month").distinct()
+    written = {r["month"] for r in months_written.collect()}  # at most the months of the range
     present = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     for m in months:
         place = f"'{version}/month={m}'"
