@@ -16,7 +16,7 @@ class Query:
     build: Callable[[Tables], DataFrame]
     oracle: str | None
 
-    def __call__(self, spark: SparkSession, directory: str) -> DataFrame:
+    def run(self, spark: SparkSession, directory: str) -> DataFrame:
         return self.build(Tables(spark, directory))
 
 

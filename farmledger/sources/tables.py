@@ -22,7 +22,7 @@ def read_table(spark: SparkSession, directory: str, name: str, glob: str | None
 
 
 class Tables:
-    """Lazy access to the Parquet tables of one folder: ``tables.orders`` is a scan."""
+    """Lazy access to the Parquet tables of one folder: ``tables.orders`` is a scan, whose footer is read once."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = tune(spark)
@@ -31,7 +31,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.directory, name)
+        table = read_table(self.spark, self.directory, name)
+        setattr(self, name, table)
+        return table
 
 
 def read_table_list(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
