@@ -4,11 +4,13 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from farmledger.plans.catalog import REGISTRY
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("FARMLEDGER_TEST_SF", "/root/testdata/sf0.001")
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: q.run for name, q in REGISTRY.items()}
+SQL = {name: q.oracle for name, q in REGISTRY.items() if q.oracle is not None}
 
 
 @pytest.fixture(scope="module")
