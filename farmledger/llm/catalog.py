@@ -1,6 +1,6 @@
 """Import every module that registers queries."""
 
-from farmledger.llm import decontamination, packing, pii, quality, sharding, url_filter  # noqa: F401
+from farmledger.llm import decontamination, packing, pii, quality, secret_scan, sharding, url_filter  # noqa: F401
 from farmledger.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
