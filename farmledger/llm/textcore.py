@@ -87,12 +87,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+class SpanHasher:
     """64-bit hashes of byte spans: a polynomial over random byte values, equal for equal bytes wherever they stand."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(len(data) + 1)
+        self.total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=self.total[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.total[ends] - self.total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return SpanHasher(data)(starts, ends)
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
