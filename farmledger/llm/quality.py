@@ -132,9 +132,10 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     source = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     counts = source.mapInArrow(summed, schema).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
     total = keep(counts, "quality-counts")
-    common = total.withColumn("r", rank).where((F.col("r") <= top_words) | (F.col("kind") == 0))
+    # the limit on the rank is applied by every task before the shuffle, so no task gets all words of a language
+    common = total.where("kind = 1").withColumn("r", rank).where(F.col("r") <= top_words).drop("r").unionByName(total.where("kind = 0"))
     sizes = total.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("all_words"))
     return common.join(sizes, "lang", "left").select("lang", "kind", "key", "n", "all_words")
 
