@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farmledger.llm.registry import register, table
 from farmledger.llm.textcore import LOWER, byte_table, covered, per_text, runs, span_hashes, text_chunks
@@ -182,6 +183,24 @@ def _occurrences(block: Block, words: np.ndarray, word_offsets: np.ndarray) -> t
     return position - base[stretch] + starts[stretch], block.length[which], block.owner[which]
 
 
+def benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list[Block]:
+    """The benchmark in blocks of at most ``block_words`` words (or one item)."""
+    blocks, items, held = [], [], 0
+    rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
+    for r in rows.where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
+        words = benchmark_words(r.t)
+        if len(words) == 0:
+            continue
+        if items and held + len(words) > block_words:
+            blocks.append(make_block(items, window))
+            items, held = [], 0
+        items.append((r.i, words))
+        held += len(words)
+    if items:
+        blocks.append(make_block(items, window))
+    return blocks
+
+
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Occurrences of benchmark windows in every document.
 
@@ -192,7 +211,6 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     columns are not read. The benchmark is read in blocks of ``block_words`` words; each block is searched by a step of its
     own, which hands the documents on with what was found so far.
     """
-    items_df = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
     source = docs.select(F.col(id_col), F.col(text).cast("string").alias("text"))
     id_type = dict(source.dtypes)[id_col]
     found_type = "spans array<struct<first: long, last: long>>, items array<string>"
@@ -240,23 +258,36 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         middle = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" if last else "text string"
         return df.mapInArrow(found, f"`{id_col}` {id_type}, {middle}, {found_type}")
 
-    blocks, items, held = [], [], 0
-    for r in items_df.where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
-        words = benchmark_words(r.t)
-        if len(words) == 0:
-            continue
-        if items and held + len(words) > block_words:
-            blocks.append(make_block(items, window))
-            items, held = [], 0
-        items.append((r.i, words))
-        held += len(words)
-    if items:
-        blocks.append(make_block(items, window))
+    blocks = benchmark_blocks(benchmark, item_id, item_text, window, block_words)
     for block in blocks[:-1]:
         source = search(source, block, False)
     return search(source, blocks[-1] if blocks else None, True)
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents without any occurrence of a benchmark window, with all their columns."""
+
+    def hit(block: Block):
+        @F.arrow_udf(T.BooleanType())
+        def occurs(column: pa.Array) -> pa.Array:
+            out = [np.zeros(0, dtype=bool)]
+            for _, data, offsets in text_chunks([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
+                data = LOWER[data]
+                starts, ends = runs(WORD_BYTES[data], offsets)
+                at = np.searchsorted(starts, offsets)
+                first, _, _ = _occurrences(block, span_hashes(data, starts, ends), at)
+                found = np.zeros(len(offsets) - 1, dtype=bool)
+                found[np.searchsorted(at, first, side="right") - 1] = True
+                out.append(found)
+            return pa.array(np.concatenate(out))
+
+        return occurs
+
+    for block in benchmark_blocks(benchmark, item_id, item_text, window, block_words):
+        docs = docs.where(~hit(block)(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return docs
+
+
 @register("op4_decontamination")
 def op4_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     """All documents searched for all benchmark items."""

@@ -194,6 +194,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= (F.size("x_set") + F.size("y_set") - common) * percent).select("x", "y")
 
 
+def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with the smallest id of their group, with all their columns; repeated rows stay once."""
+    groups = jaccard_groups(docs, n, percent, id_col, text)
+    first = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_first")).distinct()
+    kept = docs.join(first, docs[id_col].cast("long").eqNullSafe(first["_first"]), "left_semi")
+    same = Window.partitionBy(id_col, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))).orderBy(F.lit(1))
+    return kept.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy")
+
+
 @register("op2_ngram_jaccard_join")
 def op2_ngram_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
     """All documents grouped by three-word shingles at a similarity of 0.9."""

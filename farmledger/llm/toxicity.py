@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farmledger.llm.registry import register, table
 from farmledger.llm.textcore import SpanHasher, byte_table, runs, text_chunks
@@ -224,19 +225,18 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % HELD_OUT == 0, F.lit(False))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
-    """Score every document between 0 and 1.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE):
+    """Arrow function from a lower-cased text column to scores, fitted on at most ``sample`` labelled documents.
 
-    Returns (id_col, held_out, score, predicted), one row for each input row. Labels of ``held_out`` rows are never used.
-    The model is fitted on ``sample`` labelled documents, those that come first in the order of a hash of the id: the
-    lexicon on three quarters, the logistic scale on the rest. Repeated labels of a document count as their maximum, a null
-    label or id is left out. Null and empty texts have no clause and get the score of such a text; a null id is not held
-    out. Without labels of both kinds the fixed lists and a fixed scale are used. Other columns are not read.
+    They are the ones that come first in the order of a hash of the id: the lexicon is learned on three quarters, the
+    logistic scale on the rest. Without labels of both kinds the fixed lists and a fixed scale are used.
     """
-    source = docs.select(F.col(id_col), F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text"))
-    known = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("toxic")).where("_id IS NOT NULL AND toxic IS NOT NULL").groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("_id")
-    chosen = known.where(~held_out("_id")).withColumn("turn", order).orderBy("turn", "_id").limit(sample)
+    known = (
+        labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("toxic"))
+        .where("_id IS NOT NULL AND toxic IS NOT NULL").groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    )
+    chosen = known.where(~held_out("_id")).withColumn("turn", F.xxhash64("_id")).orderBy("turn", "_id").limit(sample)
+    source = docs.select(F.col(id_col), lowered(text).alias("text"))
     rows = source.join(chosen, source[id_col] == F.col("_id")).select("text", "toxic", F.pmod("turn", F.lit(4)).alias("part"))
     lexicon, machine = learn_lexicon(rows.where("part > 0")), grammar()
 
@@ -251,14 +251,36 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     if len(y) and 0 < y.sum() < len(y):
         scale = fit_logistic(_design(np.array([(r.total, r.most) for r in fitted])), y)
 
-    def scored(batches):
-        for batch, data, offsets in text_chunks(batches, "text"):
+    @F.arrow_udf(T.DoubleType())
+    def score(column: pa.Array) -> pa.Array:
+        out = [np.zeros(0)]
+        for _, data, offsets in text_chunks([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
             x = _design(text_scores(lexicon, machine, data, offsets))
-            p = 1 / (1 + np.exp(-np.clip(scale[0] + x @ scale[1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [id_col, "held_out", "score", "predicted"])
+            out.append(1 / (1 + np.exp(-np.clip(scale[0] + x @ scale[1:], -30, 30))))
+        return pa.array(np.concatenate(out), pa.float64())
+
+    return score
+
+
+def lowered(text: str):
+    return F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
+    """Score every document between 0 and 1.
+
+    Returns (id_col, held_out, score, predicted), one row for each input row. Labels of ``held_out`` rows are never used.
+    Repeated labels of a document count as their maximum, a null label or id is left out. Null and empty texts have no
+    clause and get the score of such a text; a null id is not held out. Other columns are not read.
+    """
+    score = fit(docs, labels, id_col, text, label, sample)
+    scored = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), score(lowered(text)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
 
-    kind = dict(source.dtypes)[id_col]
-    return source.withColumn("held_out", held_out(id_col)).mapInArrow(scored, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
+    """The documents whose score is below one half, with all their columns."""
+    return docs.where(fit(docs, labels, id_col, text, label, sample)(lowered(text)) < 0.5)
 
 
 def _design(x: np.ndarray) -> np.ndarray:
