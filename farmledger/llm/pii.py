@@ -203,9 +203,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample
     """
     source = docs.select(F.col(id_col), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = dict(source.dtypes)[id_col]
-    order = F.xxhash64(F.col("text"))
-    sample = source.where(F.col("text").rlike("[@0-9]") & (F.length("text") <= 20_000)).select("text", order.alias("h")).orderBy("h", "text").limit(sample_docs)
-    weights = train([r.text for r in sample.collect()])
+    able = source.where(F.col("text").rlike("[@0-9]") & (F.length("text") <= 20_000)).withColumn("turn", F.xxhash64("text"))
+    turns = [r[0] for r in able.select("turn").distinct().orderBy("turn").limit(sample_docs).collect()]  # numbers only
+    sample = able.where(F.col("turn") <= (turns[-1] if turns else -(1 << 63))).groupBy("turn").agg(F.min("text").alias("text"))
+    weights = train([r.text for r in sorted(sample.collect(), key=lambda r: r.turn)] if turns else [])
 
     def found(batches):
         for batch in batches:
