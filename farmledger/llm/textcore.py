@@ -74,7 +74,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_GOLD))
-_POWERS: dict[str, np.ndarray] = {}
+
+
+class _Cache(dict):
+    """Arrays that every process makes for itself: they are not sent along with the functions that use them."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_POWERS = _Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
