@@ -11,6 +11,8 @@ remaining candidate pair whose groups differ. A large group of near copies thus
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,6 +23,8 @@ from farmledger.llm.registry import register, table
 from farmledger.llm.scratch import keep
 from farmledger.llm.textcore import LOWER, NOT_BLANK, mix, ngram_hashes, runs, span_hashes, text_chunks
 
+SIGNED = ["id", "n", "a", "b", "low", "counts"]
+COUNTERS_A_ROW = 1 << 14
 COUNTERS = 1 << 20  # counters of n-grams by hash; the order they give is exact for every purpose but speed
 
 
@@ -66,80 +70,74 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     Returns (id_col, n_shingles, component_id), one row for each input row: the size of the document's set and the smallest
     id that is reachable by links. Words are lower-cased (A-Z) runs of non-blank characters; a text of fewer than n words
     is one shingle; a null, empty or blank text has the empty set, which links with nothing, so its group is itself. Rows
-    with equal ids are each joined on their own text; a null id is its own group where it stands alone and never the
-    smallest id of a group with others. N-grams are compared by 64-bit hashes. Other columns are not read.
+    with equal ids are one document, which is linked where any of its texts is; a row without an id takes the group of its
+    equals, else it is its own group (null). N-grams are compared by 64-bit hashes. Other columns are not read.
     """
-    spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
-    # 1. counts of n-grams by counter, signatures of the sets, classes of equal sets
+    # 1. signatures of the sets, and counts of n-grams by counter, in one pass; classes of equal sets
     def signed(batches):
+        total = np.zeros(counters, dtype=np.int64)
         for batch, data, offsets in text_chunks(batches, "text"):
             values, at = shingle_sets(data, offsets, n)
+            total += np.bincount((values % np.uint64(counters)).astype(np.int64), minlength=counters)
             a, b = _signature(values, at)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(a), pa.array(b)], ["id", "n", "a", "b"])
-
-    sets = keep(source.mapInArrow(signed, "id long, n long, a long, b long"), "jaccard-signatures")
-    classes = sets.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("members"))
-    leaders = classes.where("class IS NOT NULL").select("class")
-
-    # 2. one text of each class: the distinct sets
-    def distinct_sets(batches):
-        for batch, data, offsets in text_chunks(batches, "text"):
-            values, at = shingle_sets(data, offsets, n)
-            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["class", "set"])
-
-    first = source.join(leaders, F.col("id") == F.col("class"), "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    distinct = keep(first.mapInArrow(distinct_sets, "class long, set array<long>"), "jaccard-sets")
-
-    def counted(batches):
-        total = np.zeros(counters, dtype=np.int64)
+            nothing = pa.nulls(len(a), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), nothing], SIGNED)
+        for low in range(0, counters if total.any() else 0, COUNTERS_A_ROW):
+            part = zlib.compress(total[low : low + COUNTERS_A_ROW].tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([low], pa.int32()), pa.array([part], pa.binary())], SIGNED)
+
+    def summed(batches):
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            total += np.bincount((values % np.uint64(counters)).astype(np.int64), minlength=counters)
-        # one row for each thousand counters: the sum over tasks is a small shuffle
-        for low in range(0, counters, 1024):
-            part = total[low : low + 1024]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), low, np.int32)), pa.array(np.arange(len(part), dtype=np.int32)), pa.array(part)], ["low", "k", "n"])
-
+            for low, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = np.frombuffer(zlib.decompress(part), dtype=np.int64)
+                sums[low] = sums[low] + counts if low in sums else counts
+        if sums:
+            parts = [zlib.compress(x.tobytes(), 1) for x in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(parts, pa.binary())], ["low", "counts"])
+
+    both = keep(source.mapInArrow(signed, "id long, n long, a long, b long, low int, counts binary"), "jaccard-signatures")
+    sets = both.where("low IS NULL").select("id", "n", "a", "b")
+    classes = sets.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("class"))
     frequency = np.zeros(counters, dtype=np.int64)
-    sums = distinct.select("set").mapInArrow(counted, "low int, k int, n long").where("n > 0").groupBy("low", "k").agg(F.sum("n").alias("n"))
-    for batch in sums.select((F.col("low") + F.col("k")).alias("at"), "n").toArrow().to_batches():  # at most one row a counter
-        frequency[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    # counters as ranks in 16 bits: 2 MB for the executors whatever the corpus
-    rank = np.unique(np.minimum(frequency, np.int64(1) << 40), return_inverse=True)[1]
+    total = both.where("low IS NOT NULL").select("low", "counts").repartition("low").mapInArrow(summed, "low int, counts binary")
+    for r in total.toLocalIterator():  # all rows together hold one number for each counter, whatever the corpus
+        part = np.frombuffer(zlib.decompress(r.counts), dtype=np.int64)
+        frequency[r.low : r.low + len(part)] = part
+    # the rank of a counter in 16 bits
+    rank = np.unique(frequency, return_inverse=True)[1]
     rank = (rank * 65535 // max(int(rank.max(initial=0)), 1)).astype(np.uint16)
 
-    # 3. prefixes: (gram, class, size, position, hash bits of the rest for the suffix bound)
+    # 2. prefixes of one text of each class: n-grams in order, and what lies behind each in the upper half of the hash space
     def prefixes(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            column = batch.column(1)
-            at = column.offsets.to_numpy().astype(np.int64)
-            values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            at = at - at[0]
+        for batch, data, offsets in text_chunks(batches, "text"):
+            values, at = shingle_sets(data, offsets, n)
             size = np.diff(at)
             owner = np.repeat(np.arange(len(size)), size)
             order = np.lexsort((values, rank[(values % np.uint64(counters)).astype(np.int64)], owner))
-            position = np.arange(len(values)) - at[owner]
-            length = size - -((-percent * size) // 100) + 1
-            inside = position < length[owner]
-            kept = owner[inside]
-            # suffix bound: of the n-grams behind each prefix position, how many fall into either half of the hash space
+            length = np.where(size > 0, size + (-percent * size) // 100 + 1, 0)
+            place = np.flatnonzero(np.arange(len(values)) - at[owner] < length[owner])
             half = np.zeros(len(values) + 1, dtype=np.int64)
             np.cumsum(values[order] >> np.uint64(63), out=half[1:])
-            place = np.flatnonzero(inside)
-            high = half[at[1:]][kept] - half[place + 1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[order][inside].view(np.int64)), pa.array(ids[kept]), pa.array(size[kept].astype(np.int32)), pa.array(position[inside].astype(np.int32)), pa.array(high.astype(np.int32))],
-                ["gram", "class", "size", "position", "high"],
-            )
-
-    index = distinct.mapInArrow(prefixes, "gram long, class long, size int, position int, high int")
-    shared = index.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    index = keep(index.join(shared, "gram"), "jaccard-prefixes")
+            high = half[at[1:]][owner[place]] - half[place + 1]
+            cut = pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32))
+            grams = pa.ListArray.from_arrays(cut, pa.array(values[order][place].view(np.int64)))
+            behind = pa.ListArray.from_arrays(cut, pa.array(high.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signature(values, at)[0]), pa.array(size.astype(np.int32)), grams, behind], ["class", "a", "size", "grams", "behind"])
+
+    leaders = classes.where("class IS NOT NULL").select("class", "a")
+    lists = source.where("id IS NOT NULL").mapInArrow(prefixes, "class long, a long, size int, grams array<long>, behind array<int>")
+    flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.posexplode(F.arrays_zip("grams", "behind")).alias("position", "g"))
+    index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "position", F.col("g.behind").alias("high"))
+    index = index.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("df > 1")
+    index = keep(index, "jaccard-prefixes")
+
+    # 3. the texts of the sets that share a prefix n-gram with another one
+    partners = index.select(F.col("class").alias("id")).distinct()
+    texts = source.join(partners, "id", "left_semi")
+    texts = keep(texts.select(F.col("id").alias("class"), "text"), "jaccard-texts")
 
     # 4. first pass: for each set the partner that shares most prefix n-grams among its neighbours in the lists
     salt = F.pmod(F.xxhash64("gram", "class"), F.greatest(F.lit(1), (F.col("df") / 4096).cast("long")))
@@ -151,7 +149,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
         .groupBy("class", "other").agg(F.count(F.lit(1)).alias("common"))
     )
     best = scored.groupBy("class").agg(F.max_by("other", F.struct("common", -F.col("other"))).alias("other"))
-    links = keep(verified(best.select(F.least("class", "other").alias("x"), F.greatest("class", "other").alias("y")).distinct(), distinct, percent), "jaccard-links")
+    links = keep(verified(best.select(F.least("class", "other").alias("x"), F.greatest("class", "other").alias("y")).distinct(), texts, n, percent), "jaccard-links")
     group = connected_components(links, "x", "y")
 
     # 5. second pass: candidate pairs between different groups
@@ -171,27 +169,48 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
         & (F.least("l.size", "r.size") * 100 >= F.greatest("l.size", "r.size") * percent)
         & (before + 1 + suffix >= least),
     ).select(F.col("l.class").alias("x"), F.col("r.class").alias("y")).distinct()
-    more = keep(verified(pairs, distinct, percent), "jaccard-links")
-    all_links = links.unionByName(more)
+    more = keep(verified(pairs, texts, n, percent), "jaccard-links")
+    # an id with several texts ties the classes of its texts together
+    several = sets.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least <> most")
+    ties = sets.join(several.select("id"), "id").join(classes, ["n", "a", "b"]).select(F.least("id", "class").alias("x"), F.greatest("id", "class").alias("y"))
+    all_links = links.unionByName(more).unionByName(ties)
     final = connected_components(all_links, "x", "y")
 
-    # 6. back to the documents
-    by_class = classes.join(final, classes["class"] == final["node"], "left").select(
-        "n", "a", "b", F.coalesce("component", "class").alias("component")
-    )
-    named = sets.join(by_class, ["n", "a", "b"], "left")
-    return named.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
-    )
+    # 6. back to the documents: the texts of an id meet in its group
+    by_class = classes.join(final, classes["class"] == final["node"], "left").select("n", "a", "b", F.coalesce("component", "class").alias("component"))
+    named = sets.join(by_class, ["n", "a", "b"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+    return named.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose sets reach the threshold; each pair is looked at once."""
-    x = sets.select(F.col("class").alias("x"), F.col("set").alias("x_set"))
-    y = sets.select(F.col("class").alias("y"), F.col("set").alias("y_set"))
-    both = pairs.join(x, "x").join(y, "y")
-    common = F.size(F.array_intersect("x_set", "y_set"))
-    return both.where(common * 100 >= (F.size("x_set") + F.size("y_set") - common) * percent).select("x", "y")
+def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (x, y) whose sets reach the threshold; each pair is looked at once, on whole texts."""
+
+    def check(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                keys, owners, sizes = [], [], []
+                for column in (2, 3):
+                    found = np.zeros(0, dtype=np.int64)
+                    first = 0
+                    for rows, data, offsets in text_chunks([part.select([column]).rename_columns(["text"])], "text"):
+                        values, at = shingle_sets(data, offsets, n)
+                        owner = np.repeat(np.arange(rows.num_rows) + first, np.diff(at))
+                        keys.append(mix(values + mix(owner.astype(np.uint64))))
+                        owners.append(owner)
+                        found = np.concatenate([found, np.diff(at)])
+                        first += rows.num_rows
+                    sizes.append(found)
+                key, owner = np.concatenate(keys), np.concatenate(owners)
+                order = np.argsort(key)
+                same = key[order[1:]] == key[order[:-1]]
+                common = np.bincount(owner[order[1:][same]], minlength=part.num_rows)
+                good = common * 100 >= (sizes[0] + sizes[1] - common) * percent
+                yield part.select([0, 1]).filter(pa.array(good))
+
+    both = pairs.join(texts.select(F.col("class").alias("x"), F.col("text").alias("x_text")), "x")
+    both = both.join(texts.select(F.col("class").alias("y"), F.col("text").alias("y_text")), "y")
+    return both.select("x", "y", "x_text", "y_text").mapInArrow(check, "x long, y long")
 
 
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:

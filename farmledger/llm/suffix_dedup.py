@@ -393,6 +393,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             )
 
     changed = texts.select("num", "text").join(ranges, "num").mapInArrow(removed, "lead long, gone long, left_sha string, parts array<struct<low: long, high: long>>")
+    changed = changed.dropDuplicates(["lead"])  # repeated rows give equal results
     rows = signed.join(first, "sha").join(changed, "lead", "left")
     copy = (F.col("num") != F.col("lead")) & (F.col("n_bytes") >= length)
     own = (F.col("num") == F.col("lead")) & F.col("gone").isNotNull()
