@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farmledger.llm.registry import register, table
+from farmledger.llm.scratch import keep
 from farmledger.llm.textcore import SpanHasher, byte_table, runs, text_chunks
 
 LETTERS = byte_table(b"abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256)))
@@ -237,7 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     )
     chosen = known.where(~held_out("_id")).withColumn("turn", F.xxhash64("_id")).orderBy("turn", "_id").limit(sample)
     source = docs.select(F.col(id_col), lowered(text).alias("text"))
-    rows = source.join(chosen, source[id_col] == F.col("_id")).select("text", "toxic", F.pmod("turn", F.lit(4)).alias("part"))
+    # at most ``sample`` ids are sent out, so no text is shuffled to find theirs
+    sampled = source.join(F.broadcast(chosen), source[id_col] == F.col("_id")).select("text", "toxic", F.pmod("turn", F.lit(4)).alias("part"))
+    rows = keep(sampled, "toxicity-sample")
     lexicon, machine = learn_lexicon(rows.where("part > 0")), grammar()
 
     def measured(batches):
