@@ -236,7 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("toxic"))
         .where("_id IS NOT NULL AND toxic IS NOT NULL").groupBy("_id").agg(F.max("toxic").alias("toxic"))
     )
-    chosen = known.where(~held_out("_id")).withColumn("turn", F.xxhash64("_id")).orderBy("turn", "_id").limit(sample)
+    turns = keep(known.where(~held_out("_id")).withColumn("turn", F.xxhash64("_id")), "toxicity-labels")
+    # hashes are uniform: this share of their range holds the sample and little else, so few rows are sorted in one place
+    share = min(1.0, 1.2 * sample / max(turns.count(), 1) + 1e-9)
+    chosen = turns.where(F.col("turn") < int((2 * share - 1) * (1 << 63)) if share < 1 else F.lit(True)).orderBy("turn", "_id").limit(sample)
     source = docs.select(F.col(id_col), lowered(text).alias("text"))
     # at most ``sample`` ids are sent out, so no text is shuffled to find theirs
     sampled = source.join(F.broadcast(chosen), source[id_col] == F.col("_id")).select("text", "toxic", F.pmod("turn", F.lit(4)).alias("part"))
