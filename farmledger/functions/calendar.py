@@ -42,6 +42,12 @@ def in_month(c: str | Column, month: dt.date) -> Column:
     return (c >= _boundary(_shift(month, 0))) & (c < _boundary(_shift(month, 1)))
 
 
+def in_month_range(c: str | Column, lo: dt.date, hi: dt.date) -> Column:
+    """The date lies in the months ``lo``..``hi``, as a half-open range on the bare column."""
+    c = _col(c)
+    return (c >= _boundary(_shift(lo, 0))) & (c < _boundary(_shift(hi, 1)))
+
+
 def rolling_months(c: str | Column, as_of: dt.date, months: int) -> Column:
     """The month of the date is not older than ``months`` before the month of ``as_of``; open above."""
     return _col(c) >= _boundary(month_start(as_of, months))

@@ -84,25 +84,30 @@ def with_cycle(df: DataFrame, month: str, out: str = "cycle") -> DataFrame:
     return df.withColumn(out, cycle_label(month))
 
 
-def cycle_fanout(df: DataFrame, month: str, cycle: str, as_of: dt.date, months: int = 12) -> DataFrame:
-    """Publish every closed month again under each later cycle of the last ``months`` months; only new rows are added.
+def cycle_fanout(
+    df: DataFrame, month: str, cycle: str, as_of: dt.date, months: int = 12, closed: DataFrame | None = None
+) -> DataFrame:
+    """Publish the rows of recent months again under each later closing cycle; only new rows are added.
 
-    ``month`` is the first day of the cost month. The closed months form a table of at most ``months`` + 1 rows. They are
-    offered to each row as an array: the row emits itself and its later cycles, and one aggregate drops what exists.
+    Seeds are the rows that lie in the last ``months`` months and carry their own month's cycle. Each is offered under the
+    cycle of every closed month from its own on, and what the recent months hold already is dropped. Rows before the
+    window pass through untouched. ``month`` is the first day of the cost month; ``closed`` has the closed months in a
+    column of that name (default: the recent months of ``df``), at most ``months`` + 1 and later ones.
     """
-    recent = df.where(rolling_months(month, as_of, months)).select(F.col(month).cast("date").alias("__m")).distinct()
-    closed = recent.agg(F.sort_array(F.collect_set("__m")).alias("__all")).scalar()
-    listed = df.withColumn("__all", closed)
-    later = F.transform(
-        F.filter("__all", lambda m: m >= F.col(month).cast("date")),
-        lambda m: F.struct(cycle_label(m).alias("c"), F.lit(0).alias("own")),
-    )
+    recent = rolling_months(month, as_of, months)
+    closed = df if closed is None else closed
+    known = closed.where(recent).agg(F.sort_array(F.collect_set(F.col(month).cast("date"))).alias("__all")).scalar()
+    day = F.col(month).cast("date")
+    window = df.where(recent).withColumn("__all", known)
+    later = F.transform(F.filter("__all", lambda m: m >= day), lambda m: F.struct(cycle_label(m).alias("c"), F.lit(0).alias("own")))
+    seed = F.col(cycle) == cycle_label(month)
     own = F.array(F.struct(F.col(cycle).alias("c"), F.lit(1).alias("own")))
-    lines = listed.select("*", F.explode(F.concat(own, later)).alias("__l"))
+    lines = window.select("*", F.explode(F.when(seed, F.concat(own, later)).otherwise(own)).alias("__l"))
     published = lines.select(
         *[F.col("__l.c").alias(cycle) if c == cycle else F.col(c) for c in df.columns], F.col("__l.own").alias("__own")
     )
-    return keep_own_or_once(published, df.columns, "__own")
+    history = df.where(F.col(month).isNull() | ~recent)
+    return history.unionByName(keep_own_or_once(published, df.columns, "__own"))
 
 
 def current_extract(df: DataFrame, month: str, as_of: dt.date, months_back: int) -> DataFrame:
@@ -179,8 +184,8 @@ def revalue_split(
 def latest_closed_month(df: DataFrame, closed_on: str, event: str) -> DataFrame:
     """Rows whose event lies in the year and month of the latest close date."""
     last = df.agg(F.trunc(F.max(closed_on).cast("date"), "month").alias("__m")).scalar()
-    day = F.col(event).cast("date")
-    return df.where((day >= last) & (day < F.add_months(last, 1)))
+    # the bare column on one side, so that the bounds can reach the scan
+    return df.where((F.col(event) >= last) & (F.col(event) < F.add_months(last, 1)))
 
 
 def measure_rows(frames: Mapping[str, DataFrame], tag: str) -> DataFrame:

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farmledger.operators.merge import update_from
+from farmledger.operators.merge import one_per_key, update_from
 from farmledger.session import scratch_path
 
 Expr = str | Column
@@ -27,15 +27,18 @@ def _one_row(like: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     return one.select(*[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def assign_sk(df: DataFrame, order_cols: Sequence[str], sk: str, start: int | Column = 1) -> DataFrame:
+def assign_sk(
+    df: DataFrame, order_cols: Sequence[str], sk: str, start: int | Column = 1, path: str | None = None
+) -> DataFrame:
     """Number the members 1, 2, 3, ... in the order of their business key, without a single-task sort.
 
     The members are range-partitioned and sorted once and written to the shared scratch folder, which fixes which
     member lies in which range. A member's number is its position in its range plus the members of earlier ranges; that
-    sum runs over one row per range. ``order_cols`` have to identify a member.
+    sum runs over one row per range. ``order_cols`` have to identify a member. ``path`` names the folder to write to; the
+    caller then removes it once the result is stored.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "ranked")
+    path = path or scratch_path(spark, "ranked")
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     (
         df.repartitionByRange(*[F.col(c) for c in order_cols])
@@ -53,8 +56,12 @@ def assign_sk(df: DataFrame, order_cols: Sequence[str], sk: str, start: int | Co
 
 
 def extend_sk(target: DataFrame, source: DataFrame, nk: Sequence[str], sk: str) -> DataFrame:
-    """Known members keep their key; new ones are numbered after the highest key in use."""
-    fresh = source.select(*[c for c in target.columns if c != sk]).dropDuplicates(list(nk))
+    """Known members keep their key; new ones are numbered after the highest key in use.
+
+    Of several source rows for a new member the one with the highest attributes counts.
+    """
+    rest = [c for c in target.columns if c not in (sk, *nk)]
+    fresh = one_per_key(source, nk, rest) if rest else source.select(*nk).distinct()
     fresh = fresh.join(target.select(*nk), list(nk), "left_anti")
     top = target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("__top")).scalar()
     numbered = assign_sk(fresh, nk, sk)
@@ -63,7 +70,7 @@ def extend_sk(target: DataFrame, source: DataFrame, nk: Sequence[str], sk: str)
 
 
 def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, Mapping[str, str], str, Column]]) -> DataFrame:
-    """Left join each dimension and fall back to its default member.
+    """Left join each dimension and fall back to its default member; of members with one natural key the highest counts.
 
     A lookup is (dimension, {fact column: dimension column}, key to fetch, predicate of the default member). Only the
     join columns and the key of the dimension are read; the default is one scalar subquery per dimension.
@@ -71,6 +78,7 @@ def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, Mapping[str,
     for dim, on, sk, is_default in lookups:
         default = dim.where(is_default).agg(F.max(sk).alias("__default")).scalar()
         side = dim.select(*[F.col(d).alias(f"__d_{f}") for f, d in on.items()], F.col(sk).alias("__sk"))
+        side = one_per_key(side, [f"__d_{f}" for f in on], ["__sk"])
         cond = [F.col(f) == F.col(f"__d_{f}") for f in on]
         kept = fact.columns
         fact = fact.join(side, cond, "left").select(*kept, F.coalesce("__sk", default).alias(sk))
@@ -130,19 +138,32 @@ def calendar_of(df: DataFrame, day: str) -> DataFrame:
 
 
 def age_dim(df: DataFrame, age: Column) -> DataFrame:
-    """Distinct ages in days with their code and label; negative ages count as 0."""
-    days = df.select(F.greatest(age, F.lit(0)).alias("age_day")).distinct()
-    code = F.concat(F.lit("D"), F.lpad(F.col("age_day").cast("string"), 4, "0"))
-    label = F.concat(F.lit("Dia "), F.col("age_day").cast("string"))
-    return days.select("age_day", code.alias("age_code"), label.alias("age_label"))
+    """Distinct ages in days from 0 on, with their code (two digits at least), label and week of life (week 1 is day 0)."""
+    days = df.select(age.alias("age_day")).where("age_day >= 0").distinct()
+    text = F.col("age_day").cast("string")
+    code = F.concat(F.lit("D"), F.when(F.col("age_day") > 9, text).otherwise(F.concat(F.lit("0"), text)))
+    week = F.when(F.col("age_day") == 0, F.lit(1)).otherwise((F.ceil(F.col("age_day") / 7) + 1).cast("int"))
+    return days.select("age_day", code.alias("age_code"), F.concat(F.lit("Dia "), text).alias("age_label"), week.alias("age_week"))
 
 
 def priority_union(dfs: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
-    """Rows of the first source, then of each later one only those whose key no earlier source holds."""
-    out, *rest = dfs
+    """Rows of the first source, then of each later one only those whose key no earlier source holds.
+
+    The sources are tagged with their rank and the rows of the lowest rank of each key stay, so each source is scanned
+    twice however many there are. A key with a NULL equals no other key: its rows all stay.
+    """
+    cols = dfs[0].columns
+    tagged = [df.select(*cols, F.lit(k).alias("__rank")) for k, df in enumerate(dfs)]
+    every, *rest = tagged
     for df in rest:
-        out = out.unionByName(df.join(out.select(*key), list(key), "left_anti").select(*out.columns))
-    return out
+        every = every.unionByName(df)
+    named = [F.col(k).isNotNull() for k in key]
+    whole = named[0]
+    for c in named[1:]:
+        whole = whole & c
+    first = every.where(whole).groupBy(*key).agg(F.min("__rank").alias("__first"))
+    joined = every.join(first, list(key), "left")
+    return joined.where(F.col("__first").isNull() | (F.col("__rank") == F.col("__first"))).select(*cols)
 
 
 def regroup(df: DataFrame, col: str, mapping: Mapping[str, Sequence], default: str, out: str) -> DataFrame:

@@ -21,8 +21,8 @@ def densify_tail(
 ) -> DataFrame:
     """Add rows to entities that stop before their group does, up to the group's last day.
 
-    Added rows carry the entity's last values in ``carry``, 0 in ``zero`` and 2 in ``flag`` (1 for real rows). The day
-    may be a number or a date. Missing days come from a generated sequence per entity, not from a join with all days.
+    Added rows carry the entity's last values in ``carry``, 0 in ``zero``, 2 in ``flag`` (1 for real rows) and NULL in every
+    other column. The day may be a number or a date. Missing days come from a generated sequence per entity, not from a join with all days.
     """
     is_date = isinstance(df.schema[day].dataType, DateType)
     held = [c for c in (*grp, *carry) if c not in key]
@@ -35,8 +35,8 @@ def densify_tail(
     added = short.select(*key, *held, F.explode(F.sequence(start, F.col("__end"))).alias(day), F.lit(2).alias(flag))
     types = {f.name: f.dataType for f in df.schema.fields}
     added = added.select("*", *[F.lit(0).cast(types[c]).alias(c) for c in zero])
-    real = df.select(*[c for c in df.columns if c in (*key, *held, day, *zero)], F.lit(1).alias(flag))
-    return real.unionByName(added.withColumn(day, F.col(day).cast(types[day])))
+    real = df.select("*", F.lit(1).alias(flag))
+    return real.unionByName(added.withColumn(day, F.col(day).cast(types[day])), allowMissingColumns=True)
 
 
 def cap_standard(df: DataFrame, key: Sequence[str], age: str, cols: Sequence[str], limit: int, pred: Column) -> DataFrame:

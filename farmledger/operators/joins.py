@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farmledger.operators.merge import one_per_key
 from farmledger.operators.ordered import cumulate
 
 Expr = str | Column
@@ -89,30 +90,32 @@ def interval_join(
     lo: str,
     hi: str,
     bucket_days: int = 32,
-    how: str = "inner",
+    long_span: int = 64,
 ) -> DataFrame:
     """Events joined to the entities of the same key whose span ``lo``..``hi`` (inclusive) holds the event date.
 
     The equi-key gains a time bucket: an entity is listed in every bucket it spans, an event falls into one, so a key
-    with many events and many spans does not compare all of them with each other.
+    with many events and many spans does not compare all of them with each other. Spans of more than ``long_span``
+    buckets, such as open-ended ones, are not listed: they are joined on the key alone, in a branch of their own.
     """
     origin = F.lit(dt.date(1900, 1, 1))
 
     def bucket(c: Column) -> Column:
         return F.floor(F.datediff(c.cast("date"), origin) / bucket_days)
 
-    spans = entities.where(F.col(lo) <= F.col(hi)).withColumn(
-        "__bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi))))
-    )
-    e = events.withColumn("__bucket", bucket(F.col(ts))).alias("e")
-    s = spans.alias("s")
-    same = [F.col(f"e.{k}") == F.col(f"s.{k}") for k in (*key, "__bucket")]
-    within = (F.col(f"e.{ts}") >= F.col(f"s.{lo}")) & (F.col(f"e.{ts}") <= F.col(f"s.{hi}"))
-    cond = within
-    for c in same:
-        cond = cond & c
-    extra = [F.col(f"s.{c}") for c in entities.columns if c not in key]
-    return e.join(s, cond, how).select(*[F.col(f"e.{c}") for c in events.columns], *extra)
+    def met(e: DataFrame, s: DataFrame, on: Sequence[str]) -> DataFrame:
+        e, s = e.alias("e"), s.alias("s")
+        cond = (F.col(f"e.{ts}") >= F.col(f"s.{lo}")) & (F.col(f"e.{ts}") <= F.col(f"s.{hi}"))
+        for k in on:
+            cond = cond & (F.col(f"e.{k}") == F.col(f"s.{k}"))
+        extra = [F.col(f"s.{c}") for c in entities.columns if c not in key]
+        return e.join(s, cond).select(*[F.col(f"e.{c}") for c in events.columns], *extra)
+
+    valid = entities.where(F.col(lo) <= F.col(hi))
+    length = bucket(F.col(hi)) - bucket(F.col(lo))
+    listed = valid.where(length <= long_span).withColumn("__bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
+    short = met(events.withColumn("__bucket", bucket(F.col(ts))), listed, (*key, "__bucket"))
+    return short.unionByName(met(events, valid.where(length > long_span), key))
 
 
 def join_where(a: DataFrame, b: DataFrame, on: Sequence[str], residual: Column, how: str = "inner") -> DataFrame:
@@ -128,8 +131,8 @@ def lag_join(df: DataFrame, key: Sequence[str], ord_col: str, cols: Mapping[str,
     """Values of the row exactly ``step`` positions earlier (NULL when that position is absent).
 
     Each row is sent to its own position and, as predecessor, to the position ``step`` later; one aggregate on (key,
-    position) brings the two together, so neither a self-join nor a task per key is needed. Positions have to be unique
-    within a key.
+    position) brings the two together, so neither a self-join nor a task per key is needed. Several rows at one position
+    all stay; as predecessor the highest of them counts. A row without a position has no predecessor and is none.
     """
     position = df.schema[ord_col].dataType
     own = F.struct(*[c for c in df.columns if c not in (*key, ord_col)])
@@ -138,22 +141,24 @@ def lag_join(df: DataFrame, key: Sequence[str], ord_col: str, cols: Mapping[str,
         F.struct(F.col(ord_col).alias("at"), own.alias("own"), F.when(F.lit(False), prior).alias("prior")),
         F.struct((F.col(ord_col) + step).cast(position).alias("at"), F.when(F.lit(False), own).alias("own"), prior.alias("prior")),
     )
-    lines = df.select(*key, F.explode(sent).alias("__l")).select(
+    lines = df.select(*key, F.explode(sent).alias("__l")).where(F.col("__l.own").isNotNull() | F.col("__l.at").isNotNull()).select(
         *key, F.col("__l.at").alias(ord_col), F.col("__l.own").alias("__own"), F.col("__l.prior").alias("__prior")
     )
-    met = lines.groupBy(*key, ord_col).agg(F.max("__own").alias("__own"), F.max("__prior").alias("__prior"))
-    met = met.where(F.col("__own").isNotNull()).select(*key, ord_col, "__own.*", *[F.col(f"__prior.{o}") for o in cols])
+    met = lines.groupBy(*key, ord_col).agg(F.collect_list("__own").alias("__own"), F.max("__prior").alias("__prior"))
+    met = met.select(*key, ord_col, F.explode("__own").alias("__own"), "__prior")
+    met = met.select(*key, ord_col, "__own.*", *[F.col(f"__prior.{o}") for o in cols])
     return met.select(*df.columns, *cols)
 
 
 def join_norm(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Equi-join on trimmed, case-folded text keys. ``b`` has to be unique after normalising."""
+    """Equi-join on trimmed, case-folded text keys; of ``b`` the highest row of each normalised key counts."""
 
     def norm(c: Column) -> Column:
         return F.upper(F.trim(c.cast("string")))
 
     left = a.withColumns({f"__n_{k}": norm(F.col(k)) for k in on})
-    right = b.select(*[norm(F.col(k)).alias(f"__n_{k}") for k in on], *[c for c in b.columns if c not in on])
+    rest = [c for c in b.columns if c not in on]
+    right = one_per_key(b.select(*[norm(F.col(k)).alias(f"__n_{k}") for k in on], *rest), [f"__n_{k}" for k in on], rest)
     return left.join(right, [f"__n_{k}" for k in on], how).drop(*[f"__n_{k}" for k in on])
 
 
@@ -171,8 +176,12 @@ def either_side(
     )
 
 
-def reattribute(df: DataFrame, mapping: DataFrame, on: str, cols: Mapping[str, str]) -> DataFrame:
-    """Rows of a moved entity take the destination's attributes; all others keep their own."""
+def reattribute(df: DataFrame, mapping: DataFrame, on: str, cols: Mapping[str, str], latest: str | None = None) -> DataFrame:
+    """Rows of a moved entity take the destination's attributes; all others keep their own.
+
+    Of several transfers of an entity the one with the highest ``latest`` counts, then the one with the highest attributes.
+    """
+    mapping = one_per_key(mapping, [on], list(dict.fromkeys(cols.values())), latest)
     side = mapping.select(
         F.col(on), *[F.col(src).alias(f"__d_{c}") for c, src in cols.items()], F.lit(True).alias("__moved")
     )

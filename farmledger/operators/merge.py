@@ -82,14 +82,27 @@ def replace_rolling(target: DataFrame, source: DataFrame, date_col: str, as_of:
     return replace_range(target, source, date_col, month_start(as_of, months), None)
 
 
-def append_new(target: DataFrame, candidate: DataFrame) -> DataFrame:
-    """Target plus the distinct candidate rows that it does not hold yet; NULLs compare equal.
+def new_rows(target: DataFrame, candidate: DataFrame) -> DataFrame:
+    """The distinct candidate rows that the target does not hold yet; NULLs compare equal.
 
-    Equal rows of both sides meet in one aggregate over all columns: a row the target holds comes out as often as it
-    holds it, any other row once. That takes one shuffle where a distinct, an anti-join and a union would take three.
+    The target is only probed, neither regrouped nor rewritten; give the part of it (the months, say) that the candidate
+    can meet.
     """
-    own = target.withColumn("__own", F.lit(1)).unionByName(candidate.select(*target.columns).withColumn("__own", F.lit(0)))
-    return keep_own_or_once(own, target.columns, "__own")
+    fresh = candidate.select(*target.columns).distinct().alias("c")
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in target.columns]
+    return fresh.join(target.alias("t"), same, "left_anti")
+
+
+def append_new(target: DataFrame, candidate: DataFrame) -> DataFrame:
+    """Target plus the distinct candidate rows that it does not hold yet; a job appends :func:`new_rows` only."""
+    return target.unionByName(new_rows(target, candidate))
+
+
+def one_per_key(df: DataFrame, key: Sequence[str], cols: Sequence[str], latest: str | None = None) -> DataFrame:
+    """One row per key: the one with the highest ``latest``, then with the highest ``cols`` in their order."""
+    row = F.struct(*([latest] if latest else []), *[c for c in cols if c != latest])
+    best = df.groupBy(*key).agg(F.max(row).alias("__row"))
+    return best.select(*key, *[F.col(f"__row.{c}").alias(c) for c in cols])
 
 
 def keep_own_or_once(df: DataFrame, cols: Sequence[str], own: str) -> DataFrame:
@@ -103,8 +116,9 @@ def update_from(
 ) -> DataFrame:
     """Overwrite ``cols`` (target name -> lookup name) where the key matches and ``guard`` holds.
 
-    The lookup has to be unique on ``on``; ``guard`` speaks about the target's columns.
+    Of several lookup rows with one key the one with the highest values counts; ``guard`` speaks about the target's columns.
     """
+    lookup = one_per_key(lookup, on, list(dict.fromkeys(cols.values())))
     side = lookup.select(
         *[F.col(k).alias(f"__k_{k}") for k in on],
         *[F.col(src).alias(f"__n_{dst}") for dst, src in cols.items()],

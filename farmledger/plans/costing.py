@@ -52,7 +52,8 @@ def cost_structure(
         *entity, month, fixed("amount", 2).alias("amount"), fixed("kilos_entity", 2).alias("kilos_entity"),
         safe_ratio("amount", "kilos_entity").alias("unit_cost"), safe_ratio("kilos_entity", "kilos_month", 6).alias("share"),
     )
-    return cost.cycle_fanout(cost.with_cycle(unit, month), month, "cycle", as_of, months)
+    # the closed months come from the lines' dates alone
+    return cost.cycle_fanout(cost.with_cycle(unit, month), month, "cycle", as_of, months, lines.select(month))
 
 
 def current_structure(structure: DataFrame, month: str, as_of: dt.date) -> DataFrame:

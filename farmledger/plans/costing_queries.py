@@ -14,7 +14,7 @@ from farmledger.plans.costs import ELEMENTS, JOURNAL, journal
 from farmledger.plans.registry import query
 from farmledger.plans.standins import AS_OF, day, fx
 from farmledger.session import scratch_path
-from farmledger.sources import replace_months
+from farmledger.sources import detached, replace_months
 from farmledger.sources.tables import Tables
 
 
@@ -71,8 +71,8 @@ _STRUCTURE = f"""l AS (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) A
     u AS (SELECT c.l_suppkey, c.month, {fx("amount", 2)} AS amount, {fx("COALESCE(k.k, 0)", 2)} AS kilos_entity, COALESCE({fx("amount / NULLIF(COALESCE(k.k, 0), 0)")}, 0) AS unit_cost,
       COALESCE({fx("COALESCE(k.k, 0) / NULLIF(COALESCE(m.k, 0), 0)", 6)}, 0) AS share, 'C' || strftime(c.month + INTERVAL 1 MONTH, '%m') AS cycle FROM c LEFT JOIN k ON c.l_suppkey = k.l_suppkey AND c.month = k.month LEFT JOIN m ON c.month = m.month),
     z AS (SELECT DISTINCT month AS closed FROM u WHERE month >= DATE '2000-08-01'),
-    again AS (SELECT l_suppkey, month, amount, kilos_entity, unit_cost, share, 'C' || strftime(closed + INTERVAL 1 MONTH, '%m') AS cycle FROM u JOIN z ON closed >= month),
-    structure AS (SELECT * FROM u UNION ALL (SELECT * FROM again EXCEPT SELECT * FROM u))"""
+    again AS (SELECT l_suppkey, month, amount, kilos_entity, unit_cost, share, 'C' || strftime(closed + INTERVAL 1 MONTH, '%m') AS cycle FROM u JOIN z ON closed >= month WHERE month >= DATE '2000-08-01'),
+    structure AS (SELECT * FROM u UNION ALL (SELECT * FROM again EXCEPT SELECT * FROM u WHERE month >= DATE '2000-08-01'))"""
 
 
 @query("plan_cost_structure", f"WITH {_STRUCTURE} SELECT * FROM structure")
@@ -160,18 +160,17 @@ def plan_conformed_dimension(t: Tables):
 
 @query(
     "replace_months_roundtrip",
-    """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y%m') AS month FROM orders WHERE o_orderdate >= DATE '2000-01-01' AND NOT (o_orderdate >= DATE '2001-04-01' AND o_orderdate < DATE '2001-07-01')
+    """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y%m') AS month FROM orders WHERE NOT (o_orderdate >= DATE '2001-04-01' AND o_orderdate < DATE '2001-07-01')
     UNION ALL SELECT o_orderkey, o_totalprice * 2, strftime(o_orderdate, '%Y%m') FROM orders WHERE o_orderdate >= DATE '2001-04-01' AND o_orderdate < DATE '2001-07-01' AND o_orderstatus = 'F'""",
 )
 def replace_months_roundtrip(t: Tables):
     name, root = f"farmledger_{uuid.uuid4().hex}", scratch_path(t.spark, "months")
     month = F.date_format("o_orderdate", "yyyyMM").alias("month")
-    rows = t.orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz"))
-    rows = rows.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", month)
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", month)
     rows.repartition("month").write.partitionBy("month").option("path", f"{root}/first").saveAsTable(name)
     source = t.orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") * 2)
     replace_months(t.spark, name, source, "o_orderdate", dt.date(2001, 4, 1), dt.date(2001, 6, 1), root)
-    return t.spark.table(name).select("o_orderkey", "o_totalprice", F.col("month").cast("string").alias("month"))
+    return detached(t.spark, name).select("o_orderkey", "o_totalprice", month)
 
 
 @query(

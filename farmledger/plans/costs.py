@@ -117,8 +117,8 @@ def _monthly(t: Tables):
 @query(
     "cycle_fanout",
     f"""WITH {_MONTHLY}, closed AS (SELECT DISTINCT month AS m FROM monthly WHERE month >= DATE '2000-08-01'),
-    again AS (SELECT l_suppkey, month, cost, 'C' || strftime(m + INTERVAL 1 MONTH, '%m') AS cycle FROM monthly JOIN closed ON m >= month)
-    SELECT * FROM monthly UNION ALL (SELECT * FROM again EXCEPT SELECT * FROM monthly)""",
+    again AS (SELECT l_suppkey, month, cost, 'C' || strftime(m + INTERVAL 1 MONTH, '%m') AS cycle FROM monthly JOIN closed ON m >= month WHERE month >= DATE '2000-08-01' AND monthly.cycle = 'C' || strftime(month + INTERVAL 1 MONTH, '%m'))
+    SELECT * FROM monthly UNION ALL (SELECT * FROM again EXCEPT SELECT * FROM monthly WHERE month >= DATE '2000-08-01')""",
 )
 def cycle_fanout(t: Tables):
     return cost.cycle_fanout(_monthly(t), "month", "cycle", AS_OF, 12)

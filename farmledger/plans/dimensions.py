@@ -124,9 +124,9 @@ def calendar_dim(t: Tables):
 
 @query(
     "age_dim",
-    """WITH a AS (SELECT DISTINCT GREATEST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0) AS d
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-    SELECT CAST(d AS INTEGER) AS age_day, 'D' || lpad(CAST(d AS VARCHAR), 4, '0') AS age_code, 'Dia ' || d AS age_label FROM a""",
+    """WITH a AS (SELECT DISTINCT date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT CAST(d AS INTEGER) AS age_day, CASE WHEN d > 9 THEN 'D' || d ELSE 'D0' || d END AS age_code, 'Dia ' || d AS age_label,
+      CASE WHEN d = 0 THEN 1 ELSE CAST(CEIL(d / 7.0) AS INTEGER) + 1 END AS age_week FROM a WHERE d >= 0""",
 )
 def age_dim(t: Tables):
     born = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")

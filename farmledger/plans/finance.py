@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from farmledger.operators.filters import split_by, where
-from farmledger.operators.merge import cdc_apply
+from farmledger.plans.loads import CHANGES_SQL, cdc_frames
 from farmledger.plans.registry import query
-from farmledger.sources import load_list, read_table, read_table_list, run_table_list, safe_overwrite
-from farmledger.sources.sinks import full_reload
+from farmledger.session import scratch_path
+from farmledger.sources import detached, full_reload, load_list, read_table, read_table_list, run_table_list
 from farmledger.sources.tables import LoadOutcome, Tables
+from farmledger.streaming.cdc import apply_changes
 
 # The ledger columns that the published tables hold.
 PROFIT_HEADER = (
@@ -55,17 +58,25 @@ EXPENSE_AREA = "GSFE"
 EGG_MOVEMENTS = ["101", "102"]
 
 
+def profitability_lines(
+    header: DataFrame, values: DataFrame, header_cols: Sequence[str] = PROFIT_HEADER, value_cols: Sequence[str] = PROFIT_VALUES
+) -> DataFrame:
+    """Actual and plan profitability lines in one pass, labelled in ``version``."""
+    wanted = header.where(F.col("PLIKZ").isin("0", "1"))
+    lines = wanted.select(*header_cols, "PLIKZ").join(values.select("TRKEYNR", *value_cols), "TRKEYNR")
+    return lines.withColumn("version", F.when(F.col("PLIKZ") == "0", "actual").otherwise("plan")).drop("PLIKZ")
+
+
 def profitability(
     header: DataFrame, values: DataFrame, header_cols: Sequence[str] = PROFIT_HEADER, value_cols: Sequence[str] = PROFIT_VALUES
 ) -> tuple[DataFrame, DataFrame]:
     """Actual ('0') and plan ('1') profitability lines."""
-    lines = header.select(*header_cols, "PLIKZ").join(values.select("TRKEYNR", *value_cols), "TRKEYNR")
-    actual, plan = split_by(lines, "PLIKZ", ["0", "1"])
-    return actual.drop("PLIKZ"), plan.drop("PLIKZ")
+    lines = profitability_lines(header, values, header_cols, value_cols)
+    actual, plan = split_by(lines, "version", ["actual", "plan"])
+    return actual.drop("version"), plan.drop("version")
 
 
-def _billing_rule(company: str) -> Column:
-    rule = BILLING_RULES[company]
+def _billing_rule(company: str, rule: Mapping[str, Any]) -> Column:
     return (
         (F.col("BUKRS") == company)
         & F.col("VKORG").isin(rule["sales_orgs"])
@@ -74,33 +85,39 @@ def _billing_rule(company: str) -> Column:
 
 
 def billing(
-    header: DataFrame, item: DataFrame, header_cols: Sequence[str] = INVOICE_HEADER, item_cols: Sequence[str] = INVOICE_ITEM
+    header: DataFrame, item: DataFrame, header_cols: Sequence[str] = INVOICE_HEADER, item_cols: Sequence[str] = INVOICE_ITEM,
+    rules: Mapping[str, Mapping[str, Any]] = BILLING_RULES, excluded: Sequence[str] = BILLING_EXCLUDED,
 ) -> DataFrame:
     """Invoice items of the companies' own sales organisations; one pass over header and item for all companies."""
     joined = header.select("MANDT", *header_cols).join(item.select("MANDT", "VBELN", *item_cols), ["MANDT", "VBELN"])
-    wanted = _billing_rule("SFER") | _billing_rule("CHIM")
-    return where(joined, ~F.col("FKART").isin(BILLING_EXCLUDED), wanted).select(*header_cols, *item_cols)
+    wanted = reduce(Column.__or__, [_billing_rule(c, r) for c, r in rules.items()])
+    return where(joined, ~F.col("FKART").isin(list(excluded)), wanted).select(*header_cols, *item_cols)
 
 
-def expenses_actual(ledger: DataFrame, cols: Sequence[str] = EXPENSE_ACTUAL) -> DataFrame:
+def expenses_actual(
+    ledger: DataFrame, cols: Sequence[str] = EXPENSE_ACTUAL, companies: Sequence[str] = EXPENSE_COMPANIES, area: str = EXPENSE_AREA,
+    accounts: tuple[str, str] = EXPENSE_ACCOUNTS, extra: Sequence[str] = EXPENSE_EXTRA,
+) -> DataFrame:
     account = F.col("RACCT")
     return where(
         ledger,
         F.col("RHOART").isin("02", "05"),
-        F.col("RBUKRS").isin(EXPENSE_COMPANIES),
+        F.col("RBUKRS").isin(list(companies)),
         F.col("RVERS") == "000",
-        F.col("KOKRS") == EXPENSE_AREA,
-        account.between(*EXPENSE_ACCOUNTS) | account.isin(EXPENSE_EXTRA),
+        F.col("KOKRS") == area,
+        account.between(*accounts) | account.isin(list(extra)),
         F.col("ACTIV").between("0000", "ZZZZ"),
     ).select(*cols)
 
 
-def expenses_plan(ledger: DataFrame, cols: Sequence[str] = EXPENSE_PLAN) -> DataFrame:
+def expenses_plan(
+    ledger: DataFrame, cols: Sequence[str] = EXPENSE_PLAN, area: str = EXPENSE_AREA, accounts: tuple[str, str] = EXPENSE_ACCOUNTS
+) -> DataFrame:
     return where(
         ledger,
         F.col("RVERS") == "10A",
-        F.col("KOKRS") == EXPENSE_AREA,
-        F.col("RACCT").between(*EXPENSE_ACCOUNTS),
+        F.col("KOKRS") == area,
+        F.col("RACCT").between(*accounts),
         F.col("ACTIV").between("0000", "ZZZZ"),
     ).select(*cols)
 
@@ -121,18 +138,19 @@ def reload_tables(spark: SparkSession, control_path: str, source_dir: str, targe
 
 def apply_ledger_changes(
     spark: SparkSession, control_path: str, landing_dir: str, target_root: str, flag: str = "OPFLAG",
-    initial: str = "all_but_deletes", order_col: str | None = None,
+    initial: str = "all_but_deletes", order_col: str | None = None, buckets: int = 64,
 ) -> list[LoadOutcome]:
-    """Merge the landed changes of every ledger in a control list (source | target | PK1 | PK2 ...)."""
+    """Merge the landed changes of every ledger in a control list (source | target | PK1 | PK2 ...).
+
+    Running it again over the same files gives the same ledgers; only partitions with changed keys are rewritten.
+    """
 
     def merge(row: Row) -> None:
         named = row.asDict()
         keys = [v for k, v in named.items() if k.upper().startswith("PK") and v]
         table = row[1].lower()
         changes = read_table(spark, landing_dir, row[0], glob="*.parquet")
-        target = spark.table(table) if spark.catalog.tableExists(table) else None
-        merged = cdc_apply(target, changes, keys, flag, initial=initial, order_col=order_col)
-        safe_overwrite(merged, table, f"{target_root.rstrip('/')}/{table}")
+        apply_changes(spark, table, changes, keys, flag, f"{target_root.rstrip('/')}/{table}", initial, order_col, buckets)
 
     return run_table_list(load_list(read_table_list(spark, control_path)), merge)
 
@@ -141,6 +159,50 @@ def apply_ledger_changes(
 # --- the jobs over the driver tables ---------------------------------------------------------------------------------
 
 
+def _control(t: Tables, root: str, rows: Sequence[tuple], header: Sequence[str]) -> str:
+    path = f"{root}/control"
+    t.spark.createDataFrame(list(rows), ", ".join(f"`{h}` string" for h in header)).write.option("header", True).csv(path, sep="|")
+    return path
+
+
+def _load_ledger(t: Tables, *landings: DataFrame) -> DataFrame:
+    """Apply landed change sets one after the other and read the ledger that they give."""
+    root = scratch_path(t.spark, "ledger")
+    table = f"ledger_{root.rsplit('-', 1)[-1]}"
+    control = _control(t, root, [("orders_ledger", table, "o_orderkey")], ["source", "target", "PK1"])
+    for k, changes in enumerate(landings):
+        changes.write.parquet(f"{root}/landing-{k}/orders_ledger")
+        for _ in range(2):  # a load that is repeated changes nothing
+            apply_ledger_changes(t.spark, control, f"{root}/landing-{k}", f"{root}/silver", "opflag", buckets=8)
+    return detached(t.spark, table)
+
+
+@query("plan_ledger_changes", f"WITH {CHANGES_SQL} SELECT * FROM result")
+def plan_ledger_changes(t: Tables):
+    target, changes = cdc_frames(t)
+    return _load_ledger(t, target.withColumn("opflag", F.lit("")), changes)
+
+
+@query("plan_ledger_first_load", f"WITH {CHANGES_SQL} SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM changes WHERE opflag <> 'D'")
+def plan_ledger_first_load(t: Tables):
+    return _load_ledger(t, cdc_frames(t)[1])
+
+
+@query(
+    "plan_masters_reload",
+    "SELECT 'part' AS master, p_partkey AS code, p_name AS name FROM part UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier",
+)
+def plan_masters_reload(t: Tables):
+    root = scratch_path(t.spark, "masters")
+    prefix = f"m_{root.rsplit('-', 1)[-1]}_"
+    control = _control(t, root, [("PART", "part"), ("ABSENT", "absent"), ("SUPPLIER", "supplier")], ["source", "target"])
+    for _ in range(2):
+        reload_tables(t.spark, control, t.directory, f"{root}/bronze", prefix)
+    part, supplier = (detached(t.spark, f"{prefix}{name}") for name in ("part", "supplier"))
+    rows = part.select(F.lit("part").alias("master"), F.col("p_partkey").alias("code"), F.col("p_name").alias("name"))
+    return rows.unionByName(supplier.select(F.lit("supplier").alias("master"), F.col("s_suppkey").alias("code"), F.col("s_name").alias("name")))
+
+
 @query(
     "plan_profitability",
     """SELECT CASE o_orderstatus WHEN 'F' THEN 'actual' ELSE 'plan' END AS version, o_orderkey AS "TRKEYNR", o_custkey AS "KNDNR", e AS "ERLOS", d AS "RABAT"
@@ -152,8 +214,7 @@ def plan_profitability(t: Tables):
     values = t.lineitem.groupBy(F.col("l_orderkey").alias("TRKEYNR")).agg(
         F.round(F.sum("l_extendedprice"), 2).alias("ERLOS"), F.sum("l_quantity").alias("RABAT")
     )
-    actual, plan = profitability(header, values, ["TRKEYNR", "KNDNR"], ["ERLOS", "RABAT"])
-    return actual.withColumn("version", F.lit("actual")).unionByName(plan.withColumn("version", F.lit("plan")))
+    return profitability_lines(header, values, ["TRKEYNR", "KNDNR"], ["ERLOS", "RABAT"])
 
 
 @query(

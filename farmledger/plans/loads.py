@@ -12,7 +12,7 @@ from farmledger.operators import merge
 from farmledger.plans.registry import query
 from farmledger.plans.standins import AS_OF, day
 from farmledger.session import scratch_path
-from farmledger.sources import append, full_reload, safe_overwrite, strip_prefix
+from farmledger.sources import append, detached, full_reload, safe_overwrite, strip_prefix
 from farmledger.sources.tables import Tables
 
 
@@ -29,7 +29,7 @@ def scan_parquet(t: Tables):
 def full_reload_roundtrip(t: Tables):
     name = _table()
     full_reload(t.part.select("p_partkey", "p_brand", "p_size", "p_retailprice"), name, scratch_path(t.spark, "reload"))
-    return t.spark.table(name)
+    return detached(t.spark, name)
 
 
 @query("append_roundtrip", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")
@@ -38,7 +38,7 @@ def append_roundtrip(t: Tables):
     rows = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
     append(rows.where(F.col("c_acctbal") < 0), name, path)
     append(rows.where(F.col("c_acctbal") >= 0).select("c_acctbal", "c_custkey", "c_mktsegment"), name, path)
-    return t.spark.table(name)
+    return detached(t.spark, name)
 
 
 @query("strip_prefix", "SELECT p_partkey, p_name, p_type FROM part")
@@ -53,10 +53,10 @@ def safe_overwrite_roundtrip(t: Tables):
     safe_overwrite(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), name, root)
     itself = t.spark.table(name)
     safe_overwrite(itself.withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2)), name, root)
-    return t.spark.table(name)
+    return detached(t.spark, name)
 
 
-_CHANGES = """changes AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+CHANGES_SQL = """changes AS (SELECT o_orderkey, o_custkey, o_orderstatus,
     CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN o_totalprice * 1.5 ELSE o_totalprice END AS o_totalprice,
     CASE WHEN o_orderstatus = 'P' THEN 'I' WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'D'
          WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'U' ELSE '' END AS opflag FROM orders),
@@ -80,15 +80,30 @@ def cdc_frames(t: Tables):
     return target, changes
 
 
-@query("cdc_apply", f"WITH {_CHANGES} SELECT * FROM result")
+@query("cdc_apply", f"WITH {CHANGES_SQL} SELECT * FROM result")
 def cdc_apply(t: Tables):
     target, changes = cdc_frames(t)
     return merge.cdc_apply(target, changes, ["o_orderkey"], "opflag")
 
 
+@query(
+    "cdc_apply_latest_wins",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_custkey % 3 <> 0",
+)
+def cdc_apply_latest_wins(t: Tables):
+    """Each key is updated first; a third of the customers' orders is deleted later, a fifth comes again without a flag."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    update = rows.withColumn("o_totalprice", F.col("o_totalprice") * 2).select("*", F.lit(" u").alias("opflag"), F.lit(1).alias("seq"))
+    delete = rows.where("o_custkey % 3 = 0").select("*", F.lit("D").alias("opflag"), F.lit(2).alias("seq"))
+    blank = rows.where("o_custkey % 5 = 0").select("*", F.lit(None).cast("string").alias("opflag"), F.lit(3).alias("seq"))
+    target = rows.where(F.col("o_orderstatus").isin("F", "O"))
+    changes = update.unionByName(delete).unionByName(blank)
+    return merge.cdc_apply(target, changes, ["o_orderkey"], "opflag", order_col="seq")
+
+
 @query(
     "load_reconciliation",
-    f"""WITH {_CHANGES} SELECT (SELECT COUNT(*) FROM target) AS rows_before,
+    f"""WITH {CHANGES_SQL} SELECT (SELECT COUNT(*) FROM target) AS rows_before,
     (SELECT COUNT(*) FROM changes WHERE opflag = 'I') AS rows_inserted,
     (SELECT COUNT(*) FROM changes WHERE opflag = 'U') AS rows_updated,
     (SELECT COUNT(*) FROM changes WHERE opflag = 'D') AS rows_deleted, (SELECT COUNT(*) FROM result) AS rows_after""",

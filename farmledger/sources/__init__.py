@@ -8,7 +8,10 @@ from farmledger.sources.tables import (
 )
 from farmledger.sources.sinks import (
     append,
+    detached,
+    drop_old_versions,
     full_reload,
+    merge_partitions,
     replace_months,
     safe_overwrite,
 )
@@ -16,8 +19,11 @@ from farmledger.sources.sinks import (
 __all__ = [
     "Tables",
     "append",
+    "detached",
+    "drop_old_versions",
     "full_reload",
     "load_list",
+    "merge_partitions",
     "read_table",
     "read_table_list",
     "replace_months",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -67,12 +67,9 @@ def run_table_list(entries: Iterable[Row], loader: Callable[[Row], None]) -> lis
     return outcomes
 
 
-def load_list(control: DataFrame, max_tables: int = 10_000) -> list[Row]:
-    """Bring a control list to the driver; refuses anything that is not a control list by size."""
-    rows = control.limit(max_tables + 1).collect()
-    if len(rows) > max_tables:
-        raise ValueError(f"a control list of more than {max_tables} tables is not a control list")
-    return rows
+def load_list(control: DataFrame) -> Iterator[Row]:
+    """Walk a control list on the driver, one row per table, in parts."""
+    return control.toLocalIterator()
 
 
 def strip_prefix(df: DataFrame) -> DataFrame:

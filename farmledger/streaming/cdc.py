@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from farmledger.operators.merge import cdc_apply
-from farmledger.sources.sinks import safe_overwrite
+from farmledger.sources.sinks import merge_partitions
 
 
 def cdc_stream(
@@ -35,12 +36,7 @@ def cdc_stream(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        target = session.table(table) if session.catalog.tableExists(table) else None
-        if target is not None:
-            # An insert that the target already holds is the repeat of an earlier batch.
-            batch = batch.withColumn(flag, _as_update(flag))
-        safe_overwrite(cdc_apply(target, batch, keys, flag, initial=initial, order_col=order_col), table, root)
+        apply_changes(batch.sparkSession, table, batch, list(keys), flag, root, initial, order_col)
 
     return (
         reader.load(landing)
@@ -51,8 +47,19 @@ def cdc_stream(
     )
 
 
-def _as_update(flag: str):
-    from pyspark.sql import functions as F
+def apply_changes(
+    spark: SparkSession, table: str, changes: DataFrame, keys: list[str], flag: str, root: str,
+    initial: str = "all_but_deletes", order_col: str | None = None, buckets: int = 64,
+) -> str:
+    """Merge a set of changes into a ledger partition by partition; applying the same set again changes nothing.
+
+    An insert whose key the ledger holds already is the repeat of an earlier load and counts as an update.
+    """
+
+    def merged(target: DataFrame | None, rows: DataFrame) -> DataFrame:
+        if target is not None:
+            insert = F.upper(F.trim(F.col(flag))) == "I"
+            rows = rows.withColumn(flag, F.when(insert, F.lit("U")).otherwise(F.col(flag)))
+        return cdc_apply(target, rows, keys, flag, initial=initial, order_col=order_col)
 
-    mark = F.upper(F.trim(F.col(flag)))
-    return F.when(mark == "I", F.lit("U")).otherwise(F.col(flag))
+    return merge_partitions(spark, table, changes, keys, merged, root, buckets)

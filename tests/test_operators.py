@@ -160,6 +160,36 @@ def test_lag_join_needs_the_exact_step(spark):
     )
 
 
+def test_lag_join_keeps_every_row(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 7.0), ("a", 2, 9.0), ("a", None, 3.0)], "k string, d int, v double")
+    assert rows(joins.lag_join(df, ["k"], "d", {"p": "v"})) == sorted(
+        [("a", 1, 5.0, None), ("a", 1, 7.0, None), ("a", 2, 9.0, 7.0), ("a", None, 3.0, None)], key=repr
+    )
+
+
+def test_interval_join_takes_open_ended_spans(spark):
+    ev = spark.sql("select 'h' k, cast(d as date) d from values ('2024-01-01'),('2030-06-30'),('1999-07-01') v(d)")
+    en = spark.sql("select 'h' k, date '2000-01-01' lo, date '9999-12-31' hi, 1 lot")
+    assert rows(joins.interval_join(ev, en, ["k"], "d", "lo", "hi").select("d")) == [(dt.date(2024, 1, 1),), (dt.date(2030, 6, 30),)]
+
+
+def test_ages_and_priority(spark):
+    ages = dims.age_dim(spark.sql("select explode(array(-3, 0, 5, 7, 8, 12, 12345)) a"), F.col("a"))
+    assert {r["age_day"]: (r["age_code"], r["age_week"]) for r in ages.collect()} == {
+        0: ("D00", 1), 5: ("D05", 2), 7: ("D07", 2), 8: ("D08", 3), 12: ("D12", 3), 12345: ("D12345", 1765)
+    }
+    sources = [spark.createDataFrame(r, "k string, v int") for r in ([("a", 1), (None, 1)], [("a", 2), ("b", 2), ("b", 3)], [("b", 9), ("c", 9), (None, 9)])]
+    assert rows(dims.priority_union(sources, ["k"])) == sorted([("a", 1), (None, 1), ("b", 2), ("b", 3), ("c", 9), (None, 9)], key=repr)
+    plan = dims.priority_union([spark.range(9).toDF("k") for _ in range(9)], ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 18
+
+
+def test_cycle_fanout_leaves_history_alone(spark):
+    df = spark.sql("select 'e' k, date '1999-01-01' m, 'C02' c union all select 'e', date '2001-05-01', 'C06' union all select 'f', date '2001-06-01', 'C07' union all select 'g', date '2001-05-01', 'C09'")
+    got = rows(cost.cycle_fanout(df, "m", "c", dt.date(2001, 7, 15), 12))
+    assert got == sorted([tuple(r) for r in df.collect()] + [("e", dt.date(2001, 5, 1), "C07")], key=repr)
+
+
 def test_salted_join_equals_join(spark, skewed):
     small = spark.createDataFrame([("hot", 1), ("a", 2)], "k string, n int")
     for how in ("left", "inner"):
@@ -200,6 +230,8 @@ def test_densify_has_no_gaps(spark):
     added = rows(got.where("flag = 2").select("pen", "day", "carried", "n"))
     assert added == [("p1", d, 6.0, 0) for d in (3, 4, 5, 6)]
     assert got.where("flag = 1").count() == lots.count()
+    wide = gaps.densify_tail(lots.withColumn("extra", F.lit("x")), ["pen"], ["lot"], "day", ["carried"], ["n"])
+    assert {(r["flag"], r["extra"]) for r in wide.collect()} == {(1, "x"), (2, None)}
 
 
 def test_curve_edges(spark):
