@@ -165,23 +165,21 @@ def kpi_stage_denominator(t: Tables):
 
 @query(
     "kpi_vs_standard",
-    f"""WITH std AS (SELECT p_size AS std_age, {fx("AVG(p_retailprice)")} AS standard FROM part WHERE p_type <> 'PROMO' AND p_size <= 45 GROUP BY 1),
-    a AS (SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS m, {fx("SUM(l_quantity * l_discount) / SUM(l_discount)")} AS age, ROUND(SUM(l_quantity), 2) AS actual FROM lineitem WHERE l_discount > 0 GROUP BY 1, 2)
+    f"""WITH std AS (SELECT p_size AS std_age, {fx("AVG(p_retailprice)")} AS standard FROM part GROUP BY 1),
+    a AS (SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS m, {fx("SUM(l_quantity * l_discount) / NULLIF(SUM(l_discount), 0)")} AS age, ROUND(SUM(l_quantity), 2) AS actual FROM lineitem GROUP BY 1, 2)
     SELECT l_suppkey, m AS month, age, actual, CAST(ceil(age) AS INTEGER) AS std_age, COALESCE(standard, 0) AS standard, {fx("actual - COALESCE(standard, 0)")} AS difference
     FROM a LEFT JOIN std ON std_age = ceil(age)""",
 )
 def kpi_vs_standard(t: Tables):
     std = (
-        t.part.where((F.col("p_type") != "PROMO") & (F.col("p_size") <= 45))
-        .groupBy(F.col("p_size").alias("std_age"))
+        t.part.groupBy(F.col("p_size").alias("std_age"))
         .agg(fixed(F.avg("p_retailprice")).alias("std_value"))
     )
     discount = F.col("l_discount")
     actual = (
-        t.lineitem.where(discount > 0)
-        .groupBy("l_suppkey", F.trunc(day("l_shipdate"), "month").alias("month"))
+        t.lineitem.groupBy("l_suppkey", F.trunc(day("l_shipdate"), "month").alias("month"))
         .agg(
-            fixed(F.sum(F.col("l_quantity") * discount) / F.sum(discount)).alias("age"),
+            fixed(F.try_divide(F.sum(F.col("l_quantity") * discount), F.sum(discount))).alias("age"),
             F.round(F.sum("l_quantity"), 2).alias("actual"),
         )
     )
@@ -201,20 +199,27 @@ def row_extremes(t: Tables):
 
 @query(
     "day_number_rule",
-    """SELECT event_id, CAST(date_diff('day', DATE '1900-01-01', CAST(ts AS DATE)) + CASE WHEN hour(ts) = 11 AND minute(ts) = 59 AND floor(second(ts)) IN (0, 59) THEN 0
-    WHEN hour(ts) = 11 AND minute(ts) = 29 AND floor(second(ts)) = 0 THEN 0 WHEN hour(ts) > 0 OR minute(ts) > 0 OR floor(second(ts)) > 0 THEN 1 ELSE 0 END AS INTEGER) AS day_number FROM events""",
+    """WITH e AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN date_trunc('day', ts) WHEN 1 THEN date_trunc('day', ts) + INTERVAL 43199 SECOND WHEN 2 THEN date_trunc('day', ts) + INTERVAL 43140 SECOND
+      WHEN 3 THEN date_trunc('day', ts) + INTERVAL 41340 SECOND ELSE ts END AS ts FROM events)
+    SELECT event_id, CAST(date_diff('day', DATE '1900-01-01', CAST(ts AS DATE)) + CASE WHEN hour(ts) = 11 AND minute(ts) = 59 AND floor(second(ts)) IN (0, 59) THEN 0
+    WHEN hour(ts) = 11 AND minute(ts) = 29 AND floor(second(ts)) = 0 THEN 0 WHEN hour(ts) > 0 OR minute(ts) > 0 OR floor(second(ts)) > 0 THEN 1 ELSE 0 END AS INTEGER) AS day_number FROM e""",
 )
 def day_number_rule(t: Tables):
     # Times of day that stand for "no time recorded".
     markers = ((11, 59, 59), (11, 59, 0), (11, 29, 0))
-    return t.events.select("event_id", day_number("ts", markers).alias("day_number"))
+    # every marker occurs: midnight, the three stand-ins and the recorded time take turns
+    turn, midnight = F.col("event_id") % 5, day("ts").cast("timestamp_ntz")
+    stamp = F.when(turn == 4, F.col("ts").cast("timestamp_ntz")).otherwise(midnight)
+    for k, seconds in ((1, 43199), (2, 43140), (3, 41340)):
+        stamp = F.when(turn == k, midnight + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))).otherwise(stamp)
+    return t.events.select("event_id", stamp.alias("ts")).select("event_id", day_number("ts", markers).alias("day_number"))
 
 
 @query(
     "opening_balance",
     """WITH d AS (SELECT l_suppkey AS lot, CAST(l_shipdate AS DATE) AS day, SUM(l_quantity) AS exits FROM lineitem GROUP BY 1, 2),
     c AS (SELECT *, 100000.0 - SUM(exits) OVER (PARTITION BY lot ORDER BY day) AS closing FROM d)
-    SELECT c.lot, c.day, ROUND(c.exits, 2) AS exits, ROUND(p.closing, 2) AS opening FROM c LEFT JOIN c p ON p.lot = c.lot AND p.day = c.day - 1""",
+    SELECT lot, day, ROUND(exits, 2) AS exits, ROUND(CASE WHEN LAG(day) OVER w = day - 1 THEN LAG(closing) OVER w END, 2) AS opening FROM c WINDOW w AS (PARTITION BY lot ORDER BY day)""",
 )
 def opening_balance(t: Tables):
     number = F.datediff(day("l_shipdate"), F.lit("1970-01-01").cast("date")).alias("n")

@@ -55,7 +55,8 @@ def daily_field_detail(
 
 
 def mortality_daily(days: DataFrame) -> DataFrame:
-    """Deaths per pen and age with running and weekly totals; pens that stop early are carried to the lot's last age."""
+    """Deaths per pen and age with running and weekly totals; pens that stop early
+    are carried to the lot's last age with the total reached by their last week."""
     daily = days.groupBy(*PEN, "age").agg(F.sum("deaths").alias("deaths"))
     daily = daily.withColumn("week", week_of_life("age"))
     # A pen has one row per day of life, so plain windows serve; all three share the shuffle on the pen.
@@ -64,7 +65,7 @@ def mortality_daily(days: DataFrame) -> DataFrame:
     run = cumulate(run, PEN, ["week"], [], {"deaths_to_week": ("sum", "deaths")}, frame="range")
     full = run.withColumn("deaths_week", F.sum("deaths").over(by_week))
     dense = gaps.densify_tail(
-        full.drop("week"), PEN, ["zone", "lot"], "age", ["deaths_so_far", "deaths_to_week"], ["deaths", "deaths_week"]
+        full.drop("week"), PEN, ["zone", "lot"], "age", ["deaths_to_week"], ["deaths", "deaths_week", "deaths_so_far"]
     )
     return dense.withColumn("week", week_of_life("age"))
 

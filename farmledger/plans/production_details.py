@@ -52,14 +52,18 @@ def plan_mortality_causes_running(t: Tables):
 @query(
     "plan_sales_detail",
     """WITH s AS (SELECT o_custkey, o_orderkey AS lot, o_orderdate AS lo, o_orderdate + INTERVAL 45 DAY AS hi FROM orders),
-    e AS (SELECT o_custkey, l_orderkey, l_linenumber, l_shipdate, CASE WHEN l_linestatus = 'F' THEN l_partkey END AS product FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A'),
-    j AS (SELECT e.*, s.lot, s.lo FROM e JOIN s ON e.o_custkey = s.o_custkey AND e.l_shipdate BETWEEN s.lo AND s.hi)
-    SELECT l_orderkey, l_linenumber, lot, CAST(date_diff('day', CAST(lo AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS age, COALESCE(product, MIN(product) OVER (PARTITION BY lot)) AS product FROM j""",
+    e AS (SELECT o_custkey, l_orderkey, l_linenumber, l_shipdate + to_seconds(CASE l_linenumber % 3 WHEN 0 THEN 43199 WHEN 1 THEN 0 ELSE 55800 END) AS stamp, CASE WHEN l_linestatus = 'F' THEN l_partkey END AS product
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    j AS (SELECT e.*, s.lot, s.lo FROM e JOIN s ON e.o_custkey = s.o_custkey AND e.stamp BETWEEN s.lo AND s.hi)
+    SELECT l_orderkey, l_linenumber, lot, CAST(date_diff('day', CAST(lo AS DATE), CAST(stamp AS DATE)) + CASE WHEN l_linenumber % 3 = 2 THEN 1 ELSE 0 END AS INTEGER) AS age, COALESCE(product, MIN(product) OVER (PARTITION BY lot)) AS product FROM j""",
 )
 def plan_sales_detail(t: Tables):
     owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    loads = t.lineitem.where(F.col("l_returnflag") == "A").join(owner, "l_orderkey").select(
-        "o_custkey", "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("loaded_at"),
+    # a third of the loads carry the marker for "no time recorded", a third midnight, a third a time of day
+    seconds = F.when(F.col("l_linenumber") % 3 == 0, 43199).when(F.col("l_linenumber") % 3 == 1, 0).otherwise(55800)
+    stamp = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    loads = t.lineitem.join(owner, "l_orderkey").select(
+        "o_custkey", "l_orderkey", "l_linenumber", stamp.alias("loaded_at"),
         F.when(F.col("l_linestatus") == "F", F.col("l_partkey")).alias("product"),
     )
     spans = t.orders.select(

@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farmledger.functions import fixed
+from farmledger.operators.setops import union_all
 from farmledger.plans import production as P
 from farmledger.plans.registry import query
 from farmledger.plans.standins import AS_OF, day, fx
@@ -81,11 +83,11 @@ def plan_field_detail(t: Tables):
     f"""WITH {FIELD_DAYS}, d AS (SELECT zone, lot, house, pen, age, SUM(deaths) AS deaths, CAST(floor((age + 6) / 7) AS INTEGER) AS week FROM field_days GROUP BY ALL),
     r AS (SELECT *, SUM(deaths) OVER (PARTITION BY zone, lot, house, pen ORDER BY age) AS deaths_so_far, SUM(deaths) OVER (PARTITION BY zone, lot, house, pen, week) AS deaths_week,
       SUM(deaths) OVER (PARTITION BY zone, lot, house, pen ORDER BY week) AS deaths_to_week FROM d),
-    last AS (SELECT zone, lot, house, pen, MAX(age) AS a, arg_max(deaths_so_far, age) AS f, arg_max(deaths_to_week, age) AS w FROM r GROUP BY ALL),
+    last AS (SELECT zone, lot, house, pen, MAX(age) AS a, arg_max(deaths_to_week, age) AS w FROM r GROUP BY ALL),
     g AS (SELECT zone, lot, MAX(age) AS e FROM r GROUP BY ALL),
-    x AS (SELECT zone, lot, house, pen, UNNEST(generate_series(a + 1, e)) AS age, f, w FROM last JOIN g USING (zone, lot)),
+    x AS (SELECT zone, lot, house, pen, UNNEST(generate_series(a + 1, e)) AS age, w FROM last JOIN g USING (zone, lot)),
     u AS (SELECT zone, lot, house, pen, age, deaths, deaths_week, deaths_so_far, deaths_to_week, 1 AS flag FROM r
-      UNION ALL SELECT zone, lot, house, pen, CAST(age AS INTEGER), 0.0, 0.0, f, w, 2 FROM x)
+      UNION ALL SELECT zone, lot, house, pen, CAST(age AS INTEGER), 0.0, 0.0, 0.0, w, 2 FROM x)
     SELECT *, CAST(floor((age + 6) / 7) AS INTEGER) AS week FROM u""",
 )
 def plan_mortality_daily(t: Tables):
@@ -117,19 +119,21 @@ def plan_mortality_levels(t: Tables):
     return P.mortality_levels(field_days(t), heads_of(t), F.col("weight") <= 0.08)
 
 
-_WEIGH = [700 + 7 * i for i in range(8)]
-_WEIGH_WEEKS = {100 + i: f"week_{i + 1}" for i in range(8)}
+# Every seventh day is a weigh day; the weeks of life share eight columns by turns.
+_WEIGH = list(range(0, 2800, 7))
+_WEIGH_WEEKS = {w: f"week_{w % 8 + 1}" for w in range(401)}
 
 
 @query(
     "plan_weight_weekly",
     f"""WITH {FIELD_DAYS}, d AS (SELECT zone, lot, house, pen, age, MAX(weight) AS w FROM field_days GROUP BY ALL),
     m AS (SELECT *, MAX(w) OVER (PARTITION BY zone, lot, house, pen ORDER BY age RANGE BETWEEN CURRENT ROW AND 2 FOLLOWING) AS best FROM d),
-    f AS (SELECT *, CASE WHEN w = 0 THEN best ELSE w END AS filled, floor((age + 6) / 7) AS week FROM m WHERE age IN ({", ".join(map(str, _WEIGH))}))
-    SELECT zone, lot, house, pen, """ + ", ".join(f"COALESCE(SUM(CASE WHEN week = {w} THEN filled END), 0) AS {n}" for w, n in _WEIGH_WEEKS.items()) + " FROM f GROUP BY 1, 2, 3, 4",
+    f AS (SELECT *, CASE WHEN w = 0 THEN best ELSE w END AS filled, floor((age + 6) / 7) AS week FROM m WHERE age % 7 = 0)
+    SELECT zone, lot, house, pen, """ + ", ".join(f"{fx(f'COALESCE(SUM(CASE WHEN week % 8 = {k} THEN filled END), 0)')} AS week_{k + 1}" for k in range(8)) + " FROM f GROUP BY 1, 2, 3, 4",
 )
 def plan_weight_weekly(t: Tables):
-    return P.weight_weekly(field_days(t), _WEIGH_WEEKS, _WEIGH)
+    wide = P.weight_weekly(field_days(t), _WEIGH_WEEKS, _WEIGH)
+    return wide.select("zone", "lot", "house", "pen", *[fixed(f"week_{k}").alias(f"week_{k}") for k in range(1, 9)])
 
 
 @query(
@@ -191,12 +195,14 @@ def plan_sales_age(t: Tables):
 @query(
     "plan_breeder_running",
     f"""WITH {FIELD_DAYS}, d AS (SELECT *, CASE WHEN age <= 1200 THEN 1 ELSE 2 END AS phase FROM field_days),
-    h AS (SELECT zone, lot, house, phase, day, SUM(deaths) AS deaths, SUM(feed) AS feed FROM d GROUP BY ALL)
-    SELECT *, SUM(deaths) OVER w AS deaths_so_far, SUM(feed) OVER w AS feed_so_far FROM h WINDOW w AS (PARTITION BY zone, lot, house, phase ORDER BY day)""",
+    h AS (SELECT CASE grouping_id(house, pen) WHEN 0 THEN 'pen' WHEN 1 THEN 'house' ELSE 'lot' END AS level, zone, lot, house, pen, phase, day, SUM(deaths) AS deaths, SUM(feed) AS feed FROM d
+      GROUP BY GROUPING SETS ((zone, lot, house, pen, phase, day), (zone, lot, house, phase, day), (zone, lot, phase, day)))
+    SELECT *, SUM(deaths) OVER w AS deaths_so_far, SUM(feed) OVER w AS feed_so_far FROM h WINDOW w AS (PARTITION BY level, zone, lot, house, pen, phase ORDER BY day)""",
 )
 def plan_breeder_running(t: Tables):
     days = field_days(t).withColumn("phase", F.when(F.col("age") <= 1200, 1).otherwise(2))
-    return P.breeder_running(days, ["deaths", "feed"])["house"]
+    levels = P.breeder_running(days, ["deaths", "feed"])
+    return union_all(*[df.withColumn("level", F.lit(name)) for name, df in levels.items()], fill_missing=True)
 
 
 @query(

@@ -71,7 +71,8 @@ def fn_string(t: Tables):
     """SELECT event_id, strftime(ts, '%Y%m') AS ym, CAST(CAST(ts AS DATE) + INTERVAL 2 MONTH AS DATE) AS plus_months, CAST(date_trunc('month', ts) AS DATE) AS month_start, last_day(CAST(ts AS DATE)) AS month_end,
     CAST(date_trunc('year', ts) AS DATE) AS year_start, CAST(date_diff('day', DATE '2023-12-31', CAST(ts AS DATE)) AS INTEGER) AS days, CAST(ts AS DATE) + 10 AS plus_days, CAST(ts AS DATE) - 10 AS minus_days,
     CAST(year(ts) AS INTEGER) AS y, CAST(month(ts) AS INTEGER) AS m, CAST(hour(ts) AS INTEGER) AS h, CAST(minute(ts) AS INTEGER) AS mi, CAST(floor(second(ts)) AS INTEGER) AS s,
-    CAST(strptime(strftime(ts, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS parsed, strftime(ts - INTERVAL 575 MINUTE, '%Y-%m-%d %H:%M:%S') AS shifted FROM events""",
+    CAST(strptime(strftime(ts, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS parsed, strftime(ts - INTERVAL 575 MINUTE, '%Y-%m-%d %H:%M:%S') AS shifted,
+    strftime(strptime(strftime(ts, '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M'), '%Y%m%d%H%M%S') AS stamped, strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(event_id * 3600), '%Y-%m-%d %H:%M:%S') AS from_epoch FROM events""",
 )
 def fn_date(t: Tables):
     ts, d = F.col("ts"), day("ts")
@@ -92,6 +93,8 @@ def fn_date(t: Tables):
         F.second(ts).alias("s"),
         F.to_date(F.date_format(ts, "dd/MM/yyyy"), "dd/MM/yyyy").alias("parsed"),
         F.date_format(ts - F.expr("interval 9 hours 35 minutes"), "yyyy-MM-dd HH:mm:ss").alias("shifted"),
+        F.date_format(F.to_timestamp(F.date_format(ts, "yyyy-MM-dd HH:mm"), "yyyy-MM-dd HH:mm"), "yyyyMMddHHmmss").alias("stamped"),
+        F.from_unixtime(F.col("event_id") * 3600, "yyyy-MM-dd HH:mm:ss").alias("from_epoch"),
     )
 
 

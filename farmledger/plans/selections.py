@@ -276,14 +276,13 @@ def asof_max(t: Tables):
 @query(
     "interval_join",
     """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate AS lo, o_orderdate + INTERVAL 45 DAY AS hi FROM orders),
-    e AS (SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_shipdate, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_returnflag = 'R')
+    e AS (SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_shipdate, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
     SELECT e.o_custkey, e.l_orderkey, e.l_linenumber, e.l_quantity, s.o_orderkey AS lot FROM e JOIN s ON e.o_custkey = s.o_custkey AND e.l_shipdate BETWEEN s.lo AND s.hi""",
 )
 def interval_join(t: Tables):
     owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     events = (
-        t.lineitem.where(F.col("l_returnflag") == "R")
-        .join(owner, "l_orderkey")
+        t.lineitem.join(owner, "l_orderkey")
         .select("o_custkey", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
     )
     spans = t.orders.select(
