@@ -4,9 +4,9 @@ The n-grams of a set are ordered rare-first by counts over all documents. Two se
 share an n-gram in their prefixes, so the prefix n-grams are joined; length, position and suffix bounds discard pairs that
 cannot reach it; the pairs left are verified once on the whole sets. Equal sets are one class and are joined once.
 
-Links serve to find groups, so a pair is not verified where it can add nothing: a first pass verifies for every set the
-partner that shares most of its prefix, the groups that this gives are labelled, and the second pass verifies every
-remaining candidate pair whose groups differ. A large group of near copies thus costs a few pairs for each member.
+Links serve to find groups, so a pair is not verified where it can add nothing: a first pass verifies neighbours in the
+lists that share a fifth of their prefixes at least, the groups that this gives are labelled, and the second pass verifies
+every remaining candidate pair whose groups differ. A large group of near copies thus costs a few pairs for each member.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from farmledger.llm.textcore import LOWER, NOT_BLANK, mix, ngram_hashes, runs, s
 
 SIGNED = ["id", "n", "a", "b", "low", "counts"]
 COUNTERS_A_ROW = 1 << 14
-COUNTERS = 1 << 20  # counters of n-grams by hash; the order they give is exact for every purpose but speed
+PARTS = 64  # parts of the hash space whose counts bound the overlap of two sets
+COUNTERS = 1 << 22  # counters of n-grams by hash; the order they give is exact for every purpose but speed
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,20 +137,31 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
     # 3. the texts of the sets that share a prefix n-gram with another one
     partners = index.select(F.col("class").alias("id")).distinct()
-    texts = source.join(partners, "id", "left_semi")
-    texts = keep(texts.select(F.col("id").alias("class"), "text"), "jaccard-texts")
 
-    # 4. first pass: for each set the partner that shares most prefix n-grams among its neighbours in the lists
+    def counted(batches):
+        for batch, data, offsets in text_chunks(batches, "text"):
+            values, at = shingle_sets(data, offsets, n)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            parts = np.bincount(owner * PARTS + (values >> np.uint64(58)).astype(np.int64), minlength=batch.num_rows * PARTS)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(parts) + 1, PARTS, dtype=np.int32)), pa.array(parts.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["class", "text", "parts"])
+
+    texts = source.join(partners, "id", "left_semi").select("id", "text").mapInArrow(counted, "class long, text string, parts array<int>")
+    texts = keep(texts, "jaccard-texts")
+
+    # 4. first pass: neighbours in the lists that share a good part of their prefixes
     salt = F.pmod(F.xxhash64("gram", "class"), F.greatest(F.lit(1), (F.col("df") / 4096).cast("long")))
     spread = index.withColumn("salt", salt)
     near = Window.partitionBy("gram", "salt").orderBy("size", "class")
     neighbours = spread.select("class", "size", F.lag("class").over(near).alias("other"), F.lag("size").over(near).alias("other_size"))
     scored = (
         neighbours.where(F.col("other").isNotNull() & (F.col("other_size") * 100 >= F.col("size") * percent))
-        .groupBy("class", "other").agg(F.count(F.lit(1)).alias("common"))
+        .groupBy("class", "size", "other").agg(F.count(F.lit(1)).alias("common"))
     )
-    best = scored.groupBy("class").agg(F.max_by("other", F.struct("common", -F.col("other"))).alias("other"))
-    links = keep(verified(best.select(F.least("class", "other").alias("x"), F.greatest("class", "other").alias("y")).distinct(), texts, n, percent), "jaccard-links")
+    likely = scored.where(F.col("common") * 500 >= F.col("size") * (100 - percent)).select(
+        F.least("class", "other").alias("x"), F.greatest("class", "other").alias("y")
+    ).distinct()
+    links = keep(verified(likely, texts, n, percent), "jaccard-links")
     group = connected_components(links, "x", "y")
 
     # 5. second pass: candidate pairs between different groups
@@ -208,6 +220,15 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
                 good = common * 100 >= (sizes[0] + sizes[1] - common) * percent
                 yield part.select([0, 1]).filter(pa.array(good))
 
+    # sets overlap no more than their counts do in each part of the hash space
+    def side(name: str, column: str) -> DataFrame:
+        return texts.select(F.col("class").alias(name), F.col(column).alias(f"{name}_{column}"))
+
+    bounded = pairs.join(side("x", "parts"), "x").join(side("y", "parts"), "y")
+    zero = F.lit(0)
+    common = F.aggregate(F.zip_with("x_parts", "y_parts", lambda a, b: F.least(a, b)), zero, lambda acc, v: acc + v)
+    total = F.aggregate("x_parts", zero, lambda acc, v: acc + v) + F.aggregate("y_parts", zero, lambda acc, v: acc + v)
+    pairs = bounded.where(common * 100 >= (total - common) * percent).select("x", "y").distinct()
     both = pairs.join(texts.select(F.col("class").alias("x"), F.col("text").alias("x_text")), "x")
     both = both.join(texts.select(F.col("class").alias("y"), F.col("text").alias("y_text")), "y")
     return both.select("x", "y", "x_text", "y_text").mapInArrow(check, "x long, y long")
