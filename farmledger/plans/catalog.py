@@ -10,6 +10,7 @@ from farmledger.plans import (  # noqa: F401
     indicators,
     loads,
     production_details,
+    production_periods,
     production_queries,
     scalars,
     selections,

@@ -301,13 +301,29 @@ def breeder_weekly(days: DataFrame, curve: DataFrame, cap: int, capped: Column)
     )
 
 
-def breeder_liquidation(days: DataFrame) -> DataFrame:
-    """Closing figures per lot: last day of each pen, and the pens' closing ages weighted by their heads."""
+def period_totals(days: DataFrame, keys: Sequence[str], period: str, sums: Sequence[str]) -> DataFrame:
+    """Sums of a level by day of life, week of life or calendar month, with the totals reached so far.
+
+    ``period`` is ``age``, ``week`` or ``month_id``; a level has one row for each of its periods before anything is windowed.
+    """
+    at = {"age": F.col("age"), "week": week_of_life("age"), "month_id": F.date_format("day", "yyyyMM")}[period]
+    totals = days.groupBy(*keys, at.alias(period)).agg(*[F.sum(c).alias(c) for c in sums])
+    return cumulate(totals, keys, [period], [], {f"{c}_so_far": ("sum", c) for c in sums})
+
+
+def mortality_causes_levels(days: DataFrame, causes: Sequence[str], n: int = 3) -> DataFrame:
+    """Leading causes per week of life at pen, house and lot level."""
+    frames = [mortality_causes(days, causes, keys, n).withColumn("level", F.lit(name)) for name, keys in LEVELS]
+    return union_all(*frames, fill_missing=True)
+
+
+def breeder_liquidation(days: DataFrame, keys: Sequence[str] = ("zone", "lot")) -> DataFrame:
+    """Closing figures per lot or house: last day of each pen, and the pens' closing ages weighted by their heads."""
     totals = days.groupBy(*PEN).agg(F.sum("deaths").alias("deaths"))
     last = A.latest(days, PEN, ["age"], ["age", "day"]).withColumnRenamed("day", "closed_on")
     return (
         totals.join(last, PEN)
-        .groupBy("zone", "lot")
+        .groupBy(*keys)
         .agg(
             F.max("closed_on").alias("closed_on"),
             F.sum("deaths").alias("deaths"),
