@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farmledger.session import tune
 from farmledger.sources.tables import Tables
 
 
@@ -17,7 +18,7 @@ class Query:
     oracle: str | None
 
     def run(self, spark: SparkSession, directory: str) -> DataFrame:
-        return self.build(Tables(spark, directory))
+        return self.build(Tables(tune(spark), directory))
 
 
 REGISTRY: dict[str, Query] = {}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -51,7 +53,11 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; only a local master may fall back to a temporary one."""
+    """Shared folder named by ``spark.checkpoint.dir``.
+
+    A cluster must name one. A session on one machine, as in tests, may leave it unset: it gets a folder of its own, which is
+    removed when the process ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
@@ -62,7 +68,9 @@ def shared_root(spark: SparkSession) -> str:
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="farmledger-")
+    root = tempfile.mkdtemp(prefix="farmledger-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

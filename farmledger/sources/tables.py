@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from farmledger.session import tune
-
 
 def read_table(spark: SparkSession, directory: str, name: str, glob: str | None = None) -> DataFrame:
     """Parquet scan of ``directory/name``; ``glob`` restricts the files of a folder."""
@@ -25,7 +23,7 @@ class Tables:
     """Lazy access to the Parquet tables of one folder: ``tables.orders`` is a scan, whose footer is read once."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        self.spark = tune(spark)
+        self.spark = spark
         self.directory = directory
 
     def __getattr__(self, name: str) -> DataFrame:
