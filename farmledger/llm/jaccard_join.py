@@ -4,9 +4,9 @@ The n-grams of a set are ordered rare-first by counts over all documents. Two se
 share an n-gram in their prefixes, so the prefix n-grams are joined; length, position and suffix bounds discard pairs that
 cannot reach it; the pairs left are verified once on the whole sets. Equal sets are one class and are joined once.
 
-Links serve to find groups, so a pair is not verified where it can add nothing: a first pass verifies neighbours in the
-lists that share a fifth of their prefixes at least, the groups that this gives are labelled, and the second pass verifies
-every remaining candidate pair whose groups differ. A large group of near copies thus costs a few pairs for each member.
+Links serve to find groups, so a pair is not verified where it can add nothing: two passes verify neighbours in the lists
+only, by size and then across the borders of the groups found, and the last pass verifies every candidate pair whose groups
+still differ. A large group of near copies thus costs a few pairs for each member.
 """
 
 from __future__ import annotations
@@ -130,9 +130,12 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
     leaders = classes.where("class IS NOT NULL").select("class", "a")
     lists = source.where("id IS NOT NULL").mapInArrow(prefixes, "class long, a long, size int, grams array<long>, behind array<int>")
-    flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.posexplode(F.arrays_zip("grams", "behind")).alias("position", "g"))
-    index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "position", F.col("g.behind").alias("high"))
+    flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.pmod("a", F.lit(251)).cast("short").alias("tag"), F.posexplode(F.arrays_zip("grams", "behind")).alias("position", "g"))
+    index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "tag", "position", F.col("g.behind").alias("high"))
     index = index.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("df > 1")
+    # the n-grams before each one in its list: a pair that shares one of them is met there already
+    line = Window.partitionBy("class", "size", "tag").orderBy("position")  # one text of an id that has several
+    index = index.withColumns({"before1": F.lag("gram", 1).over(line), "before2": F.lag("gram", 2).over(line)}).drop("tag")
     index = keep(index, "jaccard-prefixes")
 
     # 3. the texts of the sets that share a prefix n-gram with another one
@@ -149,25 +152,24 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     texts = source.join(partners, "id", "left_semi").select("id", "text").mapInArrow(counted, "class long, text string, parts array<int>")
     texts = keep(texts, "jaccard-texts")
 
-    # 4. first pass: neighbours in the lists that share a good part of their prefixes
+    # 4. neighbours in the lists: first by size, then across the borders of the groups found so far
     salt = F.pmod(F.xxhash64("gram", "class"), F.greatest(F.lit(1), (F.col("df") / 4096).cast("long")))
-    spread = index.withColumn("salt", salt)
-    near = Window.partitionBy("gram", "salt").orderBy("size", "class")
-    neighbours = spread.select("class", "size", F.lag("class").over(near).alias("other"), F.lag("size").over(near).alias("other_size"))
-    scored = (
-        neighbours.where(F.col("other").isNotNull() & (F.col("other_size") * 100 >= F.col("size") * percent))
-        .groupBy("class", "size", "other").agg(F.count(F.lit(1)).alias("common"))
-    )
-    likely = scored.where(F.col("common") * 500 >= F.col("size") * (100 - percent)).select(
-        F.least("class", "other").alias("x"), F.greatest("class", "other").alias("y")
-    ).distinct()
-    links = keep(verified(likely, texts, n, percent), "jaccard-links")
-    group = connected_components(links, "x", "y")
-
-    # 5. second pass: candidate pairs between different groups
-    lists = index.join(group, index["class"] == group["node"], "left").select(
-        "gram", "class", "size", "position", "high", F.coalesce("component", "class").alias("grp")
-    )
+    links, group = None, None
+    for order in (["size", "class"], ["grp", F.xxhash64("class", "gram")]):
+        spread = index.select("gram", "class", "size", salt.alias("salt"))
+        spread = spread.withColumn("grp", F.col("class")) if group is None else _grouped(spread, group)
+        near = Window.partitionBy("gram", "salt").orderBy(*order)
+        lagged = {f"other_{c}": F.lag(c).over(near) for c in ("class", "size", "grp")}
+        met = spread.withColumns(lagged).where("grp <> other_grp").where(
+            F.least("size", "other_size") * 100 >= F.greatest("size", "other_size") * percent
+        )
+        likely = met.select(F.least("class", "other_class").alias("x"), F.greatest("class", "other_class").alias("y")).distinct()
+        found = keep(verified(likely, texts, n, percent), "jaccard-links")
+        links = found if links is None else links.unionByName(found)
+        group = keep(connected_components(links, "x", "y"), "jaccard-groups")
+
+    # 5. every candidate pair between different groups
+    lists = _grouped(index, group)
     left, right = lists.alias("l"), lists.alias("r")
     total = F.col("l.size") + F.col("r.size")
     least = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
@@ -175,18 +177,30 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     # both n-grams before this one at most, this one, and at most what the halves of the suffixes have in common
     before = F.least("l.position", "r.position")
     suffix = F.least("l.high", "r.high") + F.least(rest_l - F.col("l.high"), rest_r - F.col("r.high"))
+    new = F.lit(True)
+    for a in ("before1", "before2"):
+        for b in ("before1", "before2"):
+            new = new & F.coalesce(F.col(f"l.{a}") != F.col(f"r.{b}"), F.lit(True))
     pairs = left.join(
         right,
         (F.col("l.gram") == F.col("r.gram")) & (F.col("l.class") < F.col("r.class")) & (F.col("l.grp") != F.col("r.grp"))
         & (F.least("l.size", "r.size") * 100 >= F.greatest("l.size", "r.size") * percent)
-        & (before + 1 + suffix >= least),
+        & (before + 1 + suffix >= least) & new,
     ).select(F.col("l.class").alias("x"), F.col("r.class").alias("y")).distinct()
     more = keep(verified(pairs, texts, n, percent), "jaccard-links")
     # an id with several texts ties the classes of its texts together
     several = sets.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least <> most")
-    ties = sets.join(several.select("id"), "id").join(classes, ["n", "a", "b"]).select(F.least("id", "class").alias("x"), F.greatest("id", "class").alias("y"))
-    all_links = links.unionByName(more).unionByName(ties)
-    final = connected_components(all_links, "x", "y")
+    ties = sets.join(several.select("id"), "id").join(classes, ["n", "a", "b"]).select(F.col("id").alias("x"), F.col("class").alias("y"))
+    # the groups themselves are the nodes now, so a large group counts once
+    ends = more.unionByName(ties)
+    for side in ("x", "y"):
+        named = group.select(F.col("node").alias(side), F.col("component").alias(f"{side}_group"))
+        ends = ends.join(named, side, "left").withColumn(f"{side}_group", F.coalesce(f"{side}_group", side))
+    joined = connected_components(ends.select("x_group", "y_group").distinct(), "x_group", "y_group")
+    joined = joined.select(F.col("node").alias("g"), F.col("component").alias("last"))
+    # a class that is no node of the first graph may be one of the second
+    known = group.unionByName(joined.join(group, F.col("g") == F.col("node"), "left_anti").select(F.col("g").alias("node"), F.col("g").alias("component")))
+    final = known.join(joined, F.col("component") == F.col("g"), "left").select("node", F.coalesce("last", "component").alias("component"))
 
     # 6. back to the documents: the texts of an id meet in its group
     by_class = classes.join(final, classes["class"] == final["node"], "left").select("n", "a", "b", F.coalesce("component", "class").alias("component"))
@@ -194,6 +208,12 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     return named.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"))
 
 
+def _grouped(lists: DataFrame, group: DataFrame) -> DataFrame:
+    """The rows with the group of their class; a class without links is its own group."""
+    named = group.select(F.col("node").alias("class"), F.col("component").alias("_group"))
+    return lists.join(named, "class", "left").withColumn("grp", F.coalesce("_group", "class")).drop("_group")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (x, y) whose sets reach the threshold; each pair is looked at once, on whole texts."""
 
