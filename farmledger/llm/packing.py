@@ -49,13 +49,14 @@ def column_generation(widths: np.ndarray, demand: np.ndarray, capacity: int, tol
     """Patterns (columns) and their fractional multiplicities that cover the demand with fewest sequences.
 
     Revised simplex with the basis kept as its inverse: the start basis is one class a pattern, each step brings in the
-    pattern that the knapsack finds at the current prices. The loop ends at the optimum within the tolerance.
+    pattern that the knapsack finds at the current prices. The loop ends at the optimum within the tolerance, or after a
+    number of steps that grows with the classes; every basis on the way covers the demand.
     """
     n = len(widths)
     basis = np.diag(capacity // widths).astype(float)
     inverse = np.linalg.inv(basis)
     steps = 0
-    while True:
+    while steps < 50 * n + 1000:
         prices = np.ones(n) @ inverse
         value, pattern = knapsack(np.maximum(prices, 0), widths, capacity)
         if value <= 1 + tolerance:
