@@ -119,7 +119,7 @@ def calendar_attributes(df: DataFrame, day: str) -> DataFrame:
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.date_format(d, "yyyyMM").alias("month_id"),
-        F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("quarter_label"),
+        F.concat(F.lit("T"), F.quarter(d).cast("string")).alias("quarter_label"),
         F.concat(F.lit("W"), F.lpad(F.weekofyear(d).cast("string"), 2, "0")).alias("week_label"),
     )
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farmledger.functions.calendar import _shift, month_start
@@ -147,16 +147,21 @@ def rewrite_when(df: DataFrame, rules: Mapping[str, Sequence[tuple[Column, Expr]
     return df.withColumns({name: chain(name, branches) for name, branches in rules.items()})
 
 
-def reconcile(
-    target: DataFrame, changes: DataFrame, result: DataFrame, flag: str
+def reconciled_load(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], flag: str, store: Callable[[DataFrame], None],
+    order_col: str | None = None,
 ) -> DataFrame:
-    """One row with the rows before, inserted, updated, deleted and after a load."""
+    """Apply the changes, hand the result to ``store``, and return one row with the counts before, of each kind and after.
+
+    The target and the result are counted while ``store`` writes, so the merge runs once; only the changes, which are few,
+    are read again.
+    """
     mark = F.coalesce(F.upper(F.trim(F.col(flag))), F.lit(""))
-    sizes = target.select(F.lit("before").alias("__what")).unionByName(
-        changes.select(
-            F.when(mark == "I", "inserted").when(mark == "U", "updated").when(mark == "D", "deleted").alias("__what")
-        )
-    ).unionByName(result.select(F.lit("after").alias("__what")))
-    names = {"before": "rows_before", "inserted": "rows_inserted", "updated": "rows_updated",
-             "deleted": "rows_deleted", "after": "rows_after"}
-    return sizes.agg(*[F.count_if(F.col("__what") == k).alias(v) for k, v in names.items()])
+    before, after = Observation(), Observation()
+    merged = cdc_apply(target.observe(before, F.count(F.lit(1)).alias("n")), changes, keys, flag, order_col=order_col)
+    store(merged.observe(after, F.count(F.lit(1)).alias("n")))
+    kinds = {"rows_inserted": "I", "rows_updated": "U", "rows_deleted": "D"}
+    counts = changes.agg(*[F.count_if(mark == kind).alias(name) for name, kind in kinds.items()])
+    return counts.select(
+        F.lit(before.get["n"]).cast("long").alias("rows_before"), *kinds, F.lit(after.get["n"]).cast("long").alias("rows_after")
+    )

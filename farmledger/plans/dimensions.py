@@ -116,7 +116,7 @@ def enum_dimension(t: Tables):
     """WITH d AS (SELECT CAST(UNNEST(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
       FROM (SELECT CAST(MIN(o_orderdate) AS DATE) AS lo, CAST(MAX(o_orderdate) AS DATE) AS hi FROM orders))
     SELECT day, CAST(strftime(day, '%Y%m%d') AS INTEGER) AS day_id, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
-      strftime(day, '%Y%m') AS month_id, 'Q' || quarter(day) AS quarter_label, 'W' || lpad(CAST(weekofyear(day) AS VARCHAR), 2, '0') AS week_label FROM d""",
+      strftime(day, '%Y%m') AS month_id, 'T' || quarter(day) AS quarter_label, 'W' || lpad(CAST(weekofyear(day) AS VARCHAR), 2, '0') AS week_label FROM d""",
 )
 def calendar_dim(t: Tables):
     return dims.calendar_of(t.orders, "o_orderdate")

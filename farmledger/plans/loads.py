@@ -110,8 +110,8 @@ def cdc_apply_latest_wins(t: Tables):
 )
 def load_reconciliation(t: Tables):
     target, changes = cdc_frames(t)
-    result = merge.cdc_apply(target, changes, ["o_orderkey"], "opflag")
-    return merge.reconcile(target, changes, result, "opflag")
+    path = scratch_path(t.spark, "reconciled")
+    return merge.reconciled_load(target, changes, ["o_orderkey"], "opflag", lambda merged: merged.write.parquet(path))
 
 
 def _ledger(t: Tables):
