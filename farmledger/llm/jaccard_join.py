@@ -4,9 +4,9 @@ The n-grams of a set are ordered rare-first by counts over all documents. Two se
 share an n-gram in their prefixes, so the prefix n-grams are joined; length, position and suffix bounds discard pairs that
 cannot reach it; the pairs left are verified once on the whole sets. Equal sets are one class and are joined once.
 
-Links serve to find groups, so a pair is not verified where it can add nothing: two passes verify neighbours in the lists
-only, by size and then across the borders of the groups found, and the last pass verifies every candidate pair whose groups
-still differ. A large group of near copies thus costs a few pairs for each member.
+Links serve to find groups, so a pair is not verified where it can add nothing: a first pass verifies neighbours in the
+lists only, and the second pass verifies every candidate pair whose groups still differ. A large group of near copies thus
+costs a few pairs for each member.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from farmledger.llm.textcore import LOWER, NOT_BLANK, mix, ngram_hashes, runs, s
 
 SIGNED = ["id", "n", "a", "b", "low", "counts"]
 COUNTERS_A_ROW = 1 << 14
+ODD = ["odd1", "odd2", "odd3", "odd4"]
 PARTS = 64  # parts of the hash space whose counts bound the overlap of two sets
 COUNTERS = 1 << 22  # counters of n-grams by hash; the order they give is exact for every purpose but speed
 
@@ -133,40 +134,46 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.pmod("a", F.lit(251)).cast("short").alias("tag"), F.posexplode(F.arrays_zip("grams", "behind")).alias("position", "g"))
     index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "tag", "position", F.col("g.behind").alias("high"))
     index = index.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("df > 1")
-    # the n-grams before each one in its list: a pair that shares one of them is met there already
-    line = Window.partitionBy("class", "size", "tag").orderBy("position")  # one text of an id that has several
-    index = index.withColumns({"before1": F.lag("gram", 1).over(line), "before2": F.lag("gram", 2).over(line)}).drop("tag")
-    index = keep(index, "jaccard-prefixes")
+    filtered = keep(index, "jaccard-prefixes")
 
     # 3. the texts of the sets that share a prefix n-gram with another one
-    partners = index.select(F.col("class").alias("id")).distinct()
+    partners = filtered.select(F.col("class").alias("id")).distinct()
 
-    def counted(batches):
+    def described(batches):
         for batch, data, offsets in text_chunks(batches, "text"):
             values, at = shingle_sets(data, offsets, n)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(at))
             parts = np.bincount(owner * PARTS + (values >> np.uint64(58)).astype(np.int64), minlength=batch.num_rows * PARTS)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(parts) + 1, PARTS, dtype=np.int32)), pa.array(parts.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["class", "text", "parts"])
-
-    texts = source.join(partners, "id", "left_semi").select("id", "text").mapInArrow(counted, "class long, text string, parts array<int>")
+            odd = np.bincount(owner * 256 + (values & np.uint64(255)).astype(np.int64), minlength=batch.num_rows * 256) & 1
+            odd = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, 4)
+            tag = pa.array((_signature(values, at)[0] % 251).astype(np.int16))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tag, lists, *(pa.array(odd[:, k]) for k in range(4))], ["class", "text", "tag", "parts", *ODD])
+
+    texts = source.join(partners, "id", "left_semi").select("id", "text").mapInArrow(
+        described, "class long, text string, tag short, parts array<int>, " + ", ".join(f"{o} long" for o in ODD)
+    )
     texts = keep(texts, "jaccard-texts")
+    # with each n-gram: the two before it in its list (a pair that shares one of them is met there already), and which of
+    # 256 parts of the hash space hold an odd number of the set (two sets differ in as many n-grams as in these bits, or more)
+    line = Window.partitionBy("class", "size", "tag").orderBy("position")  # one text of an id that has several
+    index = filtered.join(texts.select("class", "tag", *ODD).dropDuplicates(["class", "tag"]), ["class", "tag"])
+    index = index.withColumns({"before1": F.lag("gram", 1).over(line), "before2": F.lag("gram", 2).over(line)}).drop("tag")
+    index = keep(index, "jaccard-index")
 
-    # 4. neighbours in the lists: first by size, then across the borders of the groups found so far
+    # 4. neighbours in the lists, by size and by hash
     salt = F.pmod(F.xxhash64("gram", "class"), F.greatest(F.lit(1), (F.col("df") / 4096).cast("long")))
-    links, group = None, None
-    for order in (["size", "class"], ["grp", F.xxhash64("class", "gram")]):
-        spread = index.select("gram", "class", "size", salt.alias("salt"))
-        spread = spread.withColumn("grp", F.col("class")) if group is None else _grouped(spread, group)
-        near = Window.partitionBy("gram", "salt").orderBy(*order)
-        lagged = {f"other_{c}": F.lag(c).over(near) for c in ("class", "size", "grp")}
-        met = spread.withColumns(lagged).where("grp <> other_grp").where(
-            F.least("size", "other_size") * 100 >= F.greatest("size", "other_size") * percent
-        )
-        likely = met.select(F.least("class", "other_class").alias("x"), F.greatest("class", "other_class").alias("y")).distinct()
-        found = keep(verified(likely, texts, n, percent), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
-        group = keep(connected_components(links, "x", "y"), "jaccard-groups")
+    spread = index.select("gram", "class", "size", salt.alias("salt"))
+    by_size = Window.partitionBy("gram", "salt").orderBy("size", "class")
+    by_hash = Window.partitionBy("gram", "salt").orderBy(F.xxhash64("class"), "class")
+    beside = {f"{c}{k}": F.lag(c).over(w) for k, w in enumerate((by_size, by_hash)) for c in ("class", "size")}
+    pairs = F.array(*[F.struct(F.col(f"class{k}").alias("class"), F.col(f"size{k}").alias("size")) for k in (0, 1)])
+    met = spread.withColumns(beside).select("class", "size", F.explode(pairs).alias("o")).where(
+        F.least("size", "o.size") * 100 >= F.greatest("size", "o.size") * percent
+    )
+    likely = met.where("class <> o.class").select(F.least("class", "o.class").alias("x"), F.greatest("class", "o.class").alias("y")).distinct()
+    links = keep(verified(likely, texts, n, percent), "jaccard-links")
+    group = keep(connected_components(links, "x", "y"), "jaccard-groups")
 
     # 5. every candidate pair between different groups
     lists = _grouped(index, group)
@@ -177,6 +184,9 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     # both n-grams before this one at most, this one, and at most what the halves of the suffixes have in common
     before = F.least("l.position", "r.position")
     suffix = F.least("l.high", "r.high") + F.least(rest_l - F.col("l.high"), rest_r - F.col("r.high"))
+    differ = F.lit(0)
+    for o in ODD:
+        differ = differ + F.bit_count(F.col(f"l.{o}").bitwiseXOR(F.col(f"r.{o}")))
     new = F.lit(True)
     for a in ("before1", "before2"):
         for b in ("before1", "before2"):
@@ -185,7 +195,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
         right,
         (F.col("l.gram") == F.col("r.gram")) & (F.col("l.class") < F.col("r.class")) & (F.col("l.grp") != F.col("r.grp"))
         & (F.least("l.size", "r.size") * 100 >= F.greatest("l.size", "r.size") * percent)
-        & (before + 1 + suffix >= least) & new,
+        & (before + 1 + suffix >= least) & new & (differ <= total - 2 * least),
     ).select(F.col("l.class").alias("x"), F.col("r.class").alias("y")).distinct()
     more = keep(verified(pairs, texts, n, percent), "jaccard-links")
     # an id with several texts ties the classes of its texts together
