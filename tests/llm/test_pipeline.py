@@ -8,6 +8,7 @@ import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from farmledger.llm.catalog import ORACLES, QUERIES
 from farmledger.llm.scratch import keep
+from tests.llm.common import documents, empty, pairs
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("FARMLEDGER_TEST_SF", "/root/testdata/sf0.001")
@@ -38,3 +39,16 @@ def test_stages(spark):
         assert kept == rows if name == "secrets" else 0 < kept <= rows
         docs, rows = out, kept
     assert corpus_pipeline.run(spark, SF_DIR).select("doc_id").distinct().count() == rows
+
+
+def test_stages_take_difficult_rows(spark):
+    docs = documents(spark)
+    for rows in (docs, empty(spark)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = keep(stage(spark, rows, SF_DIR), "test")
+            if name != "packing":
+                assert out.columns == docs.columns
+                assert {r.doc_id for r in out.select("doc_id").collect()} <= {r.doc_id for r in rows.select("doc_id").collect()}
+                rows = out
+    texts = [t for _, t in pairs(rows)]
+    assert not texts
