@@ -83,21 +83,26 @@ def top_n_others(
     )
 
 
-def list_pivot(
-    df: DataFrame, key: Sequence[str], week: str, product: str, day: str, weeks: Mapping[int, str], sep: str = ","
-) -> DataFrame:
-    """Products given in a week and the number of lines of each, as two texts per week column."""
+def list_weeks(df: DataFrame, key: Sequence[str], week: str, product: str, day: str, sep: str = ",") -> DataFrame:
+    """Products given in a week and the number of lines of each, as two texts on one row per key and week; every week stays."""
     counted = df.groupBy(*key, week, product).agg(F.count(day).alias("__n"))
     pair = F.struct(F.col(product).cast("string").alias("p"), F.col("__n").cast("string").alias("n"))
     listed = counted.groupBy(*key, week).agg(F.sort_array(F.collect_list(pair)).alias("__l"))
-    texts = listed.select(
+    return listed.select(
         *key, week,
-        F.array_join(F.transform("__l", lambda e: e["p"]), sep).alias("__names"),
-        F.array_join(F.transform("__l", lambda e: e["n"]), sep).alias("__counts"),
+        F.array_join(F.transform("__l", lambda e: e["p"]), sep).alias("products"),
+        F.array_join(F.transform("__l", lambda e: e["n"]), sep).alias("lines"),
     )
+
+
+def list_pivot(
+    df: DataFrame, key: Sequence[str], week: str, product: str, day: str, weeks: Mapping[int, str], sep: str = ","
+) -> DataFrame:
+    """The texts of :func:`list_weeks` in two columns for each of the given weeks; other weeks have no column."""
+    texts = list_weeks(df, key, week, product, day, sep)
     return texts.groupBy(*key).agg(
-        *[F.max(F.when(F.col(week) == w, F.col("__names"))).alias(f"products_{label}") for w, label in weeks.items()],
-        *[F.max(F.when(F.col(week) == w, F.col("__counts"))).alias(f"lines_{label}") for w, label in weeks.items()],
+        *[F.max(F.when(F.col(week) == w, F.col("products"))).alias(f"products_{label}") for w, label in weeks.items()],
+        *[F.max(F.when(F.col(week) == w, F.col("lines"))).alias(f"lines_{label}") for w, label in weeks.items()],
     )
 
 

@@ -169,6 +169,16 @@ def plan_medication(t: Tables):
     return reshape.list_pivot(lines, ["zone", "lot"], "week", "formula", "day", _MED_WEEKS)
 
 
+@query(
+    "plan_medication_weeks",
+    f"""WITH {FIELD_LINES}, c AS (SELECT zone, lot, CAST(floor((age + 6) / 7) AS INTEGER) AS week, formula, COUNT(*) AS n FROM field_lines GROUP BY ALL)
+    SELECT zone, lot, week, string_agg(formula, ',' ORDER BY formula) AS products, string_agg(CAST(n AS VARCHAR), ',' ORDER BY formula) AS lines FROM c GROUP BY ALL""",
+)
+def plan_medication_weeks(t: Tables):
+    """All weeks of life, one row each; ``plan_medication`` has columns for three of them, as its SQL twin asks."""
+    return reshape.list_weeks(field_lines(t).withColumn("week", week_of_life("age")), ["zone", "lot"], "week", "formula", "day")
+
+
 @query(
     "plan_water_use",
     f"""WITH u AS (SELECT l_orderkey, SUM(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS q, SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS k FROM lineitem GROUP BY 1)

@@ -308,3 +308,8 @@ def test_date_filters_are_pushed_to_the_scan(spark, tmp_path):
     df = spark.read.parquet(path).where(fn.rolling_months("ts", dt.date(2024, 3, 1), 4)).select("id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan
+
+
+def test_medication_keeps_every_week(spark):
+    df = spark.createDataFrame([("a", 1, "x", 1), ("a", 1, "y", 2), ("a", 1, "x", 3), ("a", 500, "z", 9), ("b", None, "x", 4)], "k string, week int, p string, d int")
+    assert rows(reshape.list_weeks(df, ["k"], "week", "p", "d")) == sorted([("a", 1, "x,y", "2,1"), ("a", 500, "z", "1"), ("b", None, "x", "1")], key=repr)
