@@ -359,18 +359,26 @@ def idle_days(lots: DataFrame, house: Sequence[str], start: str, end: str) -> Da
     return seq.withColumn("idle_days", F.datediff("campaign_start", "previous_end"))
 
 
-def weighted_standards(days: DataFrame, heads: DataFrame, curve: DataFrame, weeks: Mapping[int, str]) -> DataFrame:
-    """Standard of selected weeks weighted by heads on pen, house and lot level; weeks without a standard carry no weight."""
-    present = days.select(*PEN, "breed", week_of_life("age").alias("week")).where(F.col("week").isin(list(weeks))).distinct()
+def weighted_standards_weeks(days: DataFrame, heads: DataFrame, curve: DataFrame) -> DataFrame:
+    """Pen and week of life: the week's standard weighted by heads on pen, house and lot level, for every week that has days."""
+    present = days.select(*PEN, "breed", week_of_life("age").alias("week")).distinct()
     rows = joins.push_down(present, heads, PEN, ["heads"]).join(curve, ["breed", "week"], "left")
     rows = rows.withColumn("std", F.coalesce("std", F.lit(0.0)))
     levels = {f"std_{name}": [*keys, "week"] for name, keys in LEVELS}
-    long = A.rollup_levels(rows, levels, "std", "heads", nonzero=True)
+    return A.rollup_levels(rows, levels, "std", "heads", nonzero=True)
+
+
+def weighted_standards(days: DataFrame, heads: DataFrame, curve: DataFrame, weeks: Mapping[int, str]) -> DataFrame:
+    """Standard of selected weeks weighted by heads on pen, house and lot level; weeks without a standard carry no weight.
+
+    Pens without a day in one of these weeks have no row; :func:`weighted_standards_weeks` has all weeks.
+    """
+    long = weighted_standards_weeks(days.where(week_of_life("age").isin(list(weeks))), heads, curve)
     return long.groupBy(*PEN).agg(
         *[
-            F.coalesce(F.max(F.when(F.col("week") == w, F.col(m))), F.lit(0.0)).alias(f"{m}_{label}")
+            F.coalesce(F.max(F.when(F.col("week") == w, F.col(f"std_{name}"))), F.lit(0.0)).alias(f"std_{name}_{label}")
             for w, label in weeks.items()
-            for m in levels
+            for name, _ in LEVELS
         ]
     )
 

@@ -155,6 +155,19 @@ def plan_weighted_standards(t: Tables):
     return P.weighted_standards(_bred_days(t), heads_of(t), _week_curve(t), _STD_WEEKS)
 
 
+@query(
+    "plan_weighted_standards_weeks",
+    f"""WITH {FIELD_LINES}, c AS {_WEEK_CURVE}, p AS (SELECT DISTINCT zone, lot, house, pen, formula AS breed, CAST(floor((age + 6) / 7) AS INTEGER) AS week FROM field_lines),
+    x AS (SELECT p.*, CAST(100000 AS DOUBLE) AS heads, COALESCE(c.std, 0) AS std FROM p LEFT JOIN c ON c.breed = p.breed AND c.week = p.week),
+    {_std_level("a", "zone, lot, house, pen")}, {_std_level("b", "zone, lot, house")}, {_std_level("d", "zone, lot")}
+    SELECT a.zone, a.lot, a.house, a.pen, a.week, a.v AS std_pen, b.v AS std_house, d.v AS std_lot
+    FROM a JOIN b ON a.zone = b.zone AND a.lot = b.lot AND a.house = b.house AND a.week = b.week JOIN d ON a.zone = d.zone AND a.lot = d.lot AND a.week = d.week""",
+)
+def plan_weighted_standards_weeks(t: Tables):
+    """All weeks of life, one row each; ``plan_weighted_standards`` has four of them, as its SQL twin asks."""
+    return P.weighted_standards_weeks(_bred_days(t), heads_of(t), _week_curve(t))
+
+
 _MED_WEEKS = {100: "w1", 101: "w2", 102: "w3"}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from farmledger import functions as fn
 from farmledger.operators import agg, cost, dims, filters, gaps, joins, kpi, reshape
 from farmledger.operators.ordered import clock_slices, cumulate, cumulate_peers, dense_rank, previous, row_number, width_slice
+from farmledger.plans import production
 
 
 def rows(df):
@@ -313,3 +314,13 @@ def test_date_filters_are_pushed_to_the_scan(spark, tmp_path):
 def test_medication_keeps_every_week(spark):
     df = spark.createDataFrame([("a", 1, "x", 1), ("a", 1, "y", 2), ("a", 1, "x", 3), ("a", 500, "z", 9), ("b", None, "x", 4)], "k string, week int, p string, d int")
     assert rows(reshape.list_weeks(df, ["k"], "week", "p", "d")) == sorted([("a", 1, "x,y", "2,1"), ("a", 500, "z", "1"), ("b", None, "x", "1")], key=repr)
+
+
+def test_weighted_standards_keep_every_week(spark):
+    days = spark.createDataFrame([("z", 1, "h", 1, 1, "b"), ("z", 1, "h", 1, 700, "b"), ("z", 1, "h", 2, 2, "c"), ("z", 2, "h", 1, 9, "b")], "zone string, lot int, house string, pen int, age int, breed string")
+    heads = days.select("zone", "lot", "house", "pen").distinct().withColumn("heads", F.lit(10.0))
+    curve = spark.createDataFrame([("b", 1, 4.0), ("c", 1, 8.0), ("b", 100, 5.0)], "breed string, week int, std double")
+    got = production.weighted_standards_weeks(days, heads, curve).select("zone", "lot", "house", "pen", "week", "std_pen", "std_house", "std_lot")
+    assert rows(got) == sorted(
+        [("z", 1, "h", 1, 1, 4.0, 6.0, 6.0), ("z", 1, "h", 2, 1, 8.0, 6.0, 6.0), ("z", 1, "h", 1, 100, 5.0, 5.0, 5.0), ("z", 2, "h", 1, 2, 0.0, 0.0, 0.0)], key=repr
+    )
