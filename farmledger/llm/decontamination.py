@@ -128,7 +128,7 @@ class Block:
     phrases: np.ndarray  # windows as rows of symbols
     length: np.ndarray
     owner: np.ndarray  # item of each window, as a place in names
-    names: list[str]
+    names: list[str | None]
     shortest: int
 
 
@@ -139,7 +139,7 @@ def benchmark_words(text: str | None) -> np.ndarray:
     return span_hashes(data, starts, ends)
 
 
-def make_block(items: list[tuple[str, np.ndarray]], window: int) -> Block:
+def make_block(items: list[tuple[str | None, np.ndarray]], window: int) -> Block:
     vocabulary = np.unique(np.concatenate([w for _, w in items]))
     windows, owner = [], []
     for k, (_, words) in enumerate(items):
@@ -184,10 +184,10 @@ def _occurrences(block: Block, words: np.ndarray, word_offsets: np.ndarray) -> t
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list[Block]:
-    """The benchmark in blocks of at most ``block_words`` words (or one item)."""
+    """The benchmark in blocks of at most ``block_words`` words (or one item); an item without an id is named None."""
     blocks, items, held = [], [], 0
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
-    for r in rows.where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
+    for r in rows.where("t IS NOT NULL").toLocalIterator():
         words = benchmark_words(r.t)
         if len(words) == 0:
             continue
@@ -206,8 +206,9 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
     Returns (id_col, n_words, n_hit, n_items, items_sha256, contaminated, spans, items), one row for each input row:
     ``spans`` are the merged [start, end) word ranges that occurrences cover, ``items`` the ids (as sorted texts) of items
-    with an occurring window. A document or item that is null, empty or without words has none. An item shorter than the
-    window is one window; equal items and repeated ids count once in ``items``. Repeated documents are separate rows; other
+    with an occurring window. A document or item text that is null, empty or without words has none. An item without an
+    id is searched as well: its windows count in ``spans``, ``n_hit`` and ``contaminated``, but ``items`` has no id to
+    list. An item shorter than the window is one window; equal items and repeated ids count once in ``items``. Repeated documents are separate rows; other
     columns are not read. The benchmark is read in blocks of ``block_words`` words; each block is searched by a step of its
     own, which hands the documents on with what was found so far.
     """
@@ -229,7 +230,8 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 text_of = np.searchsorted(at, first, side="right") - 1
                 names: list[set[str]] = [set() for _ in range(rows.num_rows)]
                 for d, o in np.unique(np.column_stack([text_of, owner]), axis=0).tolist():
-                    names[d].add(block.names[o])
+                    if block.names[o] is not None:
+                        names[d].add(block.names[o])
                 if rows.num_columns > 2:  # what earlier blocks have found
                     for d, (earlier, items) in enumerate(zip(rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)):
                         names[d].update(items)
@@ -265,7 +267,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The documents without any occurrence of a benchmark window, with all their columns."""
+    """The documents without any occurrence of a benchmark window, with all their columns; items need no id."""
 
     def hit(block: Block):
         @F.arrow_udf(T.BooleanType())

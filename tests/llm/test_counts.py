@@ -91,6 +91,15 @@ def test_decontamination(spark):
     assert contaminated_spans(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_items_without_an_id_are_searched(spark):
+    docs = spark.createDataFrame([(1, "said one two three aloud"), (2, "four five six"), (3, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), (None, "Three aloud"), ("a", "four five"), (None, None)], "item_id string, text string")
+    for limit in (1_000_000, 2):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated, [tuple(x) for x in r.spans], r["items"]) for r in contaminated_spans(docs, bench, block_words=limit).collect()}
+        assert got == {1: (4, 0, True, [(1, 5)], []), 2: (2, 1, True, [(0, 2)], ["a"]), 3: (0, 0, False, [], [])}
+        assert [r.doc_id for r in drop_contaminated(docs, bench, block_words=limit).collect()] == [3]
+
+
 def test_fm_index():
     import numpy as np
 
