@@ -15,7 +15,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farmledger.llm.components import connected_components
@@ -66,16 +66,37 @@ def _signature(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 
+def _numbered(docs: DataFrame, id_col: str, text: str) -> tuple[Column, Column | None]:
+    """The ids as numbers, and which of them are given. Each text without an id gets a number above all ids, by its hash."""
+    number, content = F.col(id_col).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))
+    ids = docs.agg(F.max(number).alias("top"), F.count_if(number.isNull()).alias("without")).first()
+    if ids.without == 0:
+        return number, None
+    top = max(ids.top or 0, 0)
+    room = (1 << 63) - 1 - top
+    if room < 1 << 40:
+        raise ValueError(f"{ids.without} rows have no {id_col}, and there are no numbers left above {top} to tell them apart")
+    return F.coalesce(number, F.pmod(F.xxhash64(content), F.lit(room)) + F.lit(top + 1)), F.lit(top)
+
+
 def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text", counters: int = COUNTERS) -> DataFrame:
     """Groups of documents that are linked by word n-gram Jaccard similarity of at least ``percent`` / 100.
 
     Returns (id_col, n_shingles, component_id), one row for each input row: the size of the document's set and the smallest
     id that is reachable by links. Words are lower-cased (A-Z) runs of non-blank characters; a text of fewer than n words
     is one shingle; a null, empty or blank text has the empty set, which links with nothing, so its group is itself. Rows
-    with equal ids are one document, which is linked where any of its texts is; a row without an id takes the group of its
-    equals, else it is its own group (null). N-grams are compared by 64-bit hashes. Other columns are not read.
+    with equal ids are one document, which is linked where any of its texts is; rows without an id are one document for
+    each text and are linked like all others; their group is null where no document of it has an id. N-grams are compared
+    by 64-bit hashes. Other columns are not read.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    number, top = _numbered(docs, id_col, text)
+    groups = _groups(docs.select(number.alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), n, percent, counters)
+    given = [c if top is None else F.when(c <= top, c) for c in (F.col("id"), F.col("component"))]
+    return groups.select(given[0].alias(id_col), "n_shingles", given[1].alias("component_id"))
+
+
+def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -> DataFrame:
+    """(id, n_shingles, component) for the rows (id, text)."""
 
     # 1. signatures of the sets, and counts of n-grams by counter, in one pass; classes of equal sets
     def signed(batches):
@@ -215,7 +236,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     # 6. back to the documents: the texts of an id meet in its group
     by_class = classes.join(final, classes["class"] == final["node"], "left").select("n", "a", "b", F.coalesce("component", "class").alias("component"))
     named = sets.join(by_class, ["n", "a", "b"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
-    return named.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"))
+    return named.select("id", "n_shingles", "component")
 
 
 def _grouped(lists: DataFrame, group: DataFrame) -> DataFrame:
@@ -265,10 +286,14 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
 
 
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their group, with all their columns; repeated rows stay once."""
-    groups = jaccard_groups(docs, n, percent, id_col, text)
-    first = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_first")).distinct()
-    kept = docs.join(first, docs[id_col].cast("long").eqNullSafe(first["_first"]), "left_semi")
+    """The documents with the smallest id of their group, with all their columns; repeated rows stay once.
+
+    A group without any id keeps one of its texts; a document without an id goes if its group has one with an id.
+    """
+    number, _ = _numbered(docs, id_col, text)
+    groups = _groups(docs.select(number.alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), n, percent)
+    first = groups.where("id = component").select(F.col("id").alias("_first")).distinct()
+    kept = docs.withColumn("_number", number).join(first, F.col("_number") == F.col("_first"), "left_semi").drop("_number")
     same = Window.partitionBy(id_col, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))).orderBy(F.lit(1))
     return kept.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy")
 

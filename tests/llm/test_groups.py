@@ -115,6 +115,18 @@ def test_near_copies(spark, n, percent):
     assert jaccard_groups(empty(spark), n, percent).count() == 0
 
 
+def test_rows_without_an_id_are_linked(spark):
+    base = {c: " ".join(f"{c}{k}" for k in range(60)) for c in "abcd"}
+    near = {c: t + f" {c}end" for c, t in base.items()}
+    rows = [(None, base["a"]), (None, near["a"]), (7, base["b"]), (None, near["b"]), (None, base["c"]), (9, base["c"]), (None, base["d"]), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in jaccard_groups(docs, 5, 80).collect())
+    assert got == Counter({(None, 56, None): 2, (None, 57, None): 1, (7, 56, 7): 1, (None, 57, 7): 1, (None, 56, 9): 1, (9, 56, 9): 1, (None, 0, None): 2})
+    kept = pairs(one_of_each_group(docs, 5, 80))
+    assert len([t for i, t in kept if i is None and t in (base["a"], near["a"])]) == 1
+    assert sorted((repr(i), t) for i, t in kept if t not in (base["a"], near["a"])) == sorted([("7", base["b"]), ("9", base["c"]), ("None", base["d"]), ("None", "")])
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(k, k + 1) for k in range(100, 400)] + [(500, k) for k in range(501, 700)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)] + [(5, 5)]
