@@ -88,12 +88,15 @@ def mortality_levels(days: DataFrame, heads: DataFrame, typical: Column) -> Data
     return union_all(*[df.withColumn("level", F.lit(name)) for name, df in chain.items()], fill_missing=True)
 
 
-def weight_weekly(days: DataFrame, weeks: Mapping[int, str], ages: Sequence[int], ahead: int = 2) -> DataFrame:
-    """Weigh-day weights per pen in one column per week; a weigh day without weight takes the best of the next days."""
+def weight_weekly(days: DataFrame, weeks: Mapping[int, str], weigh: Column, slot: Column, ahead: int = 2) -> DataFrame:
+    """Weigh-day weights per pen; a weigh day without weight takes the best of the next days.
+
+    ``weigh`` tells weigh days by ``age``; ``slot`` is the number of a row's column in ``weeks``, from its ``week`` of life.
+    """
     daily = days.groupBy(*PEN, "age").agg(F.max("weight").alias("weight"))
-    filled = gaps.weekly_reading_fill(daily, PEN, "age", "weight", ahead, F.col("age").isin(list(ages)), "filled")
-    weighed = filled.where(F.col("age").isin(list(ages))).withColumn("week", week_of_life("age"))
-    return reshape.pivot_case(weighed, PEN, "week", weeks, "filled")
+    filled = gaps.weekly_reading_fill(daily, PEN, "age", "weight", ahead, weigh, "filled")
+    weighed = filled.where(weigh).withColumn("week", week_of_life("age")).withColumn("slot", slot)
+    return reshape.pivot_case(weighed, PEN, "slot", weeks, "filled")
 
 
 def weight_gain(days: DataFrame) -> DataFrame:

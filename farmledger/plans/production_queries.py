@@ -120,8 +120,7 @@ def plan_mortality_levels(t: Tables):
 
 
 # Every seventh day is a weigh day; the weeks of life share eight columns by turns.
-_WEIGH = list(range(0, 2800, 7))
-_WEIGH_WEEKS = {w: f"week_{w % 8 + 1}" for w in range(401)}
+_WEIGH_WEEKS = {k: f"week_{k + 1}" for k in range(8)}
 
 
 @query(
@@ -132,7 +131,7 @@ _WEIGH_WEEKS = {w: f"week_{w % 8 + 1}" for w in range(401)}
     SELECT zone, lot, house, pen, """ + ", ".join(f"{fx(f'COALESCE(SUM(CASE WHEN week % 8 = {k} THEN filled END), 0)')} AS week_{k + 1}" for k in range(8)) + " FROM f GROUP BY 1, 2, 3, 4",
 )
 def plan_weight_weekly(t: Tables):
-    wide = P.weight_weekly(field_days(t), _WEIGH_WEEKS, _WEIGH)
+    wide = P.weight_weekly(field_days(t), _WEIGH_WEEKS, F.col("age") % 7 == 0, F.col("week") % 8)
     return wide.select("zone", "lot", "house", "pen", *[fixed(f"week_{k}").alias(f"week_{k}") for k in range(1, 9)])
 
 

@@ -324,3 +324,9 @@ def test_weighted_standards_keep_every_week(spark):
     assert rows(got) == sorted(
         [("z", 1, "h", 1, 1, 4.0, 6.0, 6.0), ("z", 1, "h", 2, 1, 8.0, 6.0, 6.0), ("z", 1, "h", 1, 100, 5.0, 5.0, 5.0), ("z", 2, "h", 1, 2, 0.0, 0.0, 0.0)], key=repr
     )
+
+
+def test_weigh_days_have_no_end(spark):
+    days = spark.createDataFrame([("z", 1, "h", 1, 7, 1.0), ("z", 1, "h", 1, 8, 9.0), ("z", 1, "h", 1, 7000, 2.0), ("z", 1, "h", 2, 70000, 0.0), ("z", 1, "h", 2, 70002, 4.0)], "zone string, lot int, house string, pen int, age int, weight double")
+    wide = production.weight_weekly(days, {k: f"w{k}" for k in range(8)}, F.col("age") % 7 == 0, F.col("week") % 8)
+    assert rows(wide.select("pen", "w0", "w1")) == [(1, 2.0, 1.0), (2, 4.0, 0.0)]
