@@ -130,24 +130,19 @@ def join_where(a: DataFrame, b: DataFrame, on: Sequence[str], residual: Column,
 def lag_join(df: DataFrame, key: Sequence[str], ord_col: str, cols: Mapping[str, str], step: int = 1) -> DataFrame:
     """Values of the row exactly ``step`` positions earlier (NULL when that position is absent).
 
-    Each row is sent to its own position and, as predecessor, to the position ``step`` later; one aggregate on (key,
-    position) brings the two together, so neither a self-join nor a task per key is needed. Several rows at one position
-    all stay; as predecessor the highest of them counts. A row without a position has no predecessor and is none.
+    The predecessor of a position is one row per (key, position), aggregated before the shuffle and joined to the rows, so
+    no rows of a key are gathered. Several rows at one position all stay; as predecessor the highest of them counts. A row
+    without a position has no predecessor and is none; it is not shuffled.
     """
-    position = df.schema[ord_col].dataType
-    own = F.struct(*[c for c in df.columns if c not in (*key, ord_col)])
+    field = df.schema[ord_col]
+    placed = df.where(F.col(ord_col).isNotNull()) if field.nullable else df
     prior = F.struct(*[F.col(c).alias(o) for o, c in cols.items()])
-    sent = F.array(
-        F.struct(F.col(ord_col).alias("at"), own.alias("own"), F.when(F.lit(False), prior).alias("prior")),
-        F.struct((F.col(ord_col) + step).cast(position).alias("at"), F.when(F.lit(False), own).alias("own"), prior.alias("prior")),
-    )
-    lines = df.select(*key, F.explode(sent).alias("__l")).where(F.col("__l.own").isNotNull() | F.col("__l.at").isNotNull()).select(
-        *key, F.col("__l.at").alias(ord_col), F.col("__l.own").alias("__own"), F.col("__l.prior").alias("__prior")
-    )
-    met = lines.groupBy(*key, ord_col).agg(F.collect_list("__own").alias("__own"), F.max("__prior").alias("__prior"))
-    met = met.select(*key, ord_col, F.explode("__own").alias("__own"), "__prior")
-    met = met.select(*key, ord_col, "__own.*", *[F.col(f"__prior.{o}") for o in cols])
-    return met.select(*df.columns, *cols)
+    after = placed.groupBy(*key, (F.col(ord_col) + step).cast(field.dataType).alias(ord_col)).agg(F.max(prior).alias("__prior"))
+    met = join_same(placed, after, [*key, ord_col]).select(*df.columns, *[F.col(f"__prior.{o}").alias(o) for o in cols])
+    if not field.nullable:
+        return met
+    rest = df.where(F.col(ord_col).isNull())
+    return met.unionByName(rest.select(*df.columns, *[F.lit(None).cast(df.schema[c].dataType).alias(o) for o, c in cols.items()]))
 
 
 def join_norm(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

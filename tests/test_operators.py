@@ -168,6 +168,13 @@ def test_lag_join_keeps_every_row(spark):
     )
 
 
+def test_lag_join_gathers_no_rows(spark):
+    df = spark.createDataFrame([("a", None, 1.0), (None, None, 2.0), ("a", 3, 3.0), ("a", 5, 4.0), (None, 5, 5.0)], "k string, d int, v double")
+    got = joins.lag_join(df, ["k"], "d", {"p": "v"}, 2)
+    assert rows(got) == sorted([("a", None, 1.0, None), (None, None, 2.0, None), ("a", 3, 3.0, None), ("a", 5, 4.0, 3.0), (None, 5, 5.0, None)], key=repr)
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_interval_join_takes_open_ended_spans(spark):
     ev = spark.sql("select 'h' k, cast(d as date) d from values ('2024-01-01'),('2030-06-30'),('1999-07-01') v(d)")
     en = spark.sql("select 'h' k, date '2000-01-01' lo, date '9999-12-31' hi, 1 lot")
