@@ -22,6 +22,7 @@ from farmledger.llm.registry import register, table
 KINDS = ("email", "ip", "card", "phone")
 MAX_GROUPS = 24  # groups of the longest entity
 SAMPLE_DOCS, SAMPLE_REGIONS, ROUNDS = 2000, 4000, 3  # bounds of the training sample
+SAMPLE_CHARS = 512  # of a longer region, the model is trained on its first characters
 MARGIN = 1.0  # an entity that the base patterns do not have must beat the segmentation without it by this score
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -165,48 +166,77 @@ def decode(text: str, start: int, end: int, weights: dict[str, float]) -> list[t
     return out[::-1]
 
 
-def train(texts: list[str], rounds: int = ROUNDS, limit: int = SAMPLE_REGIONS) -> dict[str, float]:
+def examples(text: str) -> list[tuple[str, int, int, list[Span]]]:
+    """The regions of a text, each cut out with the characters beside it: piece, start, end and wanted spans in the piece."""
+    out = []
+    spans = base_spans(text)
+    held, k = sorted(spans, key=lambda x: x[0]), 0
+    for s, e in regions(text):
+        e = min(e, s + SAMPLE_CHARS)
+        while k < len(held) and held[k][0] < s:
+            k += 1
+        inside, i = [], k
+        while i < len(held) and held[i][0] < e:
+            if held[i][1] <= e:
+                inside.append(held[i])
+            i += 1
+        wanted: list[Span] = []
+        for x in sorted(inside, key=lambda x: (x[0] - x[1], x[0], KINDS.index(x[2]))):
+            if all(x[1] <= w[0] or x[0] >= w[1] for w in wanted):
+                wanted.append(x)
+        low = max(s - 1, 0)
+        out.append((text[low : e + 1], s - low, e - low, [(a - low, b - low, kind) for a, b, kind in wanted]))
+    return out
+
+
+def train(sample: list[tuple[str, int, int, list[Span]]], rounds: int = ROUNDS) -> dict[str, float]:
     """Weights from structured updates: features of the wanted segmentation up, of the decoded one down, averaged."""
-    examples = []
-    for text in texts:
-        spans = base_spans(text)
-        for s, e in regions(text):
-            wanted: list[Span] = []
-            for x in sorted((x for x in spans if s <= x[0] and x[1] <= e), key=lambda x: (x[0] - x[1], x[0], KINDS.index(x[2]))):
-                if all(x[1] <= w[0] or x[0] >= w[1] for w in wanted):
-                    wanted.append(x)
-            examples.append((text, s, e, set(wanted)))
-    examples = examples[:limit]
     weights: dict[str, float] = defaultdict(float)
     total: dict[str, float] = defaultdict(float)
     step = 0
     for _ in range(rounds):
-        for text, s, e, wanted in examples:
+        for text, s, e, spans_wanted in sample:
             step += 1
+            wanted = set(spans_wanted)
             got = {(a, b, k) for a, b, k, _ in decode(text, s, e, weights)}
             for sign, spans in ((1.0, wanted - got), (-1.0, got - wanted)):
-                for a, b, k in spans:
+                for a, b, k in sorted(spans):
                     for f in span_features(text, a, b, k):
                         weights[f] += sign
                         total[f] += sign * step
     return {f: w - total[f] / (step + 1) for f, w in weights.items()}
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_regions: int = SAMPLE_REGIONS) -> DataFrame:
     """Personal data in every document.
 
     Returns (id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans), one row for each input row. ``spans`` holds the
     spans of the base patterns and those that the trained model adds where no base span lies, as kind:start:end in code
     points. A null text is empty; a text without regions is only scanned. The model is trained on the documents with an
-    ``@`` or a digit that come first in the order of a hash of their text, ``sample_docs`` at most, so it does not depend
-    on the order of rows; with none of them it adds nothing. Repeated rows stay; other columns are not read.
+    ``@`` or a digit that come first in the order of a hash of their text, ``sample_docs`` at most and of any length, and of
+    their distinct regions on those that come first by a hash, ``sample_regions`` at most and each by its first 512
+    characters. So it does not depend on the order of rows; without regions it adds nothing. Repeated rows stay; other columns are not read.
     """
     source = docs.select(F.col(id_col), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = dict(source.dtypes)[id_col]
-    able = source.where(F.col("text").rlike("[@0-9]") & (F.length("text") <= 20_000)).withColumn("turn", F.xxhash64("text"))
+    able = source.where(F.col("text").rlike("[@0-9]")).withColumn("turn", F.xxhash64("text"))
     turns = [r[0] for r in able.select("turn").distinct().orderBy("turn").limit(sample_docs).collect()]  # numbers only
-    sample = able.where(F.col("turn") <= (turns[-1] if turns else -(1 << 63))).groupBy("turn").agg(F.min("text").alias("text"))
-    weights = train([r.text for r in sorted(sample.collect(), key=lambda r: r.turn)] if turns else [])
+
+    def cut(batches):
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                for low in range(0, len(found := examples(t)), 4096):
+                    piece, start, end, wanted = zip(*found[low : low + 4096], strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(piece, pa.string()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array([_joined(w) for w in wanted], pa.string())],
+                        ["piece", "start", "end", "wanted"],
+                    )
+
+    weights = {}
+    if turns:
+        chosen = able.where(F.col("turn") <= turns[-1]).select("text").mapInArrow(cut, "piece string, start int, end int, wanted string").distinct()
+        order = [F.xxhash64("piece", "start", "end"), "piece", "start", "end", "wanted"]
+        weights = train([(r.piece, r.start, r.end, _split(r.wanted)) for r in chosen.orderBy(*order).limit(sample_regions).collect()])
 
     def found(batches):
         for batch in batches:
@@ -240,6 +270,11 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(set(spans), key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
 
 
+def _split(spans: str) -> list[Span]:
+    parts = [x.split(":") for x in spans.split(",") if x]
+    return [(int(a), int(b), k) for k, a, b in parts]
+
+
 @register("op9_pii")
 def op9_pii(spark: SparkSession, directory: str) -> DataFrame:
     """Personal data in all documents."""

@@ -196,3 +196,18 @@ def test_pii(spark):
     assert "phone:5:22" in by_id[900]  # the number is cut off from the address that follows it
     assert by_id[5] == "" and regions("nothing here 12") == []
     assert find_pii(empty(spark)).count() == 0
+
+
+def test_personal_data_is_learned_from_long_texts(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        parts = []
+        for _ in range(60):
+            digits = "".join(rng.choice("0123456789") for _ in range(7))
+            parts += ["word " * 80, f"+1 555 {digits[:3]} {digits[3:]} ", f"{rng.choice('abc')}{digits}@mail.example.org "]
+        texts.append("".join(parts))
+    long = spark.createDataFrame([(k, t + "call +1 555 010 9999 192.168.10.20 now") for k, t in enumerate(texts)], "doc_id long, text string")
+    assert all(len(t) > 20_000 for t in texts)
+    added = [set(r.spans.split(",")) - {f"{k}:{a}:{b}" for a, b, k in base_spans(texts[r.doc_id] + "call +1 555 010 9999 192.168.10.20 now")} for r in find_pii(long).collect()]
+    assert all(added)
