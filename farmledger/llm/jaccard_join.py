@@ -27,6 +27,8 @@ SIGNED = ["id", "n", "a", "b", "low", "counts"]
 COUNTERS_A_ROW = 1 << 14
 ODD = ["odd1", "odd2", "odd3", "odd4"]
 PARTS = 64  # parts of the hash space whose counts bound the overlap of two sets
+EXACT_RANKS = 1 << 15
+HOT = 4096  # entries of one n-gram's list in one task, about
 COUNTERS = 1 << 22  # counters of n-grams by hash; the order they give is exact for every purpose but speed
 
 
@@ -64,19 +66,38 @@ def _signature(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
+def _keyed(docs: DataFrame, id_col: str, text: str) -> tuple[Column, bool]:
+    """A number that stands for each row's document, and whether it is the id itself.
 
-
-def _numbered(docs: DataFrame, id_col: str, text: str) -> tuple[Column, Column | None]:
-    """The ids as numbers, and which of them are given. Each text without an id gets a number above all ids, by its hash."""
+    Where some rows have no id, documents are known by a 64-bit hash of the id, or of the text where there is none.
+    """
     number, content = F.col(id_col).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))
-    ids = docs.agg(F.max(number).alias("top"), F.count_if(number.isNull()).alias("without")).first()
-    if ids.without == 0:
-        return number, None
-    top = max(ids.top or 0, 0)
-    room = (1 << 63) - 1 - top
-    if room < 1 << 40:
-        raise ValueError(f"{ids.without} rows have no {id_col}, and there are no numbers left above {top} to tell them apart")
-    return F.coalesce(number, F.pmod(F.xxhash64(content), F.lit(room)) + F.lit(top + 1)), F.lit(top)
+    if docs.where(number.isNull()).isEmpty():
+        return number, True
+    return F.xxhash64(number.isNull(), number, F.when(number.isNull(), content)), False
+
+
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that no column of the frame has."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def ranks_of(counts: np.ndarray) -> np.ndarray:
+    """16-bit codes in the order of the counts: the count itself below 2^15, beyond it by its logarithm."""
+    large = EXACT_RANKS + 600 * np.log2(np.maximum(counts, EXACT_RANKS) / EXACT_RANKS)
+    return np.where(counts < EXACT_RANKS, counts, large).astype(np.uint16)
+
+
+def counts_of(ranks: np.ndarray) -> np.ndarray:
+    """The counts that the codes stand for, about."""
+    ranks = ranks.astype(np.float64)
+    return np.where(ranks < EXACT_RANKS, ranks, EXACT_RANKS * np.exp2((ranks - EXACT_RANKS) / 600))
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text", counters: int = COUNTERS) -> DataFrame:
@@ -89,10 +110,21 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     each text and are linked like all others; their group is null where no document of it has an id. N-grams are compared
     by 64-bit hashes. Other columns are not read.
     """
-    number, top = _numbered(docs, id_col, text)
-    groups = _groups(docs.select(number.alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), n, percent, counters)
-    given = [c if top is None else F.when(c <= top, c) for c in (F.col("id"), F.col("component"))]
-    return groups.select(given[0].alias(id_col), "n_shingles", given[1].alias("component_id"))
+    key, given = _keyed(docs, id_col, text)
+    groups = _groups(docs.select(key.alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), n, percent, counters)
+    if given:
+        return groups.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"))
+    named = groups.join(_least_ids(docs, key, id_col, groups), "component", "left").join(_ids(docs, key, id_col), "id", "left")
+    return named.select(F.col("number").alias(id_col), "n_shingles", "component_id")
+
+
+def _ids(docs: DataFrame, key: Column, id_col: str) -> DataFrame:
+    return docs.select(key.alias("id"), F.col(id_col).cast("long").alias("number")).where("number IS NOT NULL").distinct()
+
+
+def _least_ids(docs: DataFrame, key: Column, id_col: str, groups: DataFrame) -> DataFrame:
+    """(component, component_id): the smallest id of each group that has one."""
+    return groups.select("id", "component").distinct().join(_ids(docs, key, id_col), "id").groupBy("component").agg(F.min("number").alias("component_id"))
 
 
 def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -> DataFrame:
@@ -124,14 +156,13 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
     both = keep(source.mapInArrow(signed, "id long, n long, a long, b long, low int, counts binary"), "jaccard-signatures")
     sets = both.where("low IS NULL").select("id", "n", "a", "b")
     classes = sets.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("class"))
-    frequency = np.zeros(counters, dtype=np.int64)
+    rank, every = np.zeros(counters, dtype=np.uint16), 0
     total = both.where("low IS NOT NULL").select("low", "counts").repartition("low").mapInArrow(summed, "low int, counts binary")
     for r in total.toLocalIterator():  # all rows together hold one number for each counter, whatever the corpus
         part = np.frombuffer(zlib.decompress(r.counts), dtype=np.int64)
-        frequency[r.low : r.low + len(part)] = part
-    # the rank of a counter in 16 bits
-    rank = np.unique(frequency, return_inverse=True)[1]
-    rank = (rank * 65535 // max(int(rank.max(initial=0)), 1)).astype(np.uint16)
+        rank[r.low : r.low + len(part)] = ranks_of(part)
+        every += int(part.sum())
+    hot = HOT + 8 * every / counters  # a counter far above the mean may belong to an n-gram of very many sets
 
     # 2. prefixes of one text of each class: n-grams in order, and what lies behind each in the upper half of the hash space
     def prefixes(batches):
@@ -146,15 +177,20 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
             np.cumsum(values[order] >> np.uint64(63), out=half[1:])
             high = half[at[1:]][owner[place]] - half[place + 1]
             cut = pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32))
-            grams = pa.ListArray.from_arrays(cut, pa.array(values[order][place].view(np.int64)))
+            chosen = values[order][place]
+            grams = pa.ListArray.from_arrays(cut, pa.array(chosen.view(np.int64)))
+            counted = counts_of(rank[(chosen % np.uint64(counters)).astype(np.int64)])
+            tasks = pa.ListArray.from_arrays(cut, pa.array(np.where(counted > hot, counted // HOT + 1, 1).astype(np.int32)))
             behind = pa.ListArray.from_arrays(cut, pa.array(high.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signature(values, at)[0]), pa.array(size.astype(np.int32)), grams, behind], ["class", "a", "size", "grams", "behind"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signature(values, at)[0]), pa.array(size.astype(np.int32)), grams, behind, tasks], ["class", "a", "size", "grams", "behind", "tasks"])
 
     leaders = classes.where("class IS NOT NULL").select("class", "a")
-    lists = source.where("id IS NOT NULL").mapInArrow(prefixes, "class long, a long, size int, grams array<long>, behind array<int>")
-    flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.pmod("a", F.lit(251)).cast("short").alias("tag"), F.posexplode(F.arrays_zip("grams", "behind")).alias("position", "g"))
-    index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "tag", "position", F.col("g.behind").alias("high"))
-    index = index.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("df > 1")
+    lists = source.where("id IS NOT NULL").mapInArrow(prefixes, "class long, a long, size int, grams array<long>, behind array<int>, tasks array<int>")
+    flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.pmod("a", F.lit(251)).cast("short").alias("tag"), F.posexplode(F.arrays_zip("grams", "behind", "tasks")).alias("position", "g"))
+    index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "tag", "position", F.col("g.behind").alias("high"), F.col("g.tasks").alias("tasks"))
+    # an n-gram of one set links nothing; the list of a very frequent one is dealt to several tasks and stays whole
+    index = index.withColumn("salt", F.when(F.col("tasks") > 1, F.pmod(F.xxhash64("class"), "tasks").cast("int")).otherwise(0))
+    index = index.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram", "salt"))).where("df > 1 OR tasks > 1").drop("df", "tasks")
     filtered = keep(index, "jaccard-prefixes")
 
     # 3. the texts of the sets that share a prefix n-gram with another one
@@ -183,8 +219,7 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
     index = keep(index, "jaccard-index")
 
     # 4. neighbours in the lists, by size and by hash
-    salt = F.pmod(F.xxhash64("gram", "class"), F.greatest(F.lit(1), (F.col("df") / 4096).cast("long")))
-    spread = index.select("gram", "class", "size", salt.alias("salt"))
+    spread = index.select("gram", "class", "size", "salt")
     by_size = Window.partitionBy("gram", "salt").orderBy("size", "class")
     by_hash = Window.partitionBy("gram", "salt").orderBy(F.xxhash64("class"), "class")
     beside = {f"{c}{k}": F.lag(c).over(w) for k, w in enumerate((by_size, by_hash)) for c in ("class", "size")}
@@ -198,7 +233,12 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
 
     # 5. every candidate pair between different groups
     lists = _grouped(index, group)
-    left, right = lists.alias("l"), lists.alias("r")
+    # which groups meet under which n-gram: a group counts once there, whatever its size, and pairs inside it are not formed
+    entries = lists.select("gram", "grp").distinct()
+    meet = entries.alias("a").join(entries.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.grp") < F.col("b.grp")))
+    meet = keep(meet.select(F.col("a.gram").alias("gram"), F.col("a.grp").alias("one"), F.col("b.grp").alias("other")), "jaccard-meet")
+    left = meet.join(lists, (meet["gram"] == lists["gram"]) & (meet["one"] == lists["grp"])).select(meet["gram"], "other", *[c for c in lists.columns if c not in ("gram", "grp")])
+    left, right = left.alias("l"), lists.alias("r")
     total = F.col("l.size") + F.col("r.size")
     least = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
     rest_l, rest_r = F.col("l.size") - F.col("l.position") - 1, F.col("r.size") - F.col("r.position") - 1
@@ -214,10 +254,10 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
             new = new & F.coalesce(F.col(f"l.{a}") != F.col(f"r.{b}"), F.lit(True))
     pairs = left.join(
         right,
-        (F.col("l.gram") == F.col("r.gram")) & (F.col("l.class") < F.col("r.class")) & (F.col("l.grp") != F.col("r.grp"))
+        (F.col("l.gram") == F.col("r.gram")) & (F.col("l.other") == F.col("r.grp"))
         & (F.least("l.size", "r.size") * 100 >= F.greatest("l.size", "r.size") * percent)
         & (before + 1 + suffix >= least) & new & (differ <= total - 2 * least),
-    ).select(F.col("l.class").alias("x"), F.col("r.class").alias("y")).distinct()
+    ).select(F.least("l.class", "r.class").alias("x"), F.greatest("l.class", "r.class").alias("y")).distinct()
     more = keep(verified(pairs, texts, n, percent), "jaccard-links")
     # an id with several texts ties the classes of its texts together
     several = sets.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least <> most")
@@ -290,12 +330,20 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
 
     A group without any id keeps one of its texts; a document without an id goes if its group has one with an id.
     """
-    number, _ = _numbered(docs, id_col, text)
-    groups = _groups(docs.select(number.alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), n, percent)
-    first = groups.where("id = component").select(F.col("id").alias("_first")).distinct()
-    kept = docs.withColumn("_number", number).join(first, F.col("_number") == F.col("_first"), "left_semi").drop("_number")
-    same = Window.partitionBy(id_col, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))).orderBy(F.lit(1))
-    return kept.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy")
+    key, given = _keyed(docs, id_col, text)
+    content = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    groups = _groups(docs.select(key.alias("id"), content.alias("text")), n, percent)
+    if given:
+        first = groups.where("id = component").select("id").distinct()
+    else:  # the smallest id of the group, or the smallest key where it has none
+        groups = keep(groups.select("id", "component").distinct(), "jaccard-keys")
+        least = groups.join(_ids(docs, key, id_col), "id", "left").groupBy("component").agg(F.min(F.struct(F.col("number").isNull(), "number", "id")).alias("least"))
+        first = least.select("least.id")
+    chosen, copy, content_hash = _free(docs, "_key", "_copy", "_content")
+    kept = docs.withColumn(chosen, key).join(first.withColumnRenamed("id", chosen), chosen, "left_semi")
+    same = Window.partitionBy(chosen, content_hash).orderBy(F.lit(1))
+    kept = kept.withColumn(content_hash, F.xxhash64(content)).withColumn(copy, F.row_number().over(same)).where(F.col(copy) == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @register("op2_ngram_jaccard_join")

@@ -11,7 +11,8 @@ import pytest
 
 from farmledger.llm import suffix_dedup
 from farmledger.llm.components import connected_components
-from farmledger.llm.jaccard_join import jaccard_groups, one_of_each_group
+from farmledger.llm import jaccard_join
+from farmledger.llm.jaccard_join import counts_of, jaccard_groups, one_of_each_group, ranks_of
 from farmledger.llm.packing import column_generation, knapsack, pack, plan, public_tokenizer
 from farmledger.llm.sharding import schedule, shard_documents
 from farmledger.llm.tokens import WordTokenizer
@@ -127,6 +128,43 @@ def test_rows_without_an_id_are_linked(spark):
     assert sorted((repr(i), t) for i, t in kept if t not in (base["a"], near["a"])) == sorted([("7", base["b"]), ("9", base["c"]), ("None", base["d"]), ("None", "")])
 
 
+def test_ids_near_the_largest_number(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    top = (1 << 63) - 1
+    rows = [(top, text), (top - 5, text + " more"), (None, text + " end"), (None, "quite another text of seven words"), (-top, "a text by itself")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_groups(docs, 5, 80).collect())
+    assert got == Counter({(top, 56, top - 5): 1, (top - 5, 57, top - 5): 1, (None, 57, top - 5): 1, (None, 2, None): 1, (-top, 1, -top): 1})
+    assert {r.doc_id for r in one_of_each_group(docs, 5, 80).collect()} == {top - 5, None, -top}
+
+
+def test_columns_named_like_working_columns(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, text, 5, 6, 7), (1, text, 5, 6, 7), (2, text, 8, 9, 10)], "doc_id long, text string, _copy long, _key long, _content long")
+    kept = one_of_each_group(docs, 5, 80)
+    assert [tuple(r) for r in kept.collect()] == [(1, text, 5, 6, 7)] and kept.columns == docs.columns
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Every copy is met by few others: pairs inside a group are not formed."""
+    monkeypatch.setattr(jaccard_join, "HOT", 256)
+    compared = []
+    whole = jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda found, *rest: (compared.append(found.count()), whole(found, *rest))[1])
+    base = [f"w{k}" for k in range(80)]
+    rows = [(k, " ".join([*base, f"odd{k}", f"end{k}"])) for k in range(1500)]
+    rows += [(10_000 + k, " ".join(f"x{k}y{j}" for j in range(40))) for k in range(50)]
+    got = {r.doc_id: r.component_id for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80).collect()}
+    assert all(got[k] == (0 if k < 1500 else k) for k, _ in rows)
+    assert sum(compared) <= 1500 * 40  # all pairs: 1,124,250
+
+
+def test_codes_of_counts_keep_their_order():
+    counts = np.array([0, 1, 5, 32767, 32768, 40000, 10**6, 10**12, 2**62])
+    codes = ranks_of(counts)
+    assert (np.diff(codes.astype(int)) > 0).all() and np.allclose(counts_of(codes), counts, rtol=0.002)
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(k, k + 1) for k in range(100, 400)] + [(500, k) for k in range(501, 700)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)] + [(5, 5)]
