@@ -189,7 +189,7 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
     flat = lists.join(leaders, ["class", "a"], "left_semi").select("class", "size", F.pmod("a", F.lit(251)).cast("short").alias("tag"), F.posexplode(F.arrays_zip("grams", "behind", "tasks")).alias("position", "g"))
     index = flat.select(F.col("g.grams").alias("gram"), "class", "size", "tag", "position", F.col("g.behind").alias("high"), F.col("g.tasks").alias("tasks"))
     # an n-gram of one set links nothing; the list of a very frequent one is dealt to several tasks and stays whole
-    index = index.withColumn("salt", F.when(F.col("tasks") > 1, F.pmod(F.xxhash64("class"), "tasks").cast("int")).otherwise(0))
+    index = index.withColumn("salt", F.when(F.col("tasks") > 1, F.pmod(F.xxhash64("gram", "class"), "tasks").cast("int")).otherwise(0))
     index = index.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram", "salt"))).where("df > 1 OR tasks > 1").drop("df", "tasks")
     filtered = keep(index, "jaccard-prefixes")
 
@@ -232,31 +232,32 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
     group = keep(connected_components(links, "x", "y"), "jaccard-groups")
 
     # 5. every candidate pair between different groups
-    lists = _grouped(index, group)
-    # which groups meet under which n-gram: a group counts once there, whatever its size, and pairs inside it are not formed
-    entries = lists.select("gram", "grp").distinct()
-    meet = entries.alias("a").join(entries.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.grp") < F.col("b.grp")))
-    meet = keep(meet.select(F.col("a.gram").alias("gram"), F.col("a.grp").alias("one"), F.col("b.grp").alias("other")), "jaccard-meet")
-    left = meet.join(lists, (meet["gram"] == lists["gram"]) & (meet["one"] == lists["grp"])).select(meet["gram"], "other", *[c for c in lists.columns if c not in ("gram", "grp")])
-    left, right = left.alias("l"), lists.alias("r")
-    total = F.col("l.size") + F.col("r.size")
-    least = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
-    rest_l, rest_r = F.col("l.size") - F.col("l.position") - 1, F.col("r.size") - F.col("r.position") - 1
-    # both n-grams before this one at most, this one, and at most what the halves of the suffixes have in common
-    before = F.least("l.position", "r.position")
-    suffix = F.least("l.high", "r.high") + F.least(rest_l - F.col("l.high"), rest_r - F.col("r.high"))
+    lists = _grouped(index, group).withColumn("low", F.col("size") - F.col("position") - 1 - F.col("high"))
+    # a group counts once under an n-gram, with bounds for its members: pairs inside a group are not formed
+    bounds = [F.min("size").alias("least_size"), F.max("size").alias("most_size"), *[F.max(c).alias(f"most_{c}") for c in ("position", "high", "low")]]
+    same = [F.when((F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)), F.min(c)).alias(c) for c in ("before1", "before2")]
+    bits = [f(o).alias(f"{name}_{o}") for o in ODD for name, f in (("all", F.bit_and), ("any", F.bit_or))]
+    entries = lists.groupBy("gram", "grp").agg(*bounds, *same, *bits)
+    differ = F.lit(0)
+    for o in ODD:
+        apart = [F.col(f"{x}.all_{o}").bitwiseAND(F.bitwise_not(F.col(f"{y}.any_{o}"))) for x, y in ("lr", "rl")]
+        differ = differ + F.bit_count(apart[0].bitwiseOR(apart[1]))
+    total = F.col("l.least_size") + F.col("r.least_size")
+    meet = entries.alias("l").join(
+        entries.alias("r"),
+        (F.col("l.gram") == F.col("r.gram")) & (F.col("l.grp") < F.col("r.grp")) & _alike("least_size", "most_size", percent)
+        & _reach(total, percent, "most_position", "most_high", "most_low") & _first_met() & (differ * (100 + percent) <= (F.col("l.most_size") + F.col("r.most_size")) * (100 - percent)),
+    )
+    meet = keep(meet.select("l.gram", F.col("l.grp").alias("grp"), F.col("r.grp").alias("other")), "jaccard-meet")
+    left, right = meet.join(lists, ["gram", "grp"]).alias("l"), lists.alias("r")
     differ = F.lit(0)
     for o in ODD:
         differ = differ + F.bit_count(F.col(f"l.{o}").bitwiseXOR(F.col(f"r.{o}")))
-    new = F.lit(True)
-    for a in ("before1", "before2"):
-        for b in ("before1", "before2"):
-            new = new & F.coalesce(F.col(f"l.{a}") != F.col(f"r.{b}"), F.lit(True))
+    total = F.col("l.size") + F.col("r.size")
     pairs = left.join(
         right,
-        (F.col("l.gram") == F.col("r.gram")) & (F.col("l.other") == F.col("r.grp"))
-        & (F.least("l.size", "r.size") * 100 >= F.greatest("l.size", "r.size") * percent)
-        & (before + 1 + suffix >= least) & new & (differ <= total - 2 * least),
+        (F.col("l.gram") == F.col("r.gram")) & (F.col("l.other") == F.col("r.grp")) & _alike("size", "size", percent)
+        & _reach(total, percent, "position", "high", "low") & _first_met() & (differ <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))),
     ).select(F.least("l.class", "r.class").alias("x"), F.greatest("l.class", "r.class").alias("y")).distinct()
     more = keep(verified(pairs, texts, n, percent), "jaccard-links")
     # an id with several texts ties the classes of its texts together
@@ -279,6 +280,26 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
     return named.select("id", "n_shingles", "component")
 
 
+def _alike(least: str, most: str, percent: int) -> Column:
+    """Sizes that allow the similarity."""
+    return (F.col(f"l.{most}") * 100 >= F.col(f"r.{least}") * percent) & (F.col(f"r.{most}") * 100 >= F.col(f"l.{least}") * percent)
+
+
+def _reach(total: Column, percent: int, position: str, high: str, low: str) -> Column:
+    """n-grams before this one at most, this one, and at most what the halves of the suffixes have in common, are enough."""
+    common = [F.least(f"l.{c}", f"r.{c}") for c in (position, high, low)]
+    return common[0] + 1 + common[1] + common[2] >= F.ceil(F.lit(percent) * total / F.lit(100 + percent))
+
+
+def _first_met() -> Column:
+    """Neither of the two n-grams before this one is shared: such a pair is met there already."""
+    new = F.lit(True)
+    for a in ("before1", "before2"):
+        for b in ("before1", "before2"):
+            new = new & F.coalesce(F.col(f"l.{a}") != F.col(f"r.{b}"), F.lit(True))
+    return new
+
+
 def _grouped(lists: DataFrame, group: DataFrame) -> DataFrame:
     """The rows with the group of their class; a class without links is its own group."""
     named = group.select(F.col("node").alias("class"), F.col("component").alias("_group"))
