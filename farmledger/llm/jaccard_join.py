@@ -234,7 +234,7 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
     # 5. every candidate pair between different groups
     lists = _grouped(index, group).withColumn("low", F.col("size") - F.col("position") - 1 - F.col("high"))
     # a group counts once under an n-gram, with bounds for its members: pairs inside a group are not formed
-    bounds = [F.min("size").alias("least_size"), F.max("size").alias("most_size"), *[F.max(c).alias(f"most_{c}") for c in ("position", "high", "low")]]
+    bounds = [F.count(F.lit(1)).alias("members"), F.min("size").alias("least_size"), F.max("size").alias("most_size"), *[F.max(c).alias(f"most_{c}") for c in ("position", "high", "low")]]
     same = [F.when((F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)), F.min(c)).alias(c) for c in ("before1", "before2")]
     bits = [f(o).alias(f"{name}_{o}") for o in ODD for name, f in (("all", F.bit_and), ("any", F.bit_or))]
     entries = lists.groupBy("gram", "grp").agg(*bounds, *same, *bits)
@@ -248,7 +248,10 @@ def _groups(source: DataFrame, n: int, percent: int, counters: int = COUNTERS) -
         (F.col("l.gram") == F.col("r.gram")) & (F.col("l.grp") < F.col("r.grp")) & _alike("least_size", "most_size", percent)
         & _reach(total, percent, "most_position", "most_high", "most_low") & _first_met() & (differ * (100 + percent) <= (F.col("l.most_size") + F.col("r.most_size")) * (100 - percent)),
     )
-    meet = keep(meet.select("l.gram", F.col("l.grp").alias("grp"), F.col("r.grp").alias("other")), "jaccard-meet")
+    # the smaller group's members are listed, then met with the other's: a row for each of the smaller side
+    smaller = F.col("l.members") <= F.col("r.members")
+    two = [F.when(smaller, F.col(f"{x}.grp")).otherwise(F.col(f"{y}.grp")).alias(name) for x, y, name in (("l", "r", "grp"), ("r", "l", "other"))]
+    meet = keep(meet.select("l.gram", *two), "jaccard-meet")
     left, right = meet.join(lists, ["gram", "grp"]).alias("l"), lists.alias("r")
     differ = F.lit(0)
     for o in ODD:
