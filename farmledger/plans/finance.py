@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -15,7 +16,9 @@ from farmledger.plans.registry import query
 from farmledger.session import scratch_path
 from farmledger.sources import detached, full_reload, load_list, read_table, read_table_list, run_table_list
 from farmledger.sources.tables import LoadOutcome, Tables
-from farmledger.streaming.cdc import apply_changes
+from farmledger.sources.ledger import ledger_rows, load_landing
+from farmledger.sources.snapshots import month_rows, replace_months_at_once
+from farmledger.streaming.cdc import apply_changes, ledger_stream
 
 # The ledger columns that the published tables hold.
 PROFIT_HEADER = (
@@ -142,15 +145,20 @@ def apply_ledger_changes(
 ) -> list[LoadOutcome]:
     """Merge the landed changes of every ledger in a control list (source | target | PK1 | PK2 ...).
 
-    Running it again over the same files gives the same ledgers; only partitions with changed keys are rewritten.
+    Running it again over the same files gives the same ledgers; only partitions with changed keys are rewritten. Without
+    ``order_col`` a folder must hold one change a key. With it ledgers keep the order of their changes, and a run applies
+    the files that no earlier run has applied; read them with :func:`farmledger.sources.ledger.ledger_rows`.
     """
 
     def merge(row: Row) -> None:
         named = row.asDict()
         keys = [v for k, v in named.items() if k.upper().startswith("PK") and v]
         table = row[1].lower()
+        if order_col is not None:
+            load_landing(spark, f"{target_root.rstrip('/')}/{table}", f"{landing_dir.rstrip('/')}/{row[0]}", keys, flag, order_col, initial=initial, buckets=buckets)
+            return
         changes = read_table(spark, landing_dir, row[0], glob="*.parquet")
-        apply_changes(spark, table, changes, keys, flag, f"{target_root.rstrip('/')}/{table}", initial, order_col, buckets)
+        apply_changes(spark, table, changes, keys, flag, f"{target_root.rstrip('/')}/{table}", initial, buckets=buckets)
 
     return run_table_list(load_list(read_table_list(spark, control_path)), merge)
 
@@ -188,6 +196,90 @@ def plan_ledger_first_load(t: Tables):
     return _load_ledger(t, cdc_frames(t)[1])
 
 
+def _dated_changes(t: Tables) -> dict[str, DataFrame]:
+    """An initial extract and change sets of orders; ``seq`` is the order of a change, not of its landing."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+    def some(where: str, mark: str, seq: int, factor: float = 1.0) -> DataFrame:
+        return rows.where(where).withColumn("o_totalprice", F.round(F.col("o_totalprice") * factor, 2)).select("*", F.lit(mark).alias("opflag"), F.lit(seq).alias("seq"))
+
+    return {
+        "initial": some("o_orderstatus <> 'P'", "", 0),
+        "a": some("o_orderkey % 3 = 0", "U", 1, 2).unionByName(some("o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0", "D", 1)),
+        "b": some("o_orderkey % 6 = 0", "u ", 2, 3).unionByName(some("o_orderkey % 5 = 0 AND o_orderkey % 6 <> 0", "D", 3)),
+        "late": some("o_orderkey % 5 = 0", "I", 2, 9).unionByName(some("o_orderkey % 4 = 0", "", 9, 5)),
+    }
+
+
+# What the sets of ``_dated_changes`` amount to, in whatever order they land after the initial extract.
+_DATED_LEDGER = """WITH ranked AS (
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 0 AS seq, FALSE AS gone FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, ROUND(o_totalprice * 2, 2), 1, FALSE FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 1, TRUE FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, ROUND(o_totalprice * 3, 2), 2, FALSE FROM orders WHERE o_orderkey % 6 = 0
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 3, TRUE FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 6 <> 0
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, ROUND(o_totalprice * 9, 2), 2, FALSE FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 6 <> 0)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM ranked
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1 AND NOT gone"""
+
+
+@query("plan_ledger_versions", _DATED_LEDGER)
+def plan_ledger_versions(t: Tables):
+    """Loads A, B, A again and a late one: each run takes the files that are new, and older changes do not come back."""
+    root, sets = scratch_path(t.spark, "versions"), _dated_changes(t)
+    control = _control(t, root, [("orders_ledger", "orders", "o_orderkey")], ["source", "target", "PK1"])
+    for name in ("initial", "a", "b", "a", "late"):
+        sets[name].write.mode("append").parquet(f"{root}/landing/orders_ledger")
+        apply_ledger_changes(t.spark, control, f"{root}/landing", f"{root}/silver", "opflag", order_col="seq", buckets=8)
+    return ledger_rows(t.spark, f"{root}/silver/orders").drop("seq")
+
+
+@query("plan_ledger_stream", _DATED_LEDGER)
+def plan_ledger_stream(t: Tables):
+    """The same sets through a stream, the latest change first."""
+    root, sets = scratch_path(t.spark, "stream"), _dated_changes(t)
+    for name in ("initial", "b", "late", "a"):
+        sets[name].write.mode("append").parquet(f"{root}/landing")
+        ledger_stream(t.spark, f"{root}/landing", sets[name].schema, f"{root}/ledger", ["o_orderkey"], "opflag", "seq", f"{root}/checkpoint", buckets=8).awaitTermination()
+    return ledger_rows(t.spark, f"{root}/ledger").drop("seq")
+
+
+@query(
+    "plan_landing_register",
+    """SELECT r AS run, CASE r WHEN 1 THEN (SELECT COUNT(*) FROM orders WHERE o_orderstatus <> 'P') ELSE n END AS live_rows
+    FROM range(1, 5) AS runs(r) CROSS JOIN (SELECT COUNT(*) AS n FROM (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND NOT (o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0)
+    UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0))""",
+)
+def plan_landing_register(t: Tables):
+    """Rows of the ledger after each of four runs over a landing folder that grows once; runs without a new file add nothing."""
+    root, sets = scratch_path(t.spark, "register"), _dated_changes(t)
+    out = []
+    for run, name in enumerate(("initial", "a", None, None), 1):
+        if name:
+            sets[name].write.mode("append").parquet(f"{root}/landing")
+        load_landing(t.spark, f"{root}/ledger", f"{root}/landing", ["o_orderkey"], "opflag", "seq", buckets=8)
+        out.append(ledger_rows(t.spark, f"{root}/ledger").agg(F.count(F.lit(1)).alias("live_rows")).select(F.lit(run).cast("long").alias("run"), "live_rows"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query(
+    "plan_months_at_once",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_day FROM orders
+    WHERE o_orderdate < DATE '1998-01-01' OR o_orderdate >= DATE '1999-07-01'
+    UNION ALL SELECT o_orderkey, o_orderstatus, ROUND(o_totalprice * 2, 2), CAST(o_orderdate AS DATE) FROM orders
+    WHERE o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-07-01' AND o_orderstatus <> 'P'""",
+)
+def plan_months_at_once(t: Tables):
+    """Eighteen months of a table give way in one step."""
+    root = scratch_path(t.spark, "months")
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("order_day"))
+    first, last = rows.agg(F.min("order_day"), F.max("order_day")).first()
+    replace_months_at_once(t.spark, root, rows, "order_day", first, last)
+    fresh = rows.where("o_orderstatus <> 'P'").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
+    replace_months_at_once(t.spark, root, fresh, "order_day", dt.date(1998, 1, 1), dt.date(1999, 6, 1))
+    return month_rows(t.spark, root)
+
+
 @query(
     "plan_masters_reload",
     "SELECT 'part' AS master, p_partkey AS code, p_name AS name FROM part UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier",

@@ -1,3 +1,3 @@
-from farmledger.streaming.cdc import cdc_stream
+from farmledger.streaming.cdc import cdc_stream, ledger_stream
 
-__all__ = ["cdc_stream"]
+__all__ = ["cdc_stream", "ledger_stream"]
