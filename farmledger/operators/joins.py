@@ -7,13 +7,14 @@ No join carries a broadcast hint: the optimiser broadcasts a side only when its
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farmledger.operators.merge import one_per_key
-from farmledger.operators.ordered import cumulate
+from farmledger.operators.ordered import cumulate, width_slice
+from farmledger.session import scratch_path
 
 Expr = str | Column
 
@@ -96,7 +97,8 @@ def interval_join(
 
     The equi-key gains a time bucket: an entity is listed in every bucket it spans, an event falls into one, so a key
     with many events and many spans does not compare all of them with each other. Spans of more than ``long_span``
-    buckets, such as open-ended ones, are not listed: they are joined on the key alone, in a branch of their own.
+    buckets, such as open-ended ones, are not listed there: :func:`sweep_join` cuts their keys' timelines by the number of
+    events instead.
     """
     origin = F.lit(dt.date(1900, 1, 1))
 
@@ -115,7 +117,43 @@ def interval_join(
     length = bucket(F.col(hi)) - bucket(F.col(lo))
     listed = valid.where(length <= long_span).withColumn("__bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
     short = met(events.withColumn("__bucket", bucket(F.col(ts))), listed, (*key, "__bucket"))
-    return short.unionByName(met(events, valid.where(length > long_span), key))
+    return short.unionByName(sweep_join(events, valid.where(length > long_span), key, ts, lo, hi))
+
+
+def sweep_join(events: DataFrame, entities: DataFrame, key: Sequence[str], ts: str, lo: str, hi: str, slice_rows: int = 65_536) -> DataFrame:
+    """Events joined to the spans ``lo``..``hi`` (inclusive) of the same key that hold them, for spans of any length.
+
+    A key's timeline is cut into slices of about ``slice_rows`` events (an hour's events stay together). An event lies in
+    one slice; a span is listed in each slice that it meets, once for every border it crosses. Both sides meet on (key,
+    slice), so a hot key with open-ended spans is spread over as many tasks as it has slices, and in a slice nearly every
+    pair that is looked at is a result. Null keys, times and ends meet nothing.
+    """
+    origin = F.lit(dt.date(1900, 1, 1))
+
+    def hour(c: str) -> Column:
+        return F.datediff(F.col(c).cast("date"), origin) * 24 + F.hour(F.col(c))
+
+    valid = entities.where(F.col(lo) <= F.col(hi))
+    at = events.where(F.col(ts).isNotNull()).withColumn("__at", hour(ts))
+    # only keys with a span are cut
+    hours = at.join(valid.select(*key).distinct(), list(key), "left_semi").groupBy(*key, "__at").agg(F.count(F.lit(1)).alias("__n"))
+    months = [width_slice("__at", 24 * 32)]
+    before = cumulate(hours, key, ["__at"], months, {"__so_far": ("sum", "__n")}, exclude_current=True)
+    sliced = before.select(*key, "__at", F.floor(F.coalesce("__so_far", F.lit(0)) / slice_rows).alias("__slice"))
+    # the slice at the beginning and at the end of a span: the last one that has begun by then
+    borders = sliced.groupBy(*key, "__slice").agg(F.min("__at").alias("__at"))
+    ends = valid.select(*key, F.explode(F.array(hour(lo), hour(hi))).alias("__at")).distinct()
+    line = borders.unionByName(ends, allowMissingColumns=True).groupBy(*key, "__at").agg(F.max("__slice").alias("__slice"))
+    held = cumulate(line, key, ["__at"], months, {"__in": ("max", "__slice")}).select(*key, "__at", "__in")
+    spans = valid.withColumns({"__lo": hour(lo), "__hi": hour(hi)})
+    for end in ("__lo", "__hi"):
+        spans = spans.join(held.withColumnsRenamed({"__at": end, "__in": f"{end}_slice"}), [*key, end], "left")
+    first = F.coalesce("__lo_slice", F.lit(0).cast("long"))  # the key's events begin later
+    listed = spans.where(F.col("__hi_slice").isNotNull()).withColumn("__slice", F.explode(F.sequence(first, F.col("__hi_slice"))))
+    extra = [c for c in entities.columns if c not in key]
+    dealt = at.join(sliced, [*key, "__at"])
+    met = dealt.join(listed.select(*key, "__slice", *extra), [*key, "__slice"]).where((F.col(ts) >= F.col(lo)) & (F.col(ts) <= F.col(hi)))
+    return met.select(*events.columns, *extra)
 
 
 def join_where(a: DataFrame, b: DataFrame, on: Sequence[str], residual: Column, how: str = "inner") -> DataFrame:
@@ -186,6 +224,55 @@ def reattribute(df: DataFrame, mapping: DataFrame, on: str, cols: Mapping[str, s
     )
 
 
+NEVER = dt.date(9999, 12, 31)
+MOST_ROUNDS = 24
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "moves")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def resolved_moves(
+    moves: DataFrame, source: str, target: str, moved_on: str, store: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """(source, lo, hi, target): where what was in ``source`` is from ``lo`` until before ``hi``, chains followed.
+
+    A move holds until the entity's next one; several moves of an entity on one day count as the one with the highest
+    target. What arrives somewhere goes on with the moves of that place from its arrival on. Chains double their reach each
+    round, so a chain of a thousand moves takes ten. Between rounds the intervals are written and read again, below the
+    shared folder or by ``store``. Moves that go round in a circle within one day have no end and raise an error.
+    """
+    store = store or _written
+    day = F.col(moved_on).cast("date")
+    known = moves.where(F.col(source).isNotNull() & day.isNotNull()).groupBy(F.col(source).alias("src"), day.alias("lo")).agg(F.max(target).alias("dst"))
+    until = F.lead("lo").over(Window.partitionBy("src").orderBy("lo"))
+    now = store(known.select("src", F.col("lo").alias("root"), "lo", F.coalesce(until, F.lit(NEVER)).alias("hi"), "dst"))
+    for _ in range(MOST_ROUNDS):
+        a, b = now.alias("a"), now.alias("b")
+        # the moves of the place since the arrival; they follow one another without a gap
+        onward = (F.col("a.dst") == F.col("b.src")) & (F.col("b.root") >= F.col("a.lo")) & (F.col("b.lo") < F.col("a.hi"))
+        met = store(a.join(b, onward).select(
+            F.col("a.src").alias("src"), F.col("a.root").alias("root"), F.col("a.lo").alias("from_lo"), F.greatest("a.lo", "b.lo").alias("lo"),
+            F.least("a.hi", "b.hi").alias("hi"), F.col("b.dst").alias("dst"),
+        ).where("lo < hi"))
+        if met.isEmpty():
+            return now.select(F.col("src").alias(source), "lo", "hi", F.col("dst").alias(target))
+        left = met.groupBy("src", F.col("from_lo").alias("lo")).agg(F.min("lo").alias("left_on"))
+        stays = now.join(left, ["src", "lo"], "left").withColumn("hi", F.least("hi", F.coalesce("left_on", F.lit(NEVER)))).where("lo < hi")
+        now = store(stays.select("src", "root", "lo", "hi", "dst").unionByName(met.select("src", "root", "lo", "hi", "dst")))
+    raise ValueError(f"{source}: moves within one day go round in a circle")
+
+
+def reattribute_dated(df: DataFrame, resolved: DataFrame, on: str, date: str, source: str, target: str, out: str) -> DataFrame:
+    """``out``: the entity that each row belongs to as of its date, by :func:`resolved_moves`; rows before a move stay."""
+    side = resolved.select(F.col(source).alias("__src"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col(target).alias("__dst"))
+    day = F.col(date).cast("date")
+    met = df.join(side, (F.col(on) == F.col("__src")) & (day >= F.col("__lo")) & (day < F.col("__hi")), "left")
+    return met.select(*df.columns, F.coalesce("__dst", F.col(on)).alias(out))
+
+
 def lookup_by_level(
     df: DataFrame, level: str, dims: Mapping[str, tuple[DataFrame, str]], value: str, out: str
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from farmledger.plans import (  # noqa: F401
     dimension_specs,
     dimensions,
     finance,
+    incremental,
     indicators,
     loads,
     production_details,
