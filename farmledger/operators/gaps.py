@@ -21,13 +21,13 @@ def densify_tail(
 ) -> DataFrame:
     """Add rows to entities that stop before their group does, up to the group's last day.
 
-    Added rows carry the entity's last values in ``carry``, 0 in ``zero``, 2 in ``flag`` (1 for real rows) and NULL in every
-    other column. The day may be a number or a date. Missing days come from a generated sequence per entity, not from a join with all days.
+    Added rows carry the entity's last values in ``carry`` (of several rows on its last day the highest), 0 in ``zero``, 2 in
+    ``flag`` (1 for real rows) and NULL in every other column. The day may be a number or a date. Missing days come from a generated sequence per entity, not from a join with all days.
     """
     is_date = isinstance(df.schema[day].dataType, DateType)
     held = [c for c in (*grp, *carry) if c not in key]
     last = df.groupBy(*key).agg(
-        F.max(day).alias("__last"), F.max_by(F.struct(*held, F.lit(0).alias("__pad")), F.col(day)).alias("__held")
+        F.max(day).alias("__last"), F.max_by(F.struct(*held, F.lit(0).alias("__pad")), F.struct(day, *held)).alias("__held")
     ).select(*key, "__last", *[F.col(f"__held.{c}").alias(c) for c in held])
     end = last.groupBy(*grp).agg(F.max("__last").alias("__end"))
     start = F.date_add("__last", 1) if is_date else F.col("__last") + 1
@@ -53,9 +53,9 @@ def cap_standard(df: DataFrame, key: Sequence[str], age: str, cols: Sequence[str
 
 
 def carry_last_valid(df: DataFrame, key: Sequence[str], day: str, col: str, after: int) -> DataFrame:
-    """Past day ``after``, zero or missing values take the key's last value that is neither."""
+    """Past day ``after``, zero or missing values take the key's last value that is neither (of one day the highest)."""
     valid = F.coalesce(F.col(col), F.lit(0)) != 0
-    last = df.where(valid).groupBy(*key).agg(F.max_by(col, day).alias("__last"))
+    last = df.where(valid).groupBy(*key).agg(F.max_by(col, F.struct(day, col)).alias("__last"))
     filled = F.when((F.col(day) > after) & ~valid, F.coalesce("__last", F.col(col))).otherwise(F.col(col))
     return df.join(last, list(key), "left").select(
         *[filled.alias(col) if c == col else F.col(c) for c in df.columns]

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from farmledger.operators import incremental, joins
+from farmledger.operators import gaps, incremental, joins
 from farmledger.operators.rules import classify
 
 
@@ -128,3 +128,13 @@ def test_cycles_are_appended_once(spark):
     assert incremental.missing_cycles(months, first.union(second), "month", "cycle", dt.date(2024, 3, 31)).isEmpty()
     unit = months.withColumn("v", F.month("month"))
     assert rows(incremental.publish_missing(unit, second, "month", "cycle").select("v", "cycle")) == [(1, "C04"), (2, "C04"), (3, "C04")]
+
+
+def test_carried_values_do_not_depend_on_the_order_of_rows(spark):
+    data = [("g", "a", 1, 5, 0), ("g", "a", 2, 3, 1), ("g", "a", 2, 9, 0), ("g", "b", 4, 1, 0)]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "grp string, k string, day int, v int, w int").coalesce(1)
+        added = gaps.densify_tail(df, ["k"], ["grp"], "day", ["v", "w"], [], "flag").where("flag = 2")
+        assert rows(added.select("k", "day", "v", "w")) == [("a", 3, 9, 0), ("a", 4, 9, 0)]
+        curve = spark.createDataFrame([("a", d, v) for _, _, d, v, _ in order] + [("a", 7, 0)], "k string, day int, v int")
+        assert ("a", 7, 1) in rows(gaps.carry_last_valid(curve, ["k"], "day", "v", 5))
