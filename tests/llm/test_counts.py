@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 from farmledger.llm.decontamination import FmIndex, contaminated_spans, drop_contaminated
-from farmledger.llm.pii import KINDS, base_spans, find_pii, luhn, regions
+from farmledger.llm.pii import KINDS, Segmenter, added_spans, base_spans, candidates, examples, find_pii, luhn, regions, rewrites, rewritten, span_features, train
 from farmledger.llm.quality import judge_quality, js_distance
 from farmledger.llm.secret_scan import BASE_RULES, RULES, redact, scan_secrets, trigram_query
 from tests.llm.common import UPPER_TO_LOWER, WORD, documents, empty, pairs
@@ -211,3 +211,67 @@ def test_personal_data_is_learned_from_long_texts(spark):
     assert all(len(t) > 20_000 for t in texts)
     added = [set(r.spans.split(",")) - {f"{k}:{a}:{b}" for a, b, k in base_spans(texts[r.doc_id] + "call +1 555 010 9999 192.168.10.20 now")} for r in find_pii(long).collect()]
     assert all(added)
+
+
+def personal_text(rng, n):
+    out = []
+    for _ in range(n):
+        d = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+        card = next(c for c in iter(lambda: d(16), None) if luhn(c))
+        kinds = [f"+1 ({d(3)}) 555-{d(4)}", f"{rng.choice('abcde')}{rng.choice('xyz')}.{d(2)}@mail{d(1)}.example.com", ".".join(str(rng.randrange(256)) for _ in range(4)), card]
+        junk = [d(16), d(7), f"{d(1)}.{d(1)}", "2024-05-17", f"{rng.choice('abcdef')}{d(8)}{rng.choice('abcdef')}", ""]
+        out.append(f"words of some kind {rng.choice(junk)} and {rng.choice(kinds)} then more {rng.choice(junk)} of it")
+    return out
+
+
+def test_segmentations_sum_as_by_enumeration():
+    """The gradient of the likelihood is that of all segmentations, one by one."""
+    text = "x 12 (555) 0101 9 at y"
+    (s, e), = regions(text)
+    spans = [(i, j, kind, seen) for i, j, kind, seen in candidates(text, s, e)]
+    model = Segmenter({f: 0.1 * (len(f) % 7) - 0.2 for *_, kind, seen in spans for f in span_features(kind, seen, frozenset())})
+    groups = max(j for _, j, _, _ in spans)
+
+    def segmentations(at):  # lists of spans from a group on, an entity after another one only after a group outside
+        if at >= groups:
+            return [[]]
+        out = list(segmentations(at + 1))
+        for x in spans:
+            if x[0] == at:
+                out += [[x, *rest] for rest in (segmentations(x[1] + 1) if x[1] < groups else [[]])]
+        return out
+
+    every = segmentations(0)
+    best = max(every, key=lambda z: sum(model.score(k, seen) for _, _, k, seen in z))
+    got = model.decode(text, s, e)
+    assert len(every) > 10 and abs(sum(x[3] for x in got) - sum(model.score(k, seen) for _, _, k, seen in best)) < 1e-9
+
+
+def test_personal_data_written_in_other_ways():
+    """Spans that the base patterns miss, in texts that the model was not trained on."""
+    rng = random.Random(3)
+    sample = [p for t in personal_text(rng, 400) for p in examples(t)]
+    model = Segmenter(train([x for p in sample for x in (p, *rewritten(p))]))
+    assert model.weights == train([x for p in sample for x in (p, *rewritten(p))])
+    met, found, wrong, plain = Counter(), Counter(), 0, 0
+    for t in personal_text(rng, 300):
+        base = base_spans(t)
+        wrong += len(added_spans(t, base, model))
+        plain += 1
+        a, b, kind = base[0]
+        for new in rewrites(t[a:b], kind):
+            other = t[:a] + new + t[b:]
+            if (a, a + len(new), kind) not in base_spans(other):
+                met[kind] += 1
+                found[kind] += (a, a + len(new), kind) in added_spans(other, base_spans(other), model)
+    assert all(found[k] >= 0.9 * met[k] > 50 for k in KINDS), (found, met)
+    assert wrong <= 0.02 * plain
+
+
+def test_regions_are_trained_whole():
+    text = "call " + " ".join(f"+1 (555) 010-{k:04d}" for k in range(200)) + " now"
+    pieces = examples(text, 100)
+    (s, e), = regions(text)
+    assert sum(b - a for _, a, b, _ in pieces) >= e - s and len(pieces) > 20
+    assert all(a <= x and y <= b for _, a, b, w in pieces for x, y, _ in w)
+    assert train([]) == {} and rewritten(("nothing", 0, 3, [])) == []
