@@ -7,8 +7,11 @@ from farmledger.plans import (  # noqa: F401
     dimension_specs,
     dimensions,
     finance,
+    hatchery,
+    house_climate,
     incremental,
     indicators,
+    journal_extracts,
     loads,
     production_details,
     production_periods,

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farmledger.functions import fixed, previous_month, safe_ratio
+from farmledger.functions import fixed, month_start, previous_month, safe_ratio
 from farmledger.operators import cost, dims, gaps, joins, reshape
 from farmledger.operators import agg as A
 from farmledger.operators.merge import replace_rolling, update_from
@@ -43,17 +43,27 @@ def cost_indicators(
 
 
 def cost_structure(
-    lines: DataFrame, volumes: DataFrame, entity: Sequence[str], month: str, amount: str, as_of: dt.date, months: int = 12
+    lines: DataFrame, entity: Sequence[str], month: str, amount: str, kilos: Column, as_of: dt.date, months: int = 12
 ) -> DataFrame:
-    """Cost per entity and month with its kilos, published under the closing cycle and again under every later one."""
-    by_entity = lines.groupBy(*entity, month).agg(F.sum(amount).alias("amount"))
-    based = cost.cost_allocation_base(by_entity, volumes, entity, month, "kilos")
-    unit = based.select(
-        *entity, month, fixed("amount", 2).alias("amount"), fixed("kilos_entity", 2).alias("kilos_entity"),
-        safe_ratio("amount", "kilos_entity").alias("unit_cost"), safe_ratio("kilos_entity", "kilos_month", 6).alias("share"),
-    )
-    # the closed months come from the lines' dates alone
-    return cost.cycle_fanout(cost.with_cycle(unit, month), month, "cycle", as_of, months, lines.select(month))
+    """Cost per entity and month with its kilos, published under the closing cycle and again under every later one.
+
+    One aggregate makes the costs and the kilos. The kilos of all months, one number each, come as a scalar of a second,
+    narrow pass; they also say which months are closed. A row of a recent month is repeated for the closing cycles from its
+    own on, a cycle once; older rows keep their own.
+    """
+    closed = lines.groupBy(month).agg(F.sum(kilos).alias("__k")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(month), F.coalesce("__k", F.lit(0.0))))).alias("__all")
+    ).scalar()
+    by_entity = lines.groupBy(*entity, month).agg(F.sum(amount).alias("amount"), F.coalesce(F.sum(kilos), F.lit(0.0)).alias("__k"))
+    unit = by_entity.withColumn("__closed", closed).select(
+        *entity, month, fixed("amount", 2).alias("amount"), fixed("__k", 2).alias("kilos_entity"),
+        safe_ratio("amount", "__k").alias("unit_cost"), safe_ratio("__k", F.element_at("__closed", F.col(month)), 6).alias("share"), "__closed",
+    )
+    recent = F.lit(month_start(as_of, months))
+    own = F.array(cost.cycle_label(F.col(month)))
+    later = F.filter(F.map_keys("__closed"), lambda m: (m >= F.col(month)) & (m >= recent))
+    cycles = F.when(F.col(month) >= recent, F.array_union(own, F.transform(later, cost.cycle_label))).otherwise(own)
+    return unit.withColumn("cycle", F.explode(cycles)).drop("__closed")
 
 
 def current_structure(structure: DataFrame, month: str, as_of: dt.date) -> DataFrame:
@@ -94,16 +104,35 @@ def conformed_dimension(published: DataFrame | None, source: DataFrame, nk: Sequ
     return dims.merge_dim(published.withColumn(sk, F.col(sk).cast("long")), current, nk)
 
 
-
-
 def commercial_measures(
-    sales: DataFrame, expenses: DataFrame, stock: DataFrame, closed_on: str, keys: Sequence[str]
+    lines: DataFrame, sale: Column, expense: Column, closed_on: str, keys: Sequence[str]
 ) -> DataFrame:
-    """The plan's measure rows: sales and expense per unit of the latest closed month, and stock, each tagged ``obs``."""
-    latest = cost.latest_closed_month(sales, closed_on, closed_on)
-    sold = latest.groupBy(*keys).agg(fixed(F.sum("amount"), 2).alias("amount"), F.sum("quantity").alias("quantity"))
-    spent = cost.latest_closed_month(expenses, closed_on, closed_on).groupBy(*keys).agg(
-        safe_ratio(F.sum("amount"), F.sum("quantity")).alias("per_unit")
+    """The plan's measure rows: sales and expense per unit of the latest closed month of each, and stock, each tagged ``obs``.
+
+    The latest months of both come from one narrow pass, all measures from one conditional aggregate.
+    """
+    at = F.trunc(closed_on, "month")
+    last = lines.agg(F.struct(F.max(F.when(sale, at)).alias("sale"), F.max(F.when(expense, at)).alias("expense")).alias("__m")).scalar()
+    lines = lines.withColumn("__last", last).withColumn("__at", at)
+    sold, spent = (cond & (F.col("__at") == F.col(f"__last.{name}")) for cond, name in ((sale, "sale"), (expense, "expense")))
+
+    def total(cond: Column, c: str) -> Column:
+        return F.sum(F.when(cond, F.col(c)))
+
+    wide = lines.groupBy(*keys).agg(
+        F.count_if(sold).alias("__sold"), F.count_if(spent).alias("__spent"), fixed(total(sold, "amount"), 2).alias("__amount"),
+        total(sold, "quantity").alias("__quantity"), safe_ratio(total(spent, "amount"), total(spent, "quantity")).alias("__per_unit"),
+        F.sum("heads").alias("__heads"),
+    )
+    none = F.lit(None).cast("double")
+
+    def row(obs: str, cond: Column, **held: str) -> Column:
+        values = [F.col(held[c]) if c in held else none for c in ("amount", "quantity", "per_unit", "heads")]
+        fields = [v.cast("double").alias(c) for v, c in zip(values, ("amount", "quantity", "per_unit", "heads"), strict=True)]
+        return F.when(cond, F.struct(F.lit(obs).alias("obs"), *fields))
+
+    rows = F.array(
+        row("sales", F.col("__sold") > 0, amount="__amount", quantity="__quantity"), row("expense", F.col("__spent") > 0, per_unit="__per_unit"),
+        row("stock", F.lit(True), heads="__heads"),
     )
-    held = stock.groupBy(*keys).agg(F.sum("heads").alias("heads"))
-    return cost.measure_rows({"sales": sold, "expense": spent, "stock": held}, "obs")
+    return wide.select(*keys, F.inline(F.filter(rows, lambda r: r.isNotNull())))

@@ -62,8 +62,8 @@ def plan_cost_indicators(t: Tables):
 
 def _structure(t: Tables):
     lines = t.lineitem.withColumn("month", F.trunc(day("l_shipdate"), "month"))
-    volumes = lines.where(F.col("l_linestatus") == "F").select("l_suppkey", "month", F.col("l_quantity").alias("kilos"))
-    return costing.cost_structure(lines, volumes, ["l_suppkey"], "month", "l_extendedprice", AS_OF)
+    kilos = F.when(F.col("l_linestatus") == "F", F.col("l_quantity"))
+    return costing.cost_structure(lines, ["l_suppkey"], "month", "l_extendedprice", kilos, AS_OF)
 
 
 _STRUCTURE = f"""l AS (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS month FROM lineitem), c AS (SELECT l_suppkey, month, SUM(l_extendedprice) AS amount FROM l GROUP BY 1, 2),
@@ -186,5 +186,4 @@ def plan_commercial_measures(t: Tables):
         "l_suppkey", day("l_shipdate").alias("closed_on"), F.col("l_extendedprice").alias("amount"), F.col("l_quantity").alias("quantity"),
         F.col("l_quantity").alias("heads"), "l_linestatus", "l_returnflag",
     )
-    sales, expenses = lines.where(F.col("l_linestatus") == "F"), lines.where(F.col("l_returnflag") == "R")
-    return costing.commercial_measures(sales, expenses, lines, "closed_on", ["l_suppkey"])
+    return costing.commercial_measures(lines, F.col("l_linestatus") == "F", F.col("l_returnflag") == "R", "closed_on", ["l_suppkey"])
