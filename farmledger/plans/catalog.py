@@ -4,6 +4,7 @@ from farmledger.plans import (  # noqa: F401
     aggregates,
     costing_queries,
     costs,
+    dimension_catalog,
     dimension_specs,
     dimensions,
     finance,

@@ -100,7 +100,7 @@ SPECS = [
 
 
 def _literal(value: Any) -> str:
-    return f"'{value}'" if isinstance(value, str) else str(value)
+    return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
 
 
 def _twin(spec: DimensionSpec) -> str:
@@ -113,7 +113,9 @@ def _twin(spec: DimensionSpec) -> str:
     SELECT {cols}, sk FROM m JOIN (SELECT * FROM old UNION ALL SELECT * FROM fresh) USING ({key})"""
 
 
-def _register(spec: DimensionSpec) -> None:
+def register_dimension(spec: DimensionSpec) -> None:
+    """Register the query of a dimension: a first run on the known members, and a second one on all of them."""
+
     @query(f"dim_{spec.name}", _twin(spec))
     def build(t: Tables) -> DataFrame:
         source = spec.source(t)
@@ -122,4 +124,4 @@ def _register(spec: DimensionSpec) -> None:
 
 
 for _spec in SPECS:
-    _register(_spec)
+    register_dimension(_spec)
