@@ -125,10 +125,9 @@ class Block:
     """A bounded part of the benchmark, ready for search."""
 
     vocabulary: np.ndarray  # sorted word hashes; word k is symbol k + 2
-    phrases: np.ndarray  # windows as rows of symbols
+    phrases: np.ndarray  # distinct windows as rows of symbols, zeros behind short ones
     length: np.ndarray
-    owner: np.ndarray  # item of each window, as a place in names
-    names: list[str | None]
+    owners: list[tuple[str, ...]]  # of each window the ids of the items that hold it
     shortest: int
 
 
@@ -141,23 +140,25 @@ def benchmark_words(text: str | None) -> np.ndarray:
 
 def make_block(items: list[tuple[str | None, np.ndarray]], window: int) -> Block:
     vocabulary = np.unique(np.concatenate([w for _, w in items]))
-    windows, owner = [], []
+    pieces, owner = [], []
     for k, (_, words) in enumerate(items):
         symbols = np.searchsorted(vocabulary, words) + 2
-        whole = [symbols] if len(symbols) <= window else np.lib.stride_tricks.sliding_window_view(symbols, window)
-        windows += list(whole)
-        owner += [k] * len(whole)
-    length = np.array([len(w) for w in windows], dtype=np.int64)
-    phrases = np.zeros((len(windows), int(length.max())), dtype=np.int64)
-    for k, w in enumerate(windows):
-        phrases[k, : len(w)] = w
-    # equal windows are searched once for each item that has them
-    _, first = np.unique(np.column_stack([phrases, owner]), axis=0, return_index=True)
-    return Block(vocabulary, phrases[first], length[first], np.array(owner)[first], [n for n, _ in items], int(length.min()))
+        if len(symbols) < window:
+            symbols = np.concatenate([symbols, np.zeros(window - len(symbols), dtype=np.int64)])
+        pieces.append(np.lib.stride_tricks.sliding_window_view(symbols, window))
+        owner.append(np.full(len(pieces[-1]), k))
+    # equal windows are searched and located once, however many items hold them
+    phrases, place = np.unique(np.concatenate(pieces), axis=0, return_inverse=True)
+    held = np.unique(np.column_stack([place.ravel(), np.concatenate(owner)]), axis=0)
+    at = np.searchsorted(held[:, 0], np.arange(len(phrases) + 1))
+    names = [items[k][0] for k in held[:, 1].tolist()]
+    owners = [tuple({n for n in names[x:y] if n is not None}) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    length = (phrases > 0).sum(axis=1)
+    return Block(vocabulary, phrases, length, owners, int(length.min()))
 
 
 def _occurrences(block: Block, words: np.ndarray, word_offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts (in words of the chunk), lengths and items of all occurrences of windows."""
+    """Starts (in words of the chunk), lengths and windows of all occurrences of windows."""
     at = np.minimum(np.searchsorted(block.vocabulary, words), len(block.vocabulary) - 1)
     known = block.vocabulary[at] == words
     starts, ends = runs(known, word_offsets)
@@ -180,7 +181,7 @@ def _occurrences(block: Block, words: np.ndarray, word_offsets: np.ndarray) -> t
     rows = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
     position = index.locate(rows)
     stretch = np.searchsorted(base, position, side="right") - 1
-    return position - base[stretch] + starts[stretch], block.length[which], block.owner[which]
+    return position - base[stretch] + starts[stretch], block.length[which], which
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list[Block]:
@@ -223,15 +224,14 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 data = LOWER[data]
                 starts, ends = runs(WORD_BYTES[data], offsets)
                 at = np.searchsorted(starts, offsets)
-                first = stop = owner = np.zeros(0, dtype=np.int64)
+                first = stop = which = np.zeros(0, dtype=np.int64)
                 if block is not None:
-                    first, length, owner = _occurrences(block, span_hashes(data, starts, ends), at)
+                    first, length, which = _occurrences(block, span_hashes(data, starts, ends), at)
                     stop = first + length
                 text_of = np.searchsorted(at, first, side="right") - 1
                 names: list[set[str]] = [set() for _ in range(rows.num_rows)]
-                for d, o in np.unique(np.column_stack([text_of, owner]), axis=0).tolist():
-                    if block.names[o] is not None:
-                        names[d].add(block.names[o])
+                for d, w in np.unique(np.column_stack([text_of, which]), axis=0).tolist():
+                    names[d].update(block.owners[w])
                 if rows.num_columns > 2:  # what earlier blocks have found
                     for d, (earlier, items) in enumerate(zip(rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)):
                         names[d].update(items)

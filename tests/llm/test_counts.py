@@ -5,7 +5,7 @@ import random
 import re
 from collections import Counter
 
-from farmledger.llm.decontamination import FmIndex, contaminated_spans, drop_contaminated
+from farmledger.llm.decontamination import FmIndex, benchmark_words, contaminated_spans, drop_contaminated, make_block
 from farmledger.llm.pii import KINDS, Segmenter, added_spans, base_spans, candidates, examples, find_pii, luhn, regions, rewrites, rewritten, span_features, train
 from farmledger.llm.quality import judge_quality, js_distance
 from farmledger.llm.secret_scan import BASE_RULES, RULES, redact, scan_secrets, trigram_query
@@ -275,3 +275,17 @@ def test_regions_are_trained_whole():
     assert sum(b - a for _, a, b, _ in pieces) >= e - s and len(pieces) > 20
     assert all(a <= x and y <= b for _, a, b, w in pieces for x, y, _ in w)
     assert train([]) == {} and rewritten(("nothing", 0, 3, [])) == []
+
+
+def test_a_window_of_thousands_of_items_is_located_once(spark):
+    shared = " ".join(f"w{k}" for k in range(10))
+    items = [(str(k), f"own{k} {shared}") for k in range(3000)] + [("short", "w3 w4"), (None, shared), ("x", "other words here")]
+    block = make_block([(i, benchmark_words(t)) for i, t in items], 10)
+    assert len(block.phrases) == 3003 and sum(len(o) == 3000 for o in block.owners) == 1
+    docs = spark.createDataFrame([(k, f"before {shared} after" if k % 2 else "nothing of it") for k in range(60)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = sorted([str(k) for k in range(3000)] + ["short"])
+    for limit in (1 << 20, 5000):
+        for r in contaminated_spans(docs, bench, block_words=limit).collect():
+            assert (r.n_hit, r.n_items, r["items"]) == ((10, 3001, want) if r.doc_id % 2 else (0, 0, []))
+        assert drop_contaminated(docs, bench, block_words=limit).count() == 30
