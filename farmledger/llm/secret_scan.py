@@ -1,14 +1,20 @@
 """Secret scan with a trigram inverted index, in DataFrame expressions only.
 
 From each rule's pattern a Boolean query over trigrams is derived: every match contains, for each part of the query, all
-trigrams of one alternative. The index holds a posting (trigram, document) for each trigram that some rule asks for. The
-postings of a document meet in one aggregate, where the queries are evaluated; documents that satisfy a rule's query are
-verified with its pattern. A rule without mandatory trigrams verifies every document.
+trigrams of one alternative. The inverted index is written once: for each segment (an input split) and each trigram that
+some rule asks for, the list of the documents that hold it. Each rule intersects and unites the lists of its query, shortest
+first, segment by segment; only the documents that are left are verified with its pattern. A rule without mandatory trigrams
+verifies every document.
+
+A text can only be a candidate of a rule if it holds one of the rarest trigrams of the rule's rarest part, as the lengths
+of the lists tell. Texts without any of these stay where they are; the others meet the candidates' numbers.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 from re import _constants as node
 from re import _parser as parser
 
@@ -16,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farmledger.llm.registry import register, table
+from farmledger.llm.scratch import keep
 
 
 @dataclass(frozen=True)
@@ -53,13 +60,15 @@ RULES = BASE_RULES + MORE_RULES
 # A query is a conjunction of parts, a part a set of alternatives, an alternative a set of trigrams that must all occur.
 Query = list[frozenset[frozenset[str]]]
 MAX_STRINGS, MAX_CLASS = 64, 8
+RUN = 256  # spans that are appended to one array; longer lists are made of such runs, so their cost grows with their length
 
 
 def _part(strings: set[str]) -> Query:
     """What a set of strings, one of which must occur, asks for."""
     if any(len(s) < 3 for s in strings):
         return []
-    return [frozenset(frozenset(s[k : k + 3] for k in range(len(s) - 2)) for s in strings)]
+    alternatives = {frozenset(s[k : k + 3] for k in range(len(s) - 2)) for s in strings}
+    return [frozenset(a for a in alternatives if not any(b < a for b in alternatives))]  # who holds more also holds less
 
 
 def _product(left: set[str], right: set[str]) -> set[str] | None:
@@ -125,32 +134,61 @@ def trigram_query(pattern: str) -> Query:
     return query + (_part(strings) if strings is not None else [])
 
 
-def _holds(query: Query, present: Column) -> Column:
-    out = F.lit(True)
-    for part in query:
-        either = F.lit(False)
-        for alternative in sorted(part, key=sorted):
-            every = F.lit(True)
-            for t in sorted(alternative):
-                every = every & F.array_contains(present, t)
-            either = either | every
-        out = out & either
-    return out
+def postings(docs: DataFrame, id_col: str, text: str, asked: list[str]) -> DataFrame:
+    """The inverted index (segment, trigram, numbers): sorted out by input split, so a list is bounded by a split's documents.
+
+    A document's number is a hash of its id. Documents of one number, should there be any, share their postings.
+    """
+    low = docs.select(F.spark_partition_id().alias("segment"), F.xxhash64(id_col).alias("number"), F.lower(text).alias("_low"))
+    present = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in asked]))
+    each = low.select("segment", "number", F.explode(present).alias("trigram"))
+    return each.groupBy("segment", "trigram").agg(F.collect_set("number").alias("numbers"))
+
+
+def answer(query: Query, lists: Column, sizes: dict[str, int]) -> Column:
+    """Numbers that satisfy a query: the intersection, over its parts, of the unions of their alternatives' intersections."""
+
+    def both(a: Column, b: Column) -> Column:
+        return F.array_intersect(a, b)
+
+    def posting(t: str) -> Column:
+        return F.coalesce(F.try_element_at(lists, F.lit(t)), F.array().cast("array<bigint>"))
+
+    parts = []
+    for part in sorted(query, key=lambda p: part_size(p, sizes)):
+        held = [reduce(both, map(posting, sorted(a, key=lambda t: (sizes.get(t, 0), t)))) for a in sorted(part, key=sorted)]
+        parts.append(reduce(F.array_union, held))
+    return reduce(both, parts)
+
+
+def part_size(part: frozenset[frozenset[str]], sizes: dict[str, int]) -> int:
+    """No more documents than this can satisfy a part."""
+    return sum(min(sizes.get(t, 0) for t in alternative) for alternative in part)
+
+
+def anchors(queries: dict[int, Query], sizes: dict[str, int]) -> list[str]:
+    """Trigrams one of which every candidate holds: of each rule's rarest part the rarest of each alternative."""
+    found = set()
+    for query in queries.values():
+        for alternative in min(query, key=lambda p: part_size(p, sizes)):
+            t = min(sorted(alternative), key=lambda t: sizes.get(t, 0))
+            found |= {t} if sizes.get(t, 0) else set()
+    return sorted(found)
 
 
-def candidates(docs: DataFrame, id_col: str, text: str, rules: list[Rule]) -> DataFrame:
-    """(_id, _rules): the rules with a query that each document satisfies; documents without any are left out."""
-    queries = {r.kind: trigram_query(r.pattern) for r in rules}
+def candidates(docs: DataFrame, id_col: str, text: str, queries: dict[int, Query]) -> tuple[DataFrame, list[str]]:
+    """(_number, _rules): the rules whose query each document satisfies, documents without any left out; and the anchors."""
     asked = sorted({t for q in queries.values() for part in q for alternative in part for t in alternative})
-    low = docs.select(F.col(id_col).alias("_id"), F.lower(text).alias("_low"))
-    present = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in asked]))
-    postings = low.select("_id", F.explode(present).alias("trigram"))
-    met = postings.groupBy("_id").agg(F.collect_set("trigram").alias("present"))  # at most one entry for each asked trigram
-    passed = F.array_compact(F.array(*[F.when(_holds(q, F.col("present")), F.lit(k)) for k, q in queries.items() if q]))
-    return met.select("_id", passed.alias("_rules")).where(F.size("_rules") > 0)
+    index = keep(postings(docs, id_col, text, asked), "secret-postings")
+    lengths = index.groupBy("trigram").agg(F.sum(F.size("numbers")).alias("n")).collect()  # a row an asked trigram at most
+    sizes = {r["trigram"]: r["n"] for r in lengths}
+    segments = index.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "numbers"))).alias("lists"))
+    answers = [F.struct(F.lit(k).alias("rule"), answer(q, F.col("lists"), sizes).alias("numbers")) for k, q in queries.items()]
+    each = segments.select(F.explode(F.array(*answers)).alias("a")).select("a.rule", F.explode("a.numbers").alias("_number"))
+    return each.groupBy("_number").agg(F.collect_set("rule").alias("_rules")), anchors(queries, sizes)
 
 
-def _spans(text: str, rule: Rule, number: int, wanted: Column) -> Column:
+def _spans(text: Column, rule: Rule, number: int, wanted: Column) -> Column:
     """Array of (start, kind number, end) of a rule's matches, in code points.
 
     The matches and the stretches between them alternate, so each start is the sum of the lengths before it.
@@ -162,7 +200,7 @@ def _spans(text: str, rule: Rule, number: int, wanted: Column) -> Column:
     counted = F.when(on, F.regexp_extract_all(text, pattern, F.lit(rule.group))).otherwise(nothing) if rule.group else found
     between = F.when(on, F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(found))).otherwise(nothing)
     triples = F.arrays_zip(between.alias("b"), found.alias("m"), counted.alias("c"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("out"))
+    none = F.array().cast("array<struct<s:int,k:int,e:int>>")
 
     def step(acc, x):
         start = acc["at"] + F.length(x["b"])
@@ -170,7 +208,17 @@ def _spans(text: str, rule: Rule, number: int, wanted: Column) -> Column:
         span = F.struct(start.alias("s"), F.lit(number).alias("k"), end.alias("e"))
         return F.struct(end.alias("at"), F.when(F.length(x["c"]) >= rule.least, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(triples, empty, step, lambda acc: acc["out"])
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<s:int,k:int,e:int>>>").alias("out"))
+
+    def runs_of(all_: Column) -> Column:
+        def run(acc, k):
+            part = F.aggregate(F.slice(all_, k * RUN + 1, F.lit(RUN)), F.struct(acc["at"].alias("at"), none.alias("out")), step)
+            return F.struct(part["at"].alias("at"), F.array_append(acc["out"], part["out"]).alias("out"))
+
+        count = F.ceil(F.size(all_) / RUN).cast("int")
+        return F.aggregate(F.sequence(F.lit(0), count), empty, run, lambda acc: F.flatten(acc["out"]))
+
+    return F.flatten(F.transform(F.array(triples), runs_of))  # an array of one, so that the matches are found once
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: list[Rule] | None = None) -> DataFrame:
@@ -180,18 +228,27 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ru
     start, then rule. A pattern's matches are leftmost and do not overlap; a match that is too short is dropped and not
     tried again. A null text is empty. Rows with equal ids share their postings, so they may be verified for more rules
     than needed, never for fewer; a null id is an id like others. Columns of the documents keep their names, whatever
-    they are, except that names beginning with ``_`` are reserved.
+    they are, except that names beginning with ``_`` are reserved. The documents are read three times: for the index,
+    for the texts with an anchor and for those without.
     """
     rules = RULES if rules is None else rules
     named = docs.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
-    hit = candidates(named, id_col, "_text", rules)
-    joined = named.join(hit, named[id_col].eqNullSafe(hit["_id"]), "left")
-    spans = []
-    for k, rule in enumerate(rules):
-        wanted = F.coalesce(F.array_contains("_rules", rule.kind), F.lit(False)) if trigram_query(rule.pattern) else F.lit(True)
-        spans.append(_spans("_text", rule, k, wanted))
-    found = F.array_sort(F.flatten(F.array(*spans)))
-    return joined.withColumn("_found", found).drop("_id", "_rules", "_text")
+    queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern))}
+
+    def found(rows: DataFrame, wanted: dict[int, Column]) -> DataFrame:
+        spans = [_spans(F.col("_text"), r, k, wanted.get(k, F.lit(True))) for k, r in enumerate(rules) if wanted or k not in queries]
+        every = F.array_sort(F.flatten(F.array(*spans))) if spans else F.array().cast("array<struct<s:int,k:int,e:int>>")
+        return rows.withColumn("_found", every).drop("_text", "_number", "_rules")
+
+    if not queries:
+        return found(named, {})
+    hit, marks = candidates(named, id_col, "_text", queries)
+    if not marks:
+        return found(named, {})
+    marked = F.rlike(F.lower("_text"), F.lit("|".join(re.escape(t) for t in marks)))
+    met = named.where(marked).withColumn("_number", F.xxhash64(id_col)).join(hit, "_number", "left")
+    wanted = {k: F.coalesce(F.array_contains("_rules", F.lit(k)), F.lit(False)) for k in queries}
+    return found(met, wanted).unionAll(found(named.where(~marked), {}))
 
 
 def span_text(found: Column, rules: list[Rule]) -> Column:

@@ -8,7 +8,7 @@ from collections import Counter
 from farmledger.llm.decontamination import FmIndex, benchmark_words, contaminated_spans, drop_contaminated, make_block
 from farmledger.llm.pii import KINDS, Segmenter, added_spans, base_spans, candidates, examples, find_pii, luhn, regions, rewrites, rewritten, span_features, train
 from farmledger.llm.quality import judge_quality, js_distance
-from farmledger.llm.secret_scan import BASE_RULES, RULES, redact, scan_secrets, trigram_query
+from farmledger.llm.secret_scan import BASE_RULES, RULES, Rule, candidates as secret_candidates, postings, redact, scan_secrets, trigram_query
 from tests.llm.common import UPPER_TO_LOWER, WORD, documents, empty, pairs
 
 
@@ -156,6 +156,38 @@ def test_trigrams():
                     assert any(all(g in m.group().lower() for g in alternative) for alternative in part)
 
 
+def holds(t, query):
+    return all(any(all(g in t.lower() for g in alternative) for alternative in part) for part in query)
+
+
+def test_lists_are_intersected(spark):
+    texts_ = [*CASES, "pass the word", "api key", "tokens", "no secret", "akia", "aki kia", "sword passwo", ""]
+    docs = spark.createDataFrame([(k % 9 or None, t) for k, t in enumerate(texts_ * 3)], "doc_id long, text string").repartition(4)
+    index = postings(docs, "doc_id", "text", ["tok", "oke", "zzz"])
+    assert {r.trigram for r in index.collect()} == {"tok", "oke"}
+    queries = {k: q for k, r in enumerate(RULES) if (q := trigram_query(r.pattern))}
+    hit, marks = secret_candidates(docs, "doc_id", "text", queries)
+    numbered = docs.selectExpr("doc_id", "text", "xxhash64(doc_id) AS _number").join(hit, "_number", "left")
+    for r in numbered.collect():
+        want = {k for k, q in queries.items() if holds(r.text, q)}
+        assert want <= set(r["_rules"] or [])  # other texts of the same id may add to them
+        assert not want or any(m in r.text.lower() for m in marks)
+    alone = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    hit, _ = secret_candidates(alone, "doc_id", "text", queries)
+    for r in alone.selectExpr("text", "xxhash64(doc_id) AS _number").join(hit, "_number", "left").collect():
+        assert {k for k, q in queries.items() if holds(r.text, q)} == set(r["_rules"] or [])
+
+
+def test_rules_of_one_kind_and_long_lists(spark):
+    rules = [Rule("word", "alpha[0-9]"), Rule("word", "[0-9a-f]{16}"), Rule("word", "beta")]
+    text = " ".join(f"{k:016x} alpha{k % 10}" for k in range(3000))
+    docs = spark.createDataFrame([(1, text), (2, "beta"), (3, "alphabet"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r._found] for r in scan_secrets(docs, rules=rules).collect()}
+    want = sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.pattern, text))
+    assert got == {1: want, 2: [(0, 2, 4)], 3: [], 4: []}
+    assert {r.doc_id for r in scan_secrets(docs, rules=rules[1:2]).collect()} == {1, 2, 3, 4}
+
+
 def pii_by_pattern(t):
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
