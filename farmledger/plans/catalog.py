@@ -7,6 +7,7 @@ from farmledger.plans import (  # noqa: F401
     dimension_catalog,
     dimension_specs,
     dimensions,
+    division_month,
     finance,
     hatchery,
     house_climate,
