@@ -87,12 +87,13 @@ _POWERS = _Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES + 1)
+    held = len(_POWERS.get("up", ()))
+    if held < n:
+        size = max(n, 2 * held, 1 << 16)  # as long as the chunks that the process meets, so small inputs keep little
         for name, base in (("up", _GOLD), ("down", _INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
+            _POWERS[name] = np.multiply.accumulate(steps, out=steps)
     return _POWERS["up"], _POWERS["down"]
 
 
@@ -102,7 +103,10 @@ class SpanHasher:
     def __init__(self, data: np.ndarray):
         up, self.down = _powers(len(data) + 1)
         self.total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=self.total[1:])
+        sums = self.total[1:]  # worked on in place: the arrays have eight times the size of the texts
+        np.take(_BYTE_VALUES, data, out=sums, mode="clip")
+        sums *= up[: len(data)]
+        np.cumsum(sums, out=sums)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.total[ends] - self.total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
