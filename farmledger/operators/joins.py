@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farmledger.operators.merge import one_per_key
-from farmledger.operators.ordered import cumulate, width_slice
+from farmledger.operators.ordered import cumulate
 from farmledger.session import scratch_path
 
 Expr = str | Column
@@ -137,14 +137,14 @@ def sweep_join(events: DataFrame, entities: DataFrame, key: Sequence[str], ts: s
     at = events.where(F.col(ts).isNotNull()).withColumn("__at", hour(ts))
     # only keys with a span are cut
     hours = at.join(valid.select(*key).distinct(), list(key), "left_semi").groupBy(*key, "__at").agg(F.count(F.lit(1)).alias("__n"))
-    months = [width_slice("__at", 24 * 32)]
-    before = cumulate(hours, key, ["__at"], months, {"__so_far": ("sum", "__n")}, exclude_current=True)
+    # one row a key and hour, so the calendar bounds a key's rows and plain windows serve
+    before = cumulate(hours, key, ["__at"], [], {"__so_far": ("sum", "__n")}, exclude_current=True)
     sliced = before.select(*key, "__at", F.floor(F.coalesce("__so_far", F.lit(0)) / slice_rows).alias("__slice"))
     # the slice at the beginning and at the end of a span: the last one that has begun by then
     borders = sliced.groupBy(*key, "__slice").agg(F.min("__at").alias("__at"))
     ends = valid.select(*key, F.explode(F.array(hour(lo), hour(hi))).alias("__at")).distinct()
     line = borders.unionByName(ends, allowMissingColumns=True).groupBy(*key, "__at").agg(F.max("__slice").alias("__slice"))
-    held = cumulate(line, key, ["__at"], months, {"__in": ("max", "__slice")}).select(*key, "__at", "__in")
+    held = cumulate(line, key, ["__at"], [], {"__in": ("max", "__slice")}).select(*key, "__at", "__in")
     spans = valid.withColumns({"__lo": hour(lo), "__hi": hour(hi)})
     for end in ("__lo", "__hi"):
         spans = spans.join(held.withColumnsRenamed({"__at": end, "__in": f"{end}_slice"}), [*key, end], "left")
