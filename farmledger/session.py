@@ -18,20 +18,30 @@ RUNTIME_CONF = {
     # Split a hot join partition even when that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# What a task scans or reads bounds its sorts and hash tables, whatever the size of the input; a cluster may name its own.
+TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
+}
+PARTITIONS_PER_CORE = 64  # half a gigabyte a core and shuffle before its parts outgrow the advisory size
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; memory stays with the cluster.
 
-    On a cluster a shuffle starts with several partitions per core, unless the cluster names a number itself: adaptive
+    On a cluster a shuffle starts with many partitions per core, unless the cluster names a number itself: adaptive
     execution merges partitions that turn out small, but splits large ones in skewed joins only.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key, value in TASK_BYTES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if not spark.sparkContext.master.startswith("local") and spark.conf.get(initial, None) is None:
         cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(initial, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)))
+        spark.conf.set(initial, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_CORE * cores)))
     return spark
 
 

@@ -1,6 +1,7 @@
 """What keeps a task, a shuffle or a plan from growing faster than the input."""
 
 from farmledger.operators import joins
+from farmledger.session import TASK_BYTES, tune
 
 
 def rows(df):
@@ -11,6 +12,17 @@ def optimised(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_task_scans_and_reads_a_bounded_part(spark):
+    tune(spark)
+    assert {k: spark.conf.get(k) for k in TASK_BYTES} == TASK_BYTES
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(key, "1m")  # named by the session
+    try:
+        assert tune(spark).conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, TASK_BYTES[key])
+
+
 def _timeline(spark):
     e = spark.range(300).selectExpr("id % 3 as k", "date_add(date'2024-01-01', cast(id % 100 as int)) as t", "id")
     s = spark.range(12).selectExpr("id % 4 as k", "date_add(date'2024-01-01', cast(id * 7 as int)) as lo", "date_add(date'2024-01-01', cast(id * 9 as int)) as hi", "id as s")
