@@ -93,19 +93,21 @@ def merge_level(published: DataFrame, change: DataFrame, keys: Sequence[str], su
 
 
 def distinct_by_level(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]], number: str, out: str) -> dict[str, DataFrame]:
-    """Exact distinct counts of a whole number at several levels from one scan: bitmaps merged from level to level.
+    """Exact distinct counts of a whole number at several levels, finest first, from one scan: each from the level before.
 
-    ``number`` is not negative (nulls do not count) and should be dense, as surrogate keys are: each key holds one bitmap of
-    32,768 bits for every range of that many numbers that it meets.
+    ``number`` is not negative (nulls do not count) and should be dense, as surrogate keys are. A key of a fine level meets few
+    numbers, so (key, number) pairs are handed on; only the coarsest level, whose keys meet most of them, holds bitmaps, of
+    32,768 bits for every range of that many numbers. They are built and counted where a range's pairs meet, so none is shuffled.
     """
-    known = df.where(F.col(number).isNotNull()).withColumn("__range", F.bitmap_bucket_number(number))
-    current, counted = None, {}
-    for name, keys in levels:
-        if current is None:
-            current = known.groupBy(*keys, "__range").agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("__bits"))
-        else:
-            current = current.groupBy(*keys, "__range").agg(F.bitmap_or_agg("__bits").alias("__bits"))
-        counted[name] = current.groupBy(*keys).agg(F.sum(F.bitmap_count("__bits")).alias(out))
+    current, counted = df.where(F.col(number).isNotNull()), {}
+    for name, keys in levels[: max(1, len(levels) - 1)]:
+        current = current.select(*keys, number).distinct()
+        counted[name] = current.groupBy(*keys).agg(F.count(number).alias(out))
+    if len(levels) > 1:
+        name, keys = levels[-1]
+        pairs = current.select(*keys, number, F.bitmap_bucket_number(number).alias("__range")).repartition(*keys, "__range")
+        bits = pairs.groupBy(*keys, "__range").agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("__bits"))
+        counted[name] = bits.groupBy(*keys).agg(F.sum(F.bitmap_count("__bits")).alias(out))
     return counted
 
 

@@ -1,6 +1,10 @@
 """What keeps a task, a shuffle or a plan from growing faster than the input."""
 
-from farmledger.operators import joins
+import random
+
+from pyspark.sql import functions as F
+
+from farmledger.operators import incremental, joins
 from farmledger.session import TASK_BYTES, tune
 
 
@@ -35,3 +39,15 @@ def test_sweep_join_evaluates_its_events_once_a_use(spark):
     assert optimised(out).count("Range (0, 300") == 4  # rows, slices, and borders at both ends of a span
     want = e.join(s, "k").where("t between lo and hi").select("id", "s")
     assert rows(out.select("id", "s")) == rows(want)
+
+
+def test_only_the_coarsest_level_holds_bitmaps(spark):
+    rng = random.Random(2)
+    data = [(rng.choice([0, 1, None]), rng.randrange(5), rng.randrange(40), rng.choice([None, *range(0, 90_000, 4321)])) for _ in range(900)]
+    df = spark.createDataFrame(data, "zone int, farm int, lot int, n int")
+    levels = [("lot", ["zone", "farm", "lot"]), ("farm", ["zone", "farm"]), ("zone", ["zone"])]
+    for some in (levels, levels[1:], levels[2:]):
+        counted = incremental.distinct_by_level(df, some, "n", "c")
+        assert "bitmap_construct_agg" not in optimised(counted[some[0][0]])
+        for name, keys in some:
+            assert rows(counted[name]) == rows(df.where("n is not null").groupBy(*keys).agg(F.countDistinct("n").alias("c")))
