@@ -50,28 +50,38 @@ def pivot_multi(
 def unpivot(
     df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str, value: str, drop_zero: bool = False
 ) -> DataFrame:
-    """One row per listed column, from one scan; columns are brought to double first."""
-    long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(ids), list(cols), name, value)
+    """One row per listed column, from one scan; columns are brought to double first. Rows stay in the task of their ids."""
+    cells = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in cols])
+    long = df.select(*ids, F.inline(cells))
     return long.where(F.coalesce(F.col(value), F.lit(0.0)) != 0) if drop_zero else long
 
 
 def top_n_others(
-    df: DataFrame, key: Sequence[str], cat: str, val: Expr, n: int = 3, scale: int = 4
+    df: DataFrame, key: Sequence[str], cat: str, val: Expr, n: int = 3, scale: int = 4, unique: bool = False
 ) -> DataFrame:
     """The ``n`` largest categories per key as columns (name, quantity, percent) and the remainder as "others".
 
-    Ties go to the smaller category. The rank is filtered, so each task forwards at most ``n`` categories of a key.
+    Ties go to the smaller category. The rank is filtered, so each task forwards at most ``n`` categories of a key. ``unique``
+    says that ``df`` has one row a key and category, as after an unpivot of one row a key: all are ranked and totalled in one
+    aggregate, without a join, and rows that lie together by some of ``key`` are not shuffled again.
     """
-    totals = df.groupBy(*key, cat).agg(F.sum(_col(val)).alias("__q"))
+    if unique:
+        totals = df.select(*key, cat, _col(val).alias("__q"))
+    else:
+        totals = df.groupBy(*key, cat).agg(F.sum(_col(val)).alias("__q"))
     w = Window.partitionBy(*key).orderBy(F.col("__q").desc(), F.col(cat).asc())
-    top = totals.select("*", F.row_number().over(w).alias("__rank")).where(F.col("__rank") <= n)
-    wide = top.groupBy(*key).agg(
+    ranked = totals.select("*", F.row_number().over(w).alias("__rank"))
+    top = F.col("__rank") <= n
+    cells = [
         *[F.max(F.when(F.col("__rank") == i, F.col(cat))).alias(f"name_{i}") for i in range(1, n + 1)],
         *[F.max(F.when(F.col("__rank") == i, F.col("__q"))).alias(f"qty_{i}") for i in range(1, n + 1)],
-        F.sum("__q").alias("__top"),
-    )
-    whole = totals.groupBy(*key).agg(F.sum("__q").alias("qty_total"))
-    joined = join_same(wide, whole, key)
+        F.sum(F.when(top, F.col("__q"))).alias("__top"),
+    ]
+    if unique:
+        joined = ranked.groupBy(*key).agg(*cells, F.sum("__q").alias("qty_total"))
+    else:
+        whole = totals.groupBy(*key).agg(F.sum("__q").alias("qty_total"))
+        joined = join_same(ranked.where(top).groupBy(*key).agg(*cells), whole, key)
     pct = [fixed(F.try_divide(F.col(f"qty_{i}"), F.col("qty_total")) * 100, scale).alias(f"pct_{i}") for i in range(1, n + 1)]
     return joined.select(
         *key,

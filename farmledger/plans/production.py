@@ -74,7 +74,7 @@ def mortality_causes(days: DataFrame, causes: Sequence[str], keys: Sequence[str]
     """Leading causes of death per key and week of life."""
     weekly = days.withColumn("week", week_of_life("age")).groupBy(*keys, "week").agg(*[F.sum(c).alias(c) for c in causes])
     long = reshape.unpivot(weekly, [*keys, "week"], causes, "cause", "deaths", drop_zero=True)
-    return reshape.top_n_others(long, [*keys, "week"], "cause", "deaths", n)
+    return reshape.top_n_others(long, [*keys, "week"], "cause", "deaths", n, unique=True)
 
 
 def mortality_levels(days: DataFrame, heads: DataFrame, typical: Column) -> DataFrame:
@@ -275,7 +275,7 @@ def mortality_causes_running(days: DataFrame, causes: Sequence[str], keys: Seque
     totals = {c: ("sum", c) for c in causes}
     run = cumulate(weekly.withColumnsRenamed({c: f"__{c}" for c in causes}), keys, ["week"], [], {c: ("sum", f"__{c}") for c in totals})
     long = reshape.unpivot(run, [*keys, "week"], causes, "cause", "deaths", drop_zero=True)
-    return reshape.top_n_others(long, [*keys, "week"], "cause", "deaths", n)
+    return reshape.top_n_others(long, [*keys, "week"], "cause", "deaths", n, unique=True)
 
 
 def sales_detail(

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from farmledger.operators import incremental, joins
+from farmledger.operators import incremental, joins, reshape
+from farmledger.plans import production as P
 from farmledger.session import TASK_BYTES, tune
 
 
@@ -16,6 +17,10 @@ def optimised(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_task_scans_and_reads_a_bounded_part(spark):
     tune(spark)
     assert {k: spark.conf.get(k) for k in TASK_BYTES} == TASK_BYTES
@@ -51,3 +56,20 @@ def test_only_the_coarsest_level_holds_bitmaps(spark):
         assert "bitmap_construct_agg" not in optimised(counted[some[0][0]])
         for name, keys in some:
             assert rows(counted[name]) == rows(df.where("n is not null").groupBy(*keys).agg(F.countDistinct("n").alias("c")))
+
+
+def _days(spark):
+    return spark.range(600).selectExpr(
+        "id % 2 as zone", "id % 6 as lot", "id % 3 as house", "id % 4 as pen", "cast(if(id % 97 = 0, null, id % 50) as int) as age",
+        "cast(id % 7 as double) as deaths", "cast(id % 3 as double) as a", "cast(id % 5 as double) as b", "cast(id % 2 as double) as c", "cast(0 as double) as d",
+    )
+
+
+def test_ranked_causes_stay_in_the_task_of_their_week(spark):
+    days, causes, keys = _days(spark), ["a", "b", "c", "d"], ["zone", "lot"]
+    for job, shuffles in ((P.mortality_causes, 1), (P.mortality_causes_running, 2)):
+        plan = physical(job(days, causes, keys))
+        assert plan.count("Exchange ") <= shuffles and "Join" not in plan
+    long = reshape.unpivot(days.groupBy(*keys, "age").agg(*[F.sum(x).alias(x) for x in causes]), [*keys, "age"], causes, "cause", "q", drop_zero=True)
+    ranked = [reshape.top_n_others(long, [*keys, "age"], "cause", "q", 2, unique=u) for u in (False, True)]
+    assert ranked[0].columns == ranked[1].columns and rows(ranked[0]) == rows(ranked[1])
