@@ -98,7 +98,7 @@ def interval_join(
     The equi-key gains a time bucket: an entity is listed in every bucket it spans, an event falls into one, so a key
     with many events and many spans does not compare all of them with each other. Spans of more than ``long_span``
     buckets, such as open-ended ones, are not listed there: :func:`sweep_join` cuts their keys' timelines by the number of
-    events instead.
+    events instead. It is given the events between the first begin and the last end of such spans, so without any it has none.
     """
     origin = F.lit(dt.date(1900, 1, 1))
 
@@ -117,7 +117,10 @@ def interval_join(
     length = bucket(F.col(hi)) - bucket(F.col(lo))
     listed = valid.where(length <= long_span).withColumn("__bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
     short = met(events.withColumn("__bucket", bucket(F.col(ts))), listed, (*key, "__bucket"))
-    return short.unionByName(sweep_join(events, valid.where(length > long_span), key, ts, lo, hi))
+    long = valid.where(length > long_span)
+    first, last = long.agg(F.min(lo)).scalar(), long.agg(F.max(hi)).scalar()
+    reached = events.where((F.col(ts) >= first) & (F.col(ts) <= last))
+    return short.unionByName(sweep_join(reached, long, key, ts, lo, hi))
 
 
 def sweep_join(events: DataFrame, entities: DataFrame, key: Sequence[str], ts: str, lo: str, hi: str, slice_rows: int = 65_536) -> DataFrame:

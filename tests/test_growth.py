@@ -46,6 +46,15 @@ def test_sweep_join_evaluates_its_events_once_a_use(spark):
     assert rows(out.select("id", "s")) == rows(want)
 
 
+def test_interval_join_gives_the_sweep_what_long_spans_reach(spark):
+    e, s = _timeline(spark)
+    long = s.selectExpr("k", "lo", "case when s = 5 then date'2024-02-20' else hi end as hi", "s")
+    for spans in (s, long):
+        out = joins.interval_join(e, spans, ["k"], "t", "lo", "hi", bucket_days=4, long_span=6)
+        assert "scalar-subquery" in optimised(out)
+        assert rows(out.select("id", "s")) == rows(e.join(spans, "k").where("t between lo and hi").select("id", "s"))
+
+
 def test_only_the_coarsest_level_holds_bitmaps(spark):
     rng = random.Random(2)
     data = [(rng.choice([0, 1, None]), rng.randrange(5), rng.randrange(40), rng.choice([None, *range(0, 90_000, 4321)])) for _ in range(900)]
