@@ -57,11 +57,13 @@ def daily_field_detail(
 def mortality_daily(days: DataFrame) -> DataFrame:
     """Deaths per pen and age with running and weekly totals; pens that stop early
     are carried to the lot's last age with the total reached by their last week."""
-    daily = days.groupBy(*PEN, "age").agg(F.sum("deaths").alias("deaths"))
+    placed = days.select(*PEN, "age", "deaths").repartition(*PEN)  # the days of a pen lie together from here on
+    daily = placed.groupBy(*PEN, "age").agg(F.sum("deaths").alias("deaths"))
     daily = daily.withColumn("week", week_of_life("age"))
-    # A pen has one row per day of life, so plain windows serve; all three share the shuffle on the pen.
+    # A pen has one row per day of life, so plain windows serve; all three share the shuffle on the pen and, as days follow
+    # one another within weeks, one sort by week and day.
     by_week = Window.partitionBy(*PEN, "week")
-    run = cumulate(daily, PEN, ["age"], [], {"deaths_so_far": ("sum", "deaths")})
+    run = cumulate(daily, PEN, ["week", "age"], [], {"deaths_so_far": ("sum", "deaths")})
     run = cumulate(run, PEN, ["week"], [], {"deaths_to_week": ("sum", "deaths")}, frame="range")
     full = run.withColumn("deaths_week", F.sum("deaths").over(by_week))
     dense = gaps.densify_tail(

@@ -82,3 +82,8 @@ def test_ranked_causes_stay_in_the_task_of_their_week(spark):
     long = reshape.unpivot(days.groupBy(*keys, "age").agg(*[F.sum(x).alias(x) for x in causes]), [*keys, "age"], causes, "cause", "q", drop_zero=True)
     ranked = [reshape.top_n_others(long, [*keys, "age"], "cause", "q", 2, unique=u) for u in (False, True)]
     assert ranked[0].columns == ranked[1].columns and rows(ranked[0]) == rows(ranked[1])
+
+
+def test_days_of_a_pen_lie_together(spark):
+    plan = physical(P.mortality_daily(_days(spark)))
+    assert not [line for line in plan.splitlines() if "Exchange hash" in line and "age#" in line]
