@@ -14,6 +14,8 @@ from farmledger.operators import agg as A
 from farmledger.operators.merge import replace_rolling, update_from
 from farmledger.operators.ordered import cumulate
 
+SALTS = 64
+
 
 def live_bird_cost(
     journal: DataFrame, accounts: DataFrame, stock: DataFrame, published: DataFrame | None,
@@ -86,12 +88,16 @@ def commercial_plan(
 def production_detail(
     readings: DataFrame, lookups, categories: DataFrame, curve: DataFrame, transfers: DataFrame, std_after: int
 ) -> DataFrame:
-    """Readings with dimension keys, the house's category list, cumulative standard and the destination's attributes."""
+    """Readings with dimension keys, the house's category list, cumulative standard and the destination's attributes.
+
+    Houses and days of a breed are few and hold many readings, so both are joined with the readings dealt by lot.
+    """
     keyed = dims.star_lookup(readings, lookups)
     listed = A.agg_string_list(categories, ["house"], "category", "categories")
     valid = gaps.carry_last_valid(curve, ["breed"], "age", "std", std_after)
     cumulative = cumulate(valid, ["breed"], ["age"], [], {"std_so_far": ("sum", "std")})
-    out = keyed.join(listed, "house", "left").join(cumulative, ["breed", "age"], "left")
+    out = joins.salted_join(keyed, listed, ["house"], ["lot"], SALTS)
+    out = joins.salted_join(out, cumulative, ["breed", "age"], ["lot"], SALTS)
     return joins.reattribute(out, transfers, "lot", {"house": "new_house"})
 
 

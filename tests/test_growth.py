@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from farmledger.operators import incremental, joins, reshape
+from farmledger.plans import costing
 from farmledger.plans import production as P
 from farmledger.session import TASK_BYTES, tune
 
@@ -87,3 +88,16 @@ def test_ranked_causes_stay_in_the_task_of_their_week(spark):
 def test_days_of_a_pen_lie_together(spark):
     plan = physical(P.mortality_daily(_days(spark)))
     assert not [line for line in plan.splitlines() if "Exchange hash" in line and "age#" in line]
+
+
+def test_few_houses_are_met_by_readings_dealt_by_lot(spark):
+    readings = spark.range(200).selectExpr("id as lot", "if(id % 9 = 0, null, concat('h', id % 2)) as house", "'x' as breed", "cast(id % 5 as int) as age", "id % 3 as sup")
+    sup = spark.range(2).selectExpr("id as s", "id + 10 as sk")
+    curve = spark.range(4).selectExpr("'x' as breed", "cast(id as int) as age", "cast(id + 1 as double) as std")
+    moved = spark.createDataFrame([(4, "n")], "lot long, new_house string")
+    categories = readings.select("house", F.concat(F.lit("c"), F.col("age")).alias("category"))
+    out = costing.production_detail(readings, [(sup, {"sup": "s"}, "sk", F.col("s") == -999)], categories, curve, moved, 42)
+    assert optimised(out).count("__salt") >= 4
+    got = {r["lot"]: r for r in out.collect()}
+    assert len(got) == 200 and got[4]["house"] == "n" and got[4]["std_so_far"] is None and got[0]["categories"] is None
+    assert got[1]["categories"] == "c0,c1,c2,c3,c4" and got[3]["std_so_far"] == 10.0
