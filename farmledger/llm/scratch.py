@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _OWN: list[str] = []
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,7 +31,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame once and read it back: later steps neither repeat its work nor depend on executors that may go."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a frame once and read it back: later steps neither repeat its work nor depend on executors that may go.
+
+    The shuffle files of the writing go when it ends, as nobody reads them again: the disk holds those of one step at a time.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ from farmledger.llm.components import connected_components
 from farmledger.llm import jaccard_join
 from farmledger.llm.jaccard_join import counts_of, jaccard_groups, one_of_each_group, ranks_of
 from farmledger.llm.packing import column_generation, knapsack, pack, plan, public_tokenizer
+from farmledger.llm.scratch import DROP_SHUFFLES, keep
 from farmledger.llm.sharding import schedule, shard_documents
 from farmledger.llm.tokens import WordTokenizer
 from farmledger.llm.toxicity import INSULT, NEGATION, OTHER, REPORT, TARGET, clause_score, drop_toxic, grammar, score_toxicity
@@ -53,6 +55,27 @@ def test_repeats(spark, monkeypatch, length, seed, hot):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+def shuffle_files(spark) -> set:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(k).getName() for k in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_a_kept_table_leaves_no_shuffle_files(spark):
+    setting = spark.conf.get(DROP_SHUFFLES, None)
+    old = shuffle_files(spark)
+    rows = spark.range(20_000).selectExpr("xxhash64(id) k", "id").groupBy("k").count()
+    kept = keep(rows.repartition(3), "test")
+    for _ in range(50):  # files are removed in the background
+        if not (left := shuffle_files(spark) - old):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(DROP_SHUFFLES, None) == setting
+    # the frame that was written can still be used
+    assert kept.count() == rows.count() == 20_000 and rows.join(kept, "k").count() == 20_000
+
+
 def test_interleave_agrees_with_sorting():
     rng = np.random.default_rng(4)
     pieces = [rng.choice([97, 98], rng.integers(1, 60)).astype(np.uint8) for _ in range(30)]
