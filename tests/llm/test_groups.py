@@ -263,6 +263,35 @@ def test_tokens():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_each_word_is_encoded_once():
+    """Words go to the model alone, once each, also after the known words were forgotten."""
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.seen = inner, []
+
+        def tokenize(self, word):
+            self.seen.append(word)
+            return self.inner.tokenize(word)
+
+        def encode(self, text, **options):
+            self.seen.append(text)
+            return self.inner.encode(text, **options)
+
+    words = WordTokenizer(public_tokenizer())
+    tokenizer, whole, model = words.tokenizer, Counted(words.tokenizer), Counted(words.tokenizer.model)
+    words.tokenizer, words.model = whole, model
+    texts = ["the élan of the Élan, it's 42 '' 's\x00\x7f", "", "of the — “élan” <| i'LL", "日本 the"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in words.encode(texts)] == expected
+    assert whole.seen == ["日本 the"] * 2
+    assert len(model.seen) == len(set(model.seen)) == 16
+    words._forget()
+    assert [np.frombuffer(i, "<u4").tolist() for i in words.encode(texts)] == expected
+    assert words.encode([]) == []
+
+
 def test_sharding(spark):
     docs = documents(spark)
     for grain in (256, 1):
